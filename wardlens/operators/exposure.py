@@ -79,59 +79,59 @@ def named_like(catalog: DataFrame, name: str, parts: Sequence[str]) -> DataFrame
     return catalog.where(contains_any(F.col(name), parts))
 
 
-def class_or_family_drugs(
+def drug_flags(
     classes: DataFrame,
     catalog: DataFrame,
+    names: DataFrame,
     family: DataFrame,
     *,
     class_codes: Sequence[str],
     excluded_prefixes: Sequence[str],
-) -> DataFrame:
-    """(medication_id, drug) for drugs in ``family`` or of a therapy class, minus prefixes."""
-    drugs = classes.join(
-        catalog.select("medication_id", "medication_name"), "medication_id"
-    ).where(~starts_with_any(F.col("medication_name"), excluded_prefixes))
-    chosen = in_or(
-        drugs.withColumnRenamed("medication_id", "drug_id"),
-        "drug_id",
-        family.select("medication_id"),
-        "medication_id",
-        F.col("class_code").isin(list(class_codes)),
-    )
-    return chosen.select(
-        F.col("drug_id").alias("medication_id"),
-        first_token(F.col("medication_name")).alias("drug"),
-    ).distinct()
-
-
-def class_or_pattern_drugs(
-    classes: DataFrame,
-    catalog: DataFrame,
-    names: DataFrame,
-    family: DataFrame,
-    *,
     pharm_classes: Sequence[str],
     parts: Sequence[str],
 ) -> DataFrame:
-    """(medication_id, drug) for drugs of a pharmaceutical class or with a name part.
+    """(medication_id, drug) with the flags ``antibiotic`` and ``beta_lactam``.
 
-    The name is tested in the name table and within ``family``. A drug missing from
-    the catalog keeps an empty ``drug``.
+    An antibiotic is in ``family`` or has a therapy class code, and its name starts
+    with none of the prefixes. A beta-lactam has a pharmaceutical class or a name part,
+    the name taken from the name table or from ``family``. ``drug`` is the first word
+    of the catalog name, empty for a drug missing from the catalog.
     """
-    known = classes.select("medication_id").join(catalog, "medication_id")
-    upper_classes = [name.upper() for name in pharm_classes]
-    ids = union_distinct(
-        known.where(F.upper("pharmaceutical_class").isin(upper_classes)).select("medication_id"),
-        named_like(names, "full_name", parts).select("medication_id"),
-        named_like(family, "medication_name", parts).select("medication_id"),
+    marks = (
+        family.select(
+            "medication_id",
+            F.lit(True).alias("in_family"),
+            contains_any(F.col("medication_name"), parts).alias("named"),
+        )
+        .union(
+            names.select("medication_id", F.lit(False), contains_any(F.col("full_name"), parts))
+        )
+        .groupBy("medication_id")
+        .agg(F.max("in_family").alias("in_family"), F.max("named").alias("named"))
     )
-    words = known.select(
-        "medication_id", first_token(F.col("medication_name")).alias("drug")
+    known = classes.select("medication_id", "class_code").join(
+        catalog.select("medication_id", "medication_name", "pharmaceutical_class"),
+        "medication_id",
     )
+    name = F.col("medication_name")
+    member = F.col("in_family") | F.col("class_code").isin(list(class_codes))
+    antibiotic = member & ~starts_with_any(name, excluded_prefixes)
+    upper_classes = [kind.upper() for kind in pharm_classes]
+    beta_lactam = F.col("named") | F.upper("pharmaceutical_class").isin(upper_classes)
+    no = F.lit(False)
     return (
-        ids.join(words, "medication_id", "left")
-        .select("medication_id", F.coalesce("drug", F.lit("")).alias("drug"))
-        .distinct()
+        known.join(marks, "medication_id", "full_outer")
+        .select(
+            "medication_id",
+            F.coalesce(first_token(name), F.lit("")).alias("drug"),
+            F.coalesce(antibiotic, no).alias("antibiotic"),
+            F.coalesce(beta_lactam, no).alias("beta_lactam"),
+        )
+        .where("antibiotic OR beta_lactam")
+        .groupBy("medication_id", "drug")
+        .agg(
+            F.max("antibiotic").alias("antibiotic"), F.max("beta_lactam").alias("beta_lactam")
+        )
     )
 
 
@@ -165,18 +165,6 @@ class ExposureRules:
     order_patient_in_cohort: bool = False
 
 
-def drug_flags(sets: Mapping[str, DataFrame]) -> DataFrame:
-    """Stack (medication_id, drug) sets into one row per pair with a flag per set."""
-    stacked = None
-    for name, drugs in sets.items():
-        flags = [F.lit(other == name).alias(other) for other in sets]
-        rows = drugs.select("medication_id", "drug", *flags)
-        stacked = rows if stacked is None else stacked.union(rows)
-    return stacked.groupBy("medication_id", "drug").agg(
-        *[F.max(name).alias(name) for name in sets]
-    )
-
-
 def exposures(
     orders: DataFrame,
     administrations: DataFrame,
@@ -191,8 +179,8 @@ def exposures(
 ) -> DataFrame:
     """Distinct (patient, encounter, day, drug) given to the patients of ``stays``.
 
-    ``stays`` are the cohort patients' encounters, ``drugs`` comes from
-    :func:`drug_flags`. One boolean column per rule set tells which sets a row
+    ``stays`` are the cohort patients' encounters, ``drugs`` has a
+    boolean column per rule set for each (medication_id, drug). One boolean column per rule set tells which sets a row
     counts for, so that orders and administrations are read and joined once for all.
     """
     newest = max(as_of - timedelta(days=rule.newest_day) for rule in rules.values())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -21,7 +21,17 @@ def code_in(
     return reduce(or_, tests)
 
 
-def active_keys(
+def stack_flags(sets: Mapping[str, DataFrame], *keys: str) -> DataFrame:
+    """Merge named sets into one row per ``keys`` with a boolean column per set."""
+    stacked = None
+    for name, members in sets.items():
+        marks = [F.lit(other == name).alias(other) for other in sets]
+        rows = members.select(*keys, *marks)
+        stacked = rows if stacked is None else stacked.union(rows)
+    return stacked.groupBy(*keys).agg(*[F.max(name).alias(name) for name in sets])
+
+
+def active_flags(
     conditions: DataFrame,
     coded: DataFrame,
     anchors: DataFrame,
@@ -30,14 +40,16 @@ def active_keys(
     code_id: str,
     noted: str,
     ended: str,
+    flags: Sequence[str],
     noted_days: int = 2,
     ended_days: int = 367,
 ) -> DataFrame:
     """Cohort keys with a coded condition that was active before an admission.
 
-    ``coded`` lists the condition codes of interest under ``code_id``. A condition
-    counts when noted at least ``noted_days`` before the admission and ended not
-    earlier than ``ended_days`` before it, or never. Both dates are calendar dates.
+    ``coded`` has one row per condition code of interest with a boolean column for
+    each of ``flags`` (see :func:`stack_flags`); the result has 1 or null for each. A
+    condition counts when noted at least ``noted_days`` before the admission and ended
+    not earlier than ``ended_days`` before it, or never. Both dates are calendar dates.
 
     Per key and noted date the latest end decides, and per key and admission day the
     first admission does: dates sit on midnights, so the first admission of a day
@@ -45,24 +57,28 @@ def active_keys(
     thereby bounded by the calendar, however many rows one key has.
     """
     open_end = F.lit(OPEN_END).cast("date")
+    end = F.coalesce(F.to_date(ended), open_end)
     spans = (
-        conditions.join(coded.select(code_id), code_id, "left_semi")
+        conditions.join(coded.select(code_id, *flags), code_id)
         .groupBy(key, F.to_date(noted).alias("noted_on"))
-        .agg(F.max(F.coalesce(F.to_date(ended), open_end)).alias("last_end"))
+        .agg(*[F.max(F.when(F.col(flag), end)).alias(flag) for flag in flags])
         .join(anchors.select(key), key, "left_semi")
     )
-    earliest = F.date_add("noted_on", noted_days).cast("timestamp_ntz")
-    # An open end has no latest admission; date_add past year 9999 is avoided.
-    latest = F.when(
-        F.col("last_end") < open_end, F.date_add("last_end", ended_days)
-    ).cast("timestamp_ntz")
     admitted = F.col("first_admitted").cast("timestamp_ntz")
-    return (
+
+    def reaches(last: Column) -> Column:
+        # An open end has no latest admission; date_add past year 9999 is avoided.
+        latest = F.when(last < open_end, F.date_add(last, ended_days)).cast("timestamp_ntz")
+        return last.isNotNull() & (latest.isNull() | (admitted <= latest))
+
+    earliest = F.date_add("noted_on", noted_days).cast("timestamp_ntz")
+    found = (
         spans.join(anchors, key)
-        .where((admitted >= earliest) & (latest.isNull() | (admitted <= latest)))
-        .select(key)
-        .distinct()
+        .where(admitted >= earliest)
+        .groupBy(key)
+        .agg(*[F.max(F.when(reaches(F.col(flag)), 1)).alias(flag) for flag in flags])
     )
+    return found.where(reduce(or_, (F.col(flag) == 1 for flag in flags)))
 
 
 def composite_episodes(

@@ -112,68 +112,61 @@ def prior_inpatient(stays: DataFrame, tables: Tables, options: ReportOptions) ->
 
 
 def stay_features(
-    prior: DataFrame,
-    tables: Tables,
-    copies: DataFrame,
-    anchors: DataFrame,
-    options: ReportOptions,
+    prior: DataFrame, tables: Tables, anchors: DataFrame, options: ReportOptions
 ) -> list[DataFrame]:
-    """Prior stays, total and mean length of stay, ICU days."""
-    counts = lookback.count_per_key(prior, "patient_id", "encounter_id", "prior_hosp")
-    lengths = lookback.total_and_mean(
-        prior,
-        tables["stay_lengths"],
-        key="patient_id",
-        item="encounter_id",
-        amount="stay_days",
-        total_name="los_prev",
-        mean_name="los_prev_mean",
-        copies=copies,
-    )
-    icu = lookback.episode_days(
-        prior,
-        tables["icu_stays"],
-        anchors,
-        key="patient_id",
-        item="encounter_id",
-        start="entered_at",
-        end="left_at",
-        name="icu_days",
-        reach=options.icu_reach,
-        as_written=not options.per_patient,
-    )
+    """Prior stays, total and mean length of stay, ICU days; each for one cohort row."""
     return [
-        lookback.times_copies(counts, copies, "patient_id", ["prior_hosp"]),
-        lengths,
-        icu,
+        lookback.count_per_key(prior, "patient_id", "encounter_id", "prior_hosp"),
+        lookback.total_and_mean(
+            prior,
+            tables["stay_lengths"],
+            key="patient_id",
+            item="encounter_id",
+            amount="stay_days",
+            total_name="los_prev",
+            mean_name="los_prev_mean",
+        ),
+        lookback.episode_days(
+            prior,
+            tables["icu_stays"],
+            anchors,
+            key="patient_id",
+            item="encounter_id",
+            start="entered_at",
+            end="left_at",
+            name="icu_days",
+            reach=options.icu_reach,
+            as_written=False,
+        ),
     ]
 
 
+# Counted once per cohort row of the patient.
+PER_COHORT_ROW = ("prior_hosp", "los_prev", "los_prev_mean", "icu_days")
+
+
 def condition_features(
     tables: Tables, anchors: DataFrame, options: ReportOptions
-) -> list[DataFrame]:
-    """Immune compromise and infection from the problem list."""
+) -> DataFrame:
+    """Immune compromise and infection from the problem list, read once for both."""
     codes = options.codes
     immune = tables["diagnoses"].where(
         flags.code_in(F.col("icd_list"), codes.immune_codes, codes.immune_ranges)
     )
     in_set = tables["value_sets"].where(F.col("set_id") == codes.infection_set)
     infectious = tables["diagnoses"].join(in_set, "dx_id", "left_semi")
-    found = []
-    for name, coded in (("immune", immune), ("infection", infectious)):
-        keys = flags.active_keys(
-            tables["problems"],
-            coded,
-            anchors,
-            key="patient_id",
-            code_id="dx_id",
-            noted="noted_on",
-            ended="ended_on",
-            noted_days=options.noted_days,
-            ended_days=options.ended_days,
-        )
-        found.append(keys.withColumn(name, F.lit(1)))
-    return found
+    return flags.active_flags(
+        tables["problems"],
+        flags.stack_flags({"immune": immune, "infection": infectious}, "dx_id"),
+        anchors,
+        key="patient_id",
+        code_id="dx_id",
+        noted="noted_on",
+        ended="ended_on",
+        flags=["immune", "infection"],
+        noted_days=options.noted_days,
+        ended_days=options.ended_days,
+    )
 
 
 def ventilation_feature(
@@ -201,22 +194,16 @@ def drug_sets(tables: Tables, options: ReportOptions) -> DataFrame:
     family = exposure.family_catalog(
         tables["drug_catalog"], tables["drug_names"], family=codes.antibiotic_family
     )
-    antibiotics = exposure.class_or_family_drugs(
+    return exposure.drug_flags(
         tables["drug_classes"],
         tables["drug_catalog"],
+        tables["drug_names"],
         family,
         class_codes=codes.antibiotic_class_codes,
         excluded_prefixes=codes.excluded_prefixes,
-    )
-    beta_lactams = exposure.class_or_pattern_drugs(
-        tables["drug_classes"],
-        tables["drug_catalog"],
-        tables["drug_names"],
-        family,
         pharm_classes=codes.beta_lactam_classes,
         parts=codes.beta_lactam_parts,
     )
-    return exposure.drug_flags({"antibiotic": antibiotics, "beta_lactam": beta_lactams})
 
 
 def drug_exposures(
@@ -244,16 +231,10 @@ def drug_exposures(
     )
 
 
-def parents_of_seen(tables: Tables, keys: DataFrame, options: ReportOptions) -> DataFrame:
-    """Distinct (patient_id, parent_code) of the diagnoses seen in the look-back window."""
-    seen = tables["seen_diagnoses"]
-    recent = (
-        seen.where(on_days(seen, "last_seen_on", options.as_of, options.dx_first_day))
-        .select("patient_id", "dx_id")
-        .distinct()
-        .join(keys.select("patient_id"), "patient_id", "left_semi")
-    )
-    lists = recent.join(tables["diagnoses"].select("dx_id", "icd_list"), "dx_id")
+def labelled_lists(tables: Tables, options: ReportOptions) -> DataFrame:
+    """Distinct (icd_list, category, weight, diabetic) over the parents of each code list."""
+    codes = options.codes
+    spark = tables["diagnoses"].sparkSession
     parents = comorbid.parent_codes(
         tables["diagnoses"],
         tables["diagnosis_codes"],
@@ -262,28 +243,36 @@ def parents_of_seen(tables: Tables, keys: DataFrame, options: ReportOptions) ->
         code_id="dx_id",
         code="code",
     )
-    return (
-        lists.select("patient_id", "icd_list")
-        .distinct()
-        .join(parents, "icd_list")
-        .select("patient_id", "parent_code")
-        .distinct()
+    categories = comorbid.first_match(category_map(spark, codes.comorbidities))
+    weighed = comorbid.weigh(
+        comorbid.categorize(parents, categories, "parent_code"),
+        category_weights(spark, codes.comorbidities),
+    )
+    diabetic = F.col("parent_code").isin(list(codes.diabetes_parents)).cast("int")
+    return weighed.groupBy("icd_list", "category", "weight").agg(
+        F.max(diabetic).alias("diabetic")
     )
 
 
-def comorbidity_feature(parents: DataFrame, options: ReportOptions) -> DataFrame:
-    """Weighted comorbidity index and diabetes flag per patient, in one pass."""
-    spark = parents.sparkSession
-    codes = options.codes
-    categories = comorbid.first_match(category_map(spark, codes.comorbidities))
-    weights = category_weights(spark, codes.comorbidities)
-    weighed = comorbid.weigh(
-        comorbid.categorize(parents, categories, "parent_code"), weights
+def comorbidity_feature(
+    tables: Tables, keys: DataFrame, labels: DataFrame, options: ReportOptions
+) -> DataFrame:
+    """Weighted comorbidity index and diabetes flag per patient, in one pass.
+
+    A category counts once per patient, whichever of its codes it came from.
+    """
+    seen = tables["seen_diagnoses"]
+    recent = (
+        seen.where(on_days(seen, "last_seen_on", options.as_of, options.dx_first_day))
+        .select("patient_id", "dx_id")
+        .distinct()
+        .join(keys.select("patient_id"), "patient_id", "left_semi")
     )
-    diabetic = F.col("parent_code").isin(list(codes.diabetes_parents))
-    # A category counts once per patient, whichever of its codes it came from.
-    once = weighed.groupBy("patient_id", "category", "weight").agg(
-        F.max(diabetic.cast("int")).alias("diabetic")
+    once = (
+        recent.join(tables["diagnoses"].select("dx_id", "icd_list"), "dx_id")
+        .join(labels, "icd_list")
+        .groupBy("patient_id", "category", "weight")
+        .agg(F.max("diabetic").alias("diabetic"))
     )
     return once.groupBy("patient_id").agg(
         F.sum("weight").alias("cci_score"),
@@ -336,19 +325,20 @@ def lab_hits(tables: Tables, options: ReportOptions) -> DataFrame:
 
 
 def patient_rows(
-    tables: Tables, keys: DataFrame, features: list[DataFrame], options: ReportOptions
+    tables: Tables, copies: DataFrame, features: list[DataFrame], options: ReportOptions
 ) -> DataFrame:
     """One row per cohort patient: demographics and all patient-level features."""
     people = demographics(
-        tables["patients"].join(keys.select("patient_id"), "patient_id", "left_semi"),
+        tables["patients"].join(copies.select("patient_id"), "patient_id", "left_semi"),
         birth="birth_date",
         as_of=options.as_of,
         lookups=[Lookup("sex_id", tables["sexes"], "sex_id", {"sex": "sex"})],
     )
     wide = assemble.stack_features(features, "patient_id")
-    return keys.select("patient_id").join(people, "patient_id", "left").join(
-        wide, "patient_id", "left"
-    )
+    rows = copies.join(people, "patient_id", "left").join(wide, "patient_id", "left")
+    return rows.withColumns(
+        {name: F.col(name) * F.col("copies") for name in PER_COHORT_ROW}
+    ).drop("copies")
 
 
 def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) -> DataFrame:
@@ -462,8 +452,9 @@ def feature_rows(
 ) -> DataFrame:
     """All features of the cohort's encounters, before scoring.
 
-    The cohort, its patients' encounters and the drug sets are staged: each is read
-    several times, and their real size decides whether they are broadcast.
+    The cohort, its patients' encounters, the drug sets and the diagnosis labels are
+    staged: they are read more than once or come out far smaller than what they are
+    made of, and their real size then decides whether they are broadcast.
     """
     spark = tables["encounters"].sparkSession
     stage = stage or Stage(spark)
@@ -487,6 +478,7 @@ def feature_rows(
         "stays",
     )
     drugs = stage.keep(drug_sets(tables, options), "drugs")
+    labels = stage.keep(labelled_lists(tables, options), "labels")
 
     given = drug_exposures(tables, stays, drugs, copies, options)
     therapy = exposure.days_of_therapy(
@@ -497,13 +489,11 @@ def feature_rows(
         flags={"antibiotic": "prev_dot", "beta_lactam": "prev_blactam"},
     )
     features = [
-        *stay_features(
-            prior_inpatient(stays, tables, options), tables, copies, anchors, options
-        ),
-        *condition_features(tables, anchors, options),
+        *stay_features(prior_inpatient(stays, tables, options), tables, anchors, options),
+        condition_features(tables, anchors, options),
         ventilation_feature(stays, tables, options),
         therapy,
-        comorbidity_feature(parents_of_seen(tables, copies, options), options),
+        comorbidity_feature(tables, copies, labels, options),
         *resistance_features(tables, copies, options),
     ]
     return assembled(

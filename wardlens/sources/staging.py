@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,9 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="wardlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"wardlens-{application}-")
 
 
 class Stage:

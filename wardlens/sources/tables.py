@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def parquet_table(
+    spark: SparkSession, folder: str, name: str, schema: str | None = None
+) -> DataFrame:
     """The table ``name`` of a folder of ``<name>.parquet`` files."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def catalog_table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:

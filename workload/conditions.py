@@ -26,15 +26,16 @@ ACTIVE_SQL = """
 """
 
 
-def active(r: Retail, coded):
-    return flags.active_keys(
-        r.conditions(),
-        coded.select(F.col("p_partkey").alias("l_partkey")),
-        r.anchors(),
+def active(r: Retail, name: str, coded):
+    return flags.active_flags(
+        r.conditions,
+        flags.stack_flags({name: coded.select(F.col("p_partkey").alias("l_partkey"))}, "l_partkey"),
+        r.anchors,
         key="o_custkey",
         code_id="l_partkey",
         noted="noted",
         ended="ended",
+        flags=[name],
     )
 
 
@@ -48,12 +49,11 @@ def active(r: Retail, coded):
       WHERE p_brand IN ('Brand#3', 'Brand#9') OR p_brand BETWEEN 'Brand#10' AND 'Brand#14')
     """,
 )
-def listed_or_ranged(spark, folder):
-    r = Retail(spark, folder)
+def listed_or_ranged(r):
     coded = r.part.where(
         flags.code_in(F.col("p_brand"), ["Brand#3", "Brand#9"], [("Brand#10", "Brand#14")])
     )
-    return active(r, coded).withColumn("flag", F.lit("YES"))
+    return active(r, "listed", coded).select("o_custkey", F.lit("YES").alias("flag"))
 
 
 @query(
@@ -64,11 +64,10 @@ def listed_or_ranged(spark, folder):
     AND EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_type = 'PROMO')
     """,
 )
-def in_value_set(spark, folder):
-    r = Retail(spark, folder)
+def in_value_set(r):
     value_set = r.part.where(F.col("p_type") == "PROMO").select("p_partkey")
     coded = r.part.join(value_set, "p_partkey", "left_semi")
-    return active(r, coded).withColumn("in_set", F.lit(1))
+    return active(r, "in_set", coded)
 
 
 @query(
@@ -84,8 +83,7 @@ def in_value_set(spark, folder):
       AND o.o_orderdate >= TIMESTAMP '1998-01-14' AND o.o_orderdate < TIMESTAMP '1999-01-15'
     """,
 )
-def home_suppliers(spark, folder):
-    r = Retail(spark, folder)
+def home_suppliers(r):
     window = prior_events(r.cohort_orders(), ts="o_orderdate", as_of=AS_OF)
     episodes = (
         window.join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -113,15 +111,14 @@ def home_suppliers(spark, folder):
     WHERE l_shipdate BETWEEN o_orderdate - INTERVAL 367 DAY AND o_orderdate
     """,
 )
-def listed_or_not(spark, folder):
-    r = Retail(spark, folder)
-    ordered = r.cohort().join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+def listed_or_not(r):
+    ordered = r.cohort.join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     recent = ordered.where(
         F.col("l_shipdate").between(
             F.col("o_orderdate") - F.expr("INTERVAL 367 DAYS"), F.col("o_orderdate")
         )
     ).join(r.part, F.col("l_partkey") == F.col("p_partkey"))
-    codes = code_table(spark, ["Brand#1", "Brand#2", "Brand#3"], "p_brand")
+    codes = code_table(r.spark, ["Brand#1", "Brand#2", "Brand#3"], "p_brand")
     return flags.code_case_flag(
         recent.select("o_custkey", "o_orderkey", "l_linenumber", "p_brand"),
         codes,
@@ -139,8 +136,7 @@ def listed_or_not(spark, folder):
     WHERE l_shipdate >= TIMESTAMP '1998-01-16'
     """,
 )
-def parents_by_name(spark, folder):
-    r = Retail(spark, folder)
+def parents_by_name(r):
     ordered = r.cohort_orders().join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
     seen = ordered.where(on_days(ordered, "l_shipdate", AS_OF, -365)).select(
         "o_custkey", F.col("l_partkey").alias("p_partkey")
@@ -167,7 +163,7 @@ CATEGORY_SQL = """
 
 def categorized(r: Retail):
     categories = comorbid.first_match(category_map(r.spark, BRAND_CATEGORIES))
-    return comorbid.categorize(r.bought().select("o_custkey", "p_brand"), categories, "p_brand")
+    return comorbid.categorize(r.bought.select("o_custkey", "p_brand"), categories, "p_brand")
 
 
 @query(
@@ -178,8 +174,8 @@ def categorized(r: Retail):
     FROM bought GROUP BY ALL
     """,
 )
-def first_category(spark, folder):
-    rows = categorized(Retail(spark, folder))
+def first_category(r):
+    rows = categorized(r)
     return rows.groupBy("o_custkey", "category").agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -193,9 +189,9 @@ def first_category(spark, folder):
     FROM once
     """,
 )
-def weighed_categories(spark, folder):
-    once = categorized(Retail(spark, folder)).select("o_custkey", "category").distinct()
-    return comorbid.weigh(once, category_weights(spark, BRAND_CATEGORIES))
+def weighed_categories(r):
+    once = categorized(r).select("o_custkey", "category").distinct()
+    return comorbid.weigh(once, category_weights(r.spark, BRAND_CATEGORIES))
 
 
 @query(
@@ -207,8 +203,8 @@ def weighed_categories(spark, folder):
     FROM once GROUP BY o_custkey
     """,
 )
-def weighted(spark, folder):
-    return comorbid.weighted_index(weighed_categories(spark, folder), "o_custkey", "weighted_index")
+def weighted(r):
+    return comorbid.weighted_index(weighed_categories(r), "o_custkey", "weighted_index")
 
 
 @query(
@@ -229,8 +225,7 @@ def weighted(spark, folder):
       AND val.l_returnflag = 'R' AND lower(p_name) LIKE '%gear%' AND p_type <> 'SMALL'
     """,
 )
-def result_chain(spark, folder):
-    r = Retail(spark, folder)
+def result_chain(r):
     lines = r.lineitem
     orders = r.cohort_orders()
     hits = flags.positive_cultures(
@@ -278,9 +273,9 @@ def result_chain(spark, folder):
     WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P' AND o_orderstatus <> 'F'
     """,
 )
-def registered(spark, folder):
+def registered(r):
     return flags.registry_keys(
-        Retail(spark, folder).orders,
+        r.orders,
         key="o_custkey",
         kind="o_orderpriority",
         kind_is="1-URGENT",
@@ -299,8 +294,8 @@ def registered(spark, folder):
       AND l_shipdate >= TIMESTAMP '1998-01-16'
     """,
 )
-def coded_parent(spark, folder):
-    parents = parents_by_name(spark, folder)
+def coded_parent(r):
+    parents = parents_by_name(r)
     return (
         parents.where(flags.code_in(F.col("parent_code"), ["Brand#10", "Brand#11", "Brand#12"]))
         .select("o_custkey")

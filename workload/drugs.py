@@ -20,8 +20,8 @@ from workload.retail import AS_OF, BOUGHT_SQL, COHORT_SQL, Retail
     SELECT DISTINCT 'as is', upper(split_part(p_name, ' ', 1)) FROM part WHERE p_type = 'PROMO'
     """,
 )
-def terms(spark, folder):
-    part = Retail(spark, folder).part
+def terms(r):
+    part = r.part
     promo = F.col("p_type") == "PROMO"
     trimmed = exposure.catalog_terms(part, first_token(F.col("p_name")), promo)
     as_is = exposure.catalog_terms(part, first_token(F.col("p_name"), trim=False), promo)
@@ -37,8 +37,8 @@ def terms(spark, folder):
       SELECT upper(split_part(p_name, ' ', 1)) FROM part WHERE p_type = 'PROMO' AND p_size < 3)
     """,
 )
-def named_alike(spark, folder):
-    part = Retail(spark, folder).part
+def named_alike(r):
+    part = r.part
     words = exposure.catalog_terms(
         part,
         first_token(F.col("p_name"), trim=False),
@@ -55,8 +55,8 @@ def named_alike(spark, folder):
     SELECT p_partkey, p_name FROM part WHERE p_size < 10
     """,
 )
-def union_catalog(spark, folder):
-    part = Retail(spark, folder).part
+def union_catalog(r):
+    part = r.part
     columns = ["p_partkey", "p_name"]
     return exposure.union_distinct(
         part.where(F.col("p_type") == "PROMO").select(*columns),
@@ -71,8 +71,8 @@ def union_catalog(spark, folder):
     WHERE lower(p_name) LIKE '%gear%' OR lower(p_name) LIKE '%anvil%' OR lower(p_name) LIKE '%old%'
     """,
 )
-def like_any(spark, folder):
-    part = Retail(spark, folder).part
+def like_any(r):
+    part = r.part
     return exposure.named_like(part, "p_name", ["Gear", "ANVIL", "old"]).select(
         "p_partkey", "p_name"
     )
@@ -85,8 +85,8 @@ def like_any(spark, folder):
     WHERE p_name NOT LIKE 'old%' AND p_name NOT LIKE 'red%' AND p_size NOT IN (2, 3, 4)
     """,
 )
-def not_like_all(spark, folder):
-    part = Retail(spark, folder).part
+def not_like_all(r):
+    part = r.part
     return part.where(
         ~starts_with_any(F.col("p_name"), ["OLD", "RED"]) & ~F.col("p_size").isin(2, 3, 4)
     ).select("p_partkey", "p_name", "p_size")
@@ -99,8 +99,7 @@ def not_like_all(spark, folder):
     WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO') OR l_returnflag = 'R'
     """,
 )
-def in_or_exists(spark, folder):
-    r = Retail(spark, folder)
+def in_or_exists(r):
     promo = r.part.where(F.col("p_type") == "PROMO").select("p_partkey")
     return exposure.in_or(
         r.lineitem, "l_partkey", promo, "p_partkey", F.col("l_returnflag") == "R"
@@ -118,8 +117,8 @@ def in_or_exists(spark, folder):
     GROUP BY o_custkey
     """,
 )
-def therapy_days(spark, folder):
-    bought = Retail(spark, folder).bought()
+def therapy_days(r):
+    bought = r.bought
     rows = bought.where(on_days(bought, "o_orderdate", AS_OF, -367, -1)).select(
         "o_custkey",
         F.to_date("l_shipdate").alias("day"),
@@ -139,10 +138,9 @@ def therapy_days(spark, folder):
     FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM cohort)
     """,
 )
-def current_exposure(spark, folder):
-    r = Retail(spark, folder)
+def current_exposure(r):
     rows = r.lineitem.select("l_orderkey", F.to_date("l_shipdate").alias("day"))
-    cohort = r.cohort().select(F.col("o_orderkey").alias("l_orderkey"))
+    cohort = r.cohort.select(F.col("o_orderkey").alias("l_orderkey"))
     return exposure.current_stay_days(rows, cohort, encounter="l_orderkey", day="day")
 
 
@@ -158,8 +156,8 @@ def current_exposure(spark, folder):
     GROUP BY o_custkey
     """,
 )
-def class_or_pattern_days(spark, folder):
-    bought = Retail(spark, folder).bought()
+def class_or_pattern_days(r):
+    bought = r.bought
     chosen = F.col("p_brand").isin("Brand#3", "Brand#9") | contains_any(
         F.col("p_name"), ["gear", "rod"]
     )

@@ -25,9 +25,9 @@ def birth_date():
       AND o_orderkey IS NOT NULL AND o_orderstatus = 'F'
     """,
 )
-def cohort(spark, folder):
+def cohort(r):
     return select_cohort(
-        Retail(spark, folder).orders,
+        r.orders,
         as_of=AS_OF,
         encounter="o_orderkey",
         admitted="o_orderdate",
@@ -48,15 +48,14 @@ def cohort(spark, folder):
     LEFT JOIN nation ON n_nationkey = c_nationkey
     """,
 )
-def customer_ages(spark, folder):
-    r = Retail(spark, folder)
+def customer_ages(r):
     people = demographics(
         r.customer.withColumn("birth", birth_date()),
         birth="birth",
         as_of=AS_OF,
         lookups=[Lookup("c_nationkey", r.nation, "n_nationkey", {"n_name": "label"})],
     )
-    return people.join(r.cohort(), F.col("c_custkey") == F.col("o_custkey")).select(
+    return people.join(r.cohort, F.col("c_custkey") == F.col("o_custkey")).select(
         "o_orderkey", "c_custkey", "c_name", "label", "age"
     )
 
@@ -73,10 +72,9 @@ def customer_ages(spark, folder):
     LEFT JOIN region ON r_regionkey = n_regionkey
     """,
 )
-def order_star(spark, folder):
-    r = Retail(spark, folder)
+def order_star(r):
     rows = enrich(
-        r.cohort(),
+        r.cohort,
         [
             Lookup(
                 "o_custkey",
@@ -115,8 +113,8 @@ def order_star(spark, folder):
     WHERE event_type = 'error' AND ts >= joined_at AND ts <= joined_at + INTERVAL 24 HOUR
     """,
 )
-def errors_after_signup(spark, folder):
-    events = Retail(spark, folder).events
+def errors_after_signup(r):
+    events = r.events
     signups = (
         events.where(F.col("event_type") == "signup")
         .groupBy("user_id")
@@ -139,10 +137,9 @@ def errors_after_signup(spark, folder):
     GROUP BY cohort.o_custkey
     """,
 )
-def prior_orders(spark, folder):
-    r = Retail(spark, folder)
-    counts = lookback.count_per_key(r.prior(), "o_custkey", "o_orderkey", "prior_orders")
-    return lookback.times_copies(counts, r.copies(), "o_custkey", ["prior_orders"])
+def prior_orders(r):
+    counts = lookback.count_per_key(r.prior, "o_custkey", "o_orderkey", "prior_orders")
+    return lookback.times_copies(counts, r.copies, "o_custkey", ["prior_orders"])
 
 
 @query(
@@ -163,15 +160,14 @@ def prior_orders(spark, folder):
     GROUP BY cohort.o_custkey
     """,
 )
-def shipping_days(spark, folder):
-    r = Retail(spark, folder)
+def shipping_days(r):
     ends = F.timestamp_add("DAY", F.col("l_quantity").cast("int"), F.col("l_shipdate"))
     return lookback.episode_days(
-        r.prior(),
+        r.prior,
         r.lineitem.select(
             F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", ends.alias("ended_at")
         ),
-        r.anchors(),
+        r.anchors,
         key="o_custkey",
         item="o_orderkey",
         start="l_shipdate",
@@ -192,15 +188,14 @@ def shipping_days(spark, folder):
     GROUP BY cohort.o_custkey
     """,
 )
-def quantities(spark, folder):
-    r = Retail(spark, folder)
+def quantities(r):
     return lookback.total_and_mean(
-        r.prior(),
+        r.prior,
         r.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"),
         key="o_custkey",
         item="o_orderkey",
         amount="l_quantity",
         total_name="total_quantity",
         mean_name="mean_quantity",
-        copies=r.copies(),
+        copies=r.copies,
     )

@@ -6,17 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from workload.retail import Retail
 
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a (spark, folder) -> DataFrame function under ``name``."""
+def query(name: str, oracle: str | None = None):
+    """Register a function of the retail tables under ``name``."""
 
-    def register(function: Query) -> Query:
-        QUERIES[name] = function
+    def register(function: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
+        QUERIES[name] = lambda spark, folder: function(Retail(spark, folder))
         if oracle is not None:
             ORACLES[name] = oracle
         return function

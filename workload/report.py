@@ -398,17 +398,16 @@ def report_sql(parts: dict[str, str]) -> str:
     return REPORT_SQL.format(**parts, score=linear_sql(models.CURRENT))
 
 
-def report(spark, folder: str, options: ReportOptions) -> DataFrame:
-    tables = clinical_tables(Retail(spark, folder))
-    rows = risk_report(tables, options)
+def report(r: Retail, options: ReportOptions) -> DataFrame:
+    rows = risk_report(clinical_tables(r), options)
     return rows.withColumn(options.pct_name, F.col(options.pct_name).cast("decimal(10,2)"))
 
 
 @query("q33_risk_report", report_sql(AS_WRITTEN))
-def as_written(spark, folder):
-    return report(spark, folder, OPTIONS)
+def as_written(r):
+    return report(r, OPTIONS)
 
 
 @query("q34_risk_report_one_row", report_sql(ONE_ROW))
-def one_row(spark, folder):
-    return report(spark, folder, replace(OPTIONS, per_patient=True, one_row=True))
+def one_row(r):
+    return report(r, replace(OPTIONS, per_patient=True, one_row=True))

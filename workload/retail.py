@@ -7,18 +7,38 @@ part is a drug or a diagnosis.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.operators.cohort import anchors_per_day, copies_per_key, select_cohort
 from wardlens.operators.lookback import prior_events
+from wardlens.sources.staging import Stage
 from wardlens.sources.tables import parquet_table
 
 AS_OF = datetime(1999, 1, 16)
 COHORT_DAYS = (-30, -1)
 PRIOR_DAYS = (-367, -31)
 
+# Stated, so that opening a table needs no job that reads file footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
 # The cohort in SQL: 30 days up to, but not including, the as-of day.
 COHORT_SQL = """
 cohort AS (
@@ -36,13 +56,31 @@ prior AS (
 class Retail:
     """The tables of one folder and the relations most queries start from."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, **tables: DataFrame):
         self.spark = spark
         self.folder = folder
+        self.tables = tables
 
     def __getattr__(self, name: str) -> DataFrame:
-        return parquet_table(self.spark, self.folder, name)
-
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        if name not in self.tables:
+            self.tables[name] = parquet_table(self.spark, self.folder, name, SCHEMAS[name])
+        return self.tables[name]
+
+    def staged(self) -> Retail:
+        """The same tables, orders and lines cut down to the cohort's customers.
+
+        Every feature of the cohort gives the same rows on them, and the large tables
+        are read once however many features follow.
+        """
+        stage = Stage(self.spark)
+        orders = stage.keep(self.cohort_orders(), "orders")
+        keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        lines = stage.keep(self.lineitem.join(keys, "l_orderkey", "left_semi"), "lineitem")
+        return Retail(self.spark, self.folder, **{**self.tables, "orders": orders, "lineitem": lines})
+
+    @cached_property
     def cohort(self) -> DataFrame:
         return select_cohort(
             self.orders,
@@ -53,12 +91,15 @@ class Retail:
             last_day=COHORT_DAYS[1],
         ).select("o_custkey", "o_orderkey", "o_orderdate")
 
+    @cached_property
     def copies(self) -> DataFrame:
-        return copies_per_key(self.cohort(), "o_custkey")
+        return copies_per_key(self.cohort, "o_custkey")
 
+    @cached_property
     def anchors(self) -> DataFrame:
-        return anchors_per_day(self.cohort(), "o_custkey", "o_orderdate")
+        return anchors_per_day(self.cohort, "o_custkey", "o_orderdate")
 
+    @cached_property
     def prior(self) -> DataFrame:
         return prior_events(
             self.orders,
@@ -70,8 +111,9 @@ class Retail:
 
     def cohort_orders(self) -> DataFrame:
         """All orders of the cohort's customers."""
-        return self.orders.join(self.copies(), "o_custkey", "left_semi")
+        return self.orders.join(self.copies, "o_custkey", "left_semi")
 
+    @cached_property
     def bought(self) -> DataFrame:
         """Lines and parts of all orders of the cohort's customers."""
         return (
@@ -80,6 +122,7 @@ class Retail:
             .join(self.part, F.col("l_partkey") == F.col("p_partkey"))
         )
 
+    @cached_property
     def conditions(self) -> DataFrame:
         """Every line as a condition of its customer: noted when ordered, ended when
         shipped if the line is final, else still open."""

@@ -50,33 +50,33 @@ LEFT JOIN ({ORACLES["q24_weighted_index"]}) idx USING (o_custkey)
 
 
 @query("q27_assemble", FEATURES_SQL)
-def features(spark, folder):
-    r = Retail(spark, folder)
-    copies = r.copies()
+def features(r):
+    r = r.staged()
+    copies = r.copies
     ages = r.customer.select(
         F.col("c_custkey").alias("o_custkey"),
         times.age_years(history.birth_date(), AS_OF).alias("patient_age_at_visit"),
     )
-    registered = conditions.registered(spark, folder)
+    registered = conditions.registered(r)
     wide = assemble.stack_features(
         [
             ages.join(copies, "o_custkey", "left_semi"),
-            history.prior_orders(spark, folder),
-            history.quantities(spark, folder),
-            history.shipping_days(spark, folder),
-            conditions.listed_or_ranged(spark, folder),
-            conditions.in_value_set(spark, folder),
-            drugs.therapy_days(spark, folder),
-            drugs.class_or_pattern_days(spark, folder).withColumnRenamed(
+            history.prior_orders(r),
+            history.quantities(r),
+            history.shipping_days(r),
+            conditions.listed_or_ranged(r),
+            conditions.in_value_set(r),
+            drugs.therapy_days(r),
+            drugs.class_or_pattern_days(r).withColumnRenamed(
                 "therapy_days", "chosen_days"
             ),
-            conditions.coded_parent(spark, folder),
+            conditions.coded_parent(r),
             registered.join(copies, "o_custkey", "left_semi"),
-            conditions.weighted(spark, folder),
+            conditions.weighted(r),
         ],
         "o_custkey",
     )
-    rows = r.cohort().join(wide, "o_custkey", "left")
+    rows = r.cohort.join(wide, "o_custkey", "left")
     episode = F.col("episode_days") > 0
     return rows.select(
         "o_custkey",
@@ -109,9 +109,8 @@ def features(spark, folder):
     GROUP BY o_custkey, o_orderkey, CASE WHEN l_returnflag = 'R' THEN 'YES' ELSE 'NO' END
     """,
 )
-def collapsed(spark, folder):
-    r = Retail(spark, folder)
-    cohort = r.cohort().select("o_custkey", "o_orderkey")
+def collapsed(r):
+    cohort = r.cohort.select("o_custkey", "o_orderkey")
     lines = r.lineitem.withColumnRenamed("l_orderkey", "o_orderkey").join(
         cohort, "o_orderkey", "left_semi"
     )
@@ -146,9 +145,9 @@ CAST(round(100 * exp(CAST(score AS DOUBLE)) / (1 + exp(CAST(score AS DOUBLE))),
     FROM (SELECT *, {linear_sql(models.CURRENT)} AS score FROM ({FEATURES_SQL}))
     """,
 )
-def scored(spark, folder):
+def scored(r):
     rows = score(
-        features(spark, folder), models.CURRENT, score_name="score", pct_name="score_pct"
+        features(r), models.CURRENT, score_name="score", pct_name="score_pct"
     )
     return rows.select(
         "o_custkey", "o_orderkey", "score", F.col("score_pct").cast("decimal(10,2)").alias("score_pct")
@@ -167,9 +166,9 @@ def scored(spark, folder):
     SELECT o_custkey, o_orderkey, model_version, score, {PCT_SQL} FROM versions
     """,
 )
-def versions(spark, folder):
+def versions(r):
     rows = score_versions(
-        features(spark, folder), models.ALL, score_name="score", pct_name="score_pct"
+        features(r), models.ALL, score_name="score", pct_name="score_pct"
     )
     return rows.select(
         "o_custkey",
@@ -212,8 +211,8 @@ SCALAR_DAY = datetime(2024, 2, 1)
     FROM events
     """,
 )
-def scalars(spark, folder):
-    events = Retail(spark, folder).events
+def scalars(r):
+    events = r.events
     ts, value, user, kind = (F.col(c) for c in ("ts", "value", "user_id", "event_type"))
     birth = F.date_sub(F.to_date(ts), (user * 9).cast("int"))
     padded = F.concat(F.lit("  "), kind, F.lit(" "), F.col("props"))
