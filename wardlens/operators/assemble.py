@@ -40,10 +40,10 @@ def log_or_zero(count: Column) -> Column:
     return F.coalesce(F.ln(count), F.lit(0.0))
 
 
-def flag_values(rows: DataFrame, key: str, test: Column, name: str) -> DataFrame:
-    """Per key whether ``test`` holds for some row (``name_yes``) and fails for some (``name_no``)."""
+def flag_values(rows: DataFrame, keys: Sequence[str], test: Column, name: str) -> DataFrame:
+    """Per ``keys`` whether ``test`` holds for some row (``name_yes``) and fails for some (``name_no``)."""
     holds = F.coalesce(test, F.lit(False))
-    return rows.groupBy(key).agg(
+    return rows.groupBy(*keys).agg(
         F.max(holds).alias(f"{name}_yes"), F.max(~holds).alias(f"{name}_no")
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,7 +179,7 @@ def exposures(
     order_rules: OrderRules,
     rules: Mapping[str, ExposureRules],
 ) -> DataFrame:
-    """Distinct (patient, encounter, day, drug) given to the patients of ``stays``.
+    """(patient, encounter, day, drug) given to the patients of ``stays``, unmerged.
 
     ``stays`` are the cohort patients' encounters, ``drugs`` has a
     boolean column per rule set for each (medication_id, drug). One boolean column per rule set tells which sets a row
@@ -230,17 +232,15 @@ def exposures(
         if rule.order_patient_in_cohort:
             test = test & F.col("in_cohort")
         flags.append(F.coalesce(test, F.lit(False)).alias(name))
-    flagged = rows.select(
+    kept = reduce(or_, (F.col(name) for name in rules))
+    return rows.select(
         "patient_id", "encounter_id", F.to_date("taken_at").alias("day"), "drug", *flags
-    )
-    kept = None
-    for name in rules:
-        kept = F.col(name) if kept is None else kept | F.col(name)
-    return (
-        flagged.where(kept)
-        .groupBy("patient_id", "encounter_id", "day", "drug")
-        .agg(*[F.max(name).alias(name) for name in rules])
-    )
+    ).where(kept)
+
+
+def merged(rows: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> DataFrame:
+    """One row per ``keys`` with each flag true where it is on some row."""
+    return rows.groupBy(*keys).agg(*[F.max(flag).alias(flag) for flag in flags])
 
 
 # ---- days of therapy ------------------------------------------------------
@@ -260,9 +260,8 @@ def days_of_therapy(
     day is null. Pairs are merged on (key, day, drug) first, which spreads a key
     with many rows over its days and drugs.
     """
-    pairs = rows.groupBy(key, day, F.coalesce(F.col(drug), F.lit("")).alias("pair_drug")).agg(
-        *[F.max(flag).alias(flag) for flag in flags]
-    )
+    named = rows.withColumn(drug, F.coalesce(drug, F.lit("")))
+    pairs = merged(named, [key, day, drug], list(flags))
     counts = [F.count_if(F.col(flag)) for flag in flags]
     return pairs.groupBy(key).agg(
         *[

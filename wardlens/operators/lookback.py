@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.numeric import is_integral, ratio
 from wardlens.functions.times import day_diff, on_days
+from wardlens.operators.cohort import keep_cohort_keys
 
 
 def prior_events(
@@ -38,10 +39,14 @@ def count_per_key(events: DataFrame, key: str, item: str, name: str) -> DataFram
 def times_copies(
     feature: DataFrame, copies: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
-    """Cohort keys' feature rows with ``columns`` multiplied by the key's ``copies``."""
-    kept = feature.join(copies.select(key), key, "left_semi").join(copies, key)
+    """One-row-per-key ``feature`` with ``columns`` multiplied by the key's ``copies``.
+
+    Keys outside the cohort drop out.
+    """
     scaled = {name: (F.col(name) * F.col("copies")).alias(name) for name in columns}
-    return kept.select(*[scaled.get(name, F.col(name)) for name in feature.columns])
+    return feature.join(copies, key).select(
+        *[scaled.get(name, F.col(name)) for name in feature.columns]
+    )
 
 
 def total_and_mean(
@@ -62,6 +67,8 @@ def total_and_mean(
     """
     integral = is_integral(amounts.schema[amount].dataType)
     items = prior.groupBy(key, item).agg(F.count(F.lit(1)).alias("item_rows"))
+    if copies is not None:
+        items = keep_cohort_keys(items, copies, key)
     # Sums over the amount rows themselves: an inner join can broadcast either side.
     totals = (
         items.join(amounts.select(item, amount), item)
@@ -100,6 +107,7 @@ def episode_days(
     cohort row of the key.
     """
     items = prior.groupBy(key, item).agg(F.count(F.lit(1)).alias("item_rows"))
+    items = keep_cohort_keys(items, anchors, key)
     length = F.abs(day_diff(F.col(start), F.col(end)))
     # At most one row per key and calendar day before the anchors come in.
     daily = (

@@ -184,7 +184,7 @@ def ventilation_feature(
         tables["vent_episodes"], window, on=["patient_id", "stay_id"]
     )
     return assemble.flag_values(
-        episodes, "patient_id", F.col("vent_id").isNotNull(), "vent_prev"
+        episodes, ["patient_id"], F.col("vent_id").isNotNull(), "vent_prev"
     )
 
 
@@ -213,7 +213,7 @@ def drug_exposures(
     keys: DataFrame,
     options: ReportOptions,
 ) -> DataFrame:
-    """Days on which the cohort's patients were given each drug."""
+    """Drugs given to the cohort's patients, by day, flagged by drug set."""
     codes = options.codes
     return exposure.exposures(
         tables["drug_orders"],
@@ -328,8 +328,9 @@ def patient_rows(
     tables: Tables, copies: DataFrame, features: list[DataFrame], options: ReportOptions
 ) -> DataFrame:
     """One row per cohort patient: demographics and all patient-level features."""
+    patients = tables["patients"].distinct()
     people = demographics(
-        tables["patients"].join(copies.select("patient_id"), "patient_id", "left_semi"),
+        patients.join(copies.select("patient_id"), "patient_id", "left_semi"),
         birth="birth_date",
         as_of=options.as_of,
         lookups=[Lookup("sex_id", tables["sexes"], "sex_id", {"sex": "sex"})],
@@ -386,17 +387,20 @@ def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) ->
         .select("encounter_id", "stay_days")
         .distinct()
     )
+    # Days are taken from leaving to entering, as the report has it: positive only
+    # where a stay's times are swapped. Merged per entry time before the join.
+    swapped = day_diff(F.col("left_at"), F.col("entered_at")) > 0
+    entries = assemble.flag_values(
+        tables["icu_stays"], ["encounter_id", "entered_at"], swapped, "icu_24h"
+    )
     first_day = lookback.within_hours(
         cohort.select("encounter_id", "admitted_at"),
-        tables["icu_stays"],
+        entries,
         on="encounter_id",
         anchor="admitted_at",
         start="entered_at",
     )
-    # Days are taken from leaving to entering, as the report has it: positive only
-    # where a stay's times are swapped.
-    swapped = day_diff(F.col("left_at"), F.col("entered_at")) > 0
-    icu = assemble.flag_values(first_day, "encounter_id", swapped, "icu_24h")
+    icu = exposure.merged(first_day, ["encounter_id"], ["icu_24h_yes", "icu_24h_no"])
     rows = rows.join(lengths, "encounter_id", "left").join(icu, "encounter_id", "left")
     return assemble.each_flag_value(rows, "icu_24h", one_row=False)
 
@@ -404,8 +408,25 @@ def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) ->
 def assembled(
     encounters: DataFrame, people: DataFrame, options: ReportOptions
 ) -> DataFrame:
-    """The report's feature rows, equal rows merged."""
-    rows = encounters.join(people, "patient_id", "left")
+    """The report's feature rows, equal rows merged.
+
+    Encounter rows are merged before the join: the patient side has no equal rows, so
+    nothing is left to merge after it, and a patient with many encounters can be split
+    over tasks.
+    """
+    distinct = encounters.select(
+        "patient_id",
+        "encounter_id",
+        "admitted_at",
+        "unit",
+        "facility",
+        "admit_source",
+        "financial_class_id",
+        "financial_class",
+        "stay_days",
+        "icu_24h",
+    ).distinct()
+    rows = distinct.join(people, "patient_id", "left")
     rows = assemble.each_flag_value(rows, "vent_prev", options.one_row)
     icu = F.col("icu_days") > 0
     infection = F.col("infection") == 1
@@ -423,7 +444,7 @@ def assembled(
         F.col("admit_source").alias("admit_type"),
         compact_day(F.col("admitted_at")).alias("admit_day"),
         F.col("admitted_at").alias("admit_timestamp"),
-        F.col("financial_class_id"),
+        "financial_class_id",
         F.col("financial_class").alias("financial_class_desc"),
         assemble.or_zero("prior_hosp"),
         assemble.or_zero("los_prev"),
@@ -444,7 +465,7 @@ def assembled(
         assemble.or_zero("cci_score"),
         "stay_days",
         "icu_24h",
-    ).distinct()
+    )
 
 
 def feature_rows(

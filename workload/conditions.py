@@ -87,9 +87,9 @@ def home_suppliers(r):
     window = prior_events(r.cohort_orders(), ts="o_orderdate", as_of=AS_OF)
     episodes = (
         window.join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(r.customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_custkey", "l_suppkey", "c_nationkey")
+        .select("o_custkey", "l_suppkey")
         .distinct()
+        .join(r.customer, F.col("o_custkey") == F.col("c_custkey"))
     )
     suppliers = r.supplier.select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("c_nationkey")

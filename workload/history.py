@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.times import compact_day
 from wardlens.operators import lookback
-from wardlens.operators.cohort import Lookup, demographics, enrich, select_cohort
+from wardlens.operators.cohort import Lookup, demographics, enrich, keep_cohort_keys, select_cohort
 from workload.registry import query
 from workload.retail import AS_OF, COHORT_DAYS, COHORT_SQL, PRIOR_SQL, Retail
 
@@ -139,6 +139,7 @@ def errors_after_signup(r):
 )
 def prior_orders(r):
     counts = lookback.count_per_key(r.prior, "o_custkey", "o_orderkey", "prior_orders")
+    counts = keep_cohort_keys(counts, r.copies, "o_custkey")
     return lookback.times_copies(counts, r.copies, "o_custkey", ["prior_orders"])
 
 

@@ -124,10 +124,10 @@ class Retail:
 
     @cached_property
     def conditions(self) -> DataFrame:
-        """Every line as a condition of its customer: noted when ordered, ended when
-        shipped if the line is final, else still open."""
+        """Every line of the cohort's customers as a condition: noted when ordered, ended
+        when shipped if the line is final, else still open."""
         return self.lineitem.join(
-            self.orders, F.col("l_orderkey") == F.col("o_orderkey")
+            self.cohort_orders(), F.col("l_orderkey") == F.col("o_orderkey")
         ).select(
             "o_custkey",
             "l_partkey",

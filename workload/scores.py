@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wardlens.codes import models
 from wardlens.functions import numeric, text, times
 from wardlens.operators import assemble
+from wardlens.operators.cohort import keep_cohort_keys
 from wardlens.operators.score import score, score_versions
 from workload import conditions, drugs, history
 from workload.registry import ORACLES, query
@@ -111,12 +112,13 @@ def features(r):
 )
 def collapsed(r):
     cohort = r.cohort.select("o_custkey", "o_orderkey")
-    lines = r.lineitem.withColumnRenamed("l_orderkey", "o_orderkey").join(
-        cohort, "o_orderkey", "left_semi"
-    )
     returned = assemble.flag_values(
-        lines, "o_orderkey", F.col("l_returnflag") == "R", "returned"
+        r.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"),
+        ["o_orderkey"],
+        F.col("l_returnflag") == "R",
+        "returned",
     )
+    returned = keep_cohort_keys(returned, cohort, "o_orderkey")
     rows = cohort.join(returned, "o_orderkey", "left")
     return assemble.each_flag_value(rows, "returned", one_row=False).distinct()
 
