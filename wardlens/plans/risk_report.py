@@ -20,6 +20,7 @@ from wardlens.operators.cohort import (
     copies_per_key,
     demographics,
     enrich,
+    keep_cohort_keys,
     select_cohort,
 )
 from wardlens.operators.score import ScoreModel, score
@@ -266,10 +267,10 @@ def comorbidity_feature(
         seen.where(on_days(seen, "last_seen_on", options.as_of, options.dx_first_day))
         .select("patient_id", "dx_id")
         .distinct()
-        .join(keys.select("patient_id"), "patient_id", "left_semi")
     )
     once = (
-        recent.join(tables["diagnoses"].select("dx_id", "icd_list"), "dx_id")
+        keep_cohort_keys(recent, keys, "patient_id")
+        .join(tables["diagnoses"].select("dx_id", "icd_list"), "dx_id")
         .join(labels, "icd_list")
         .groupBy("patient_id", "category", "weight")
         .agg(F.max("diabetic").alias("diabetic"))
@@ -295,9 +296,7 @@ def resistance_features(
     )
     grown = lab_hits(tables, options).select("patient_id").distinct()
     return [
-        rows.join(keys.select("patient_id"), "patient_id", "left_semi").withColumn(
-            name, F.lit(1)
-        )
+        keep_cohort_keys(rows, keys, "patient_id").withColumn(name, F.lit(1))
         for name, rows in (("cre_prev", registered), ("cre_lab_prev", grown))
     ]
 
@@ -330,7 +329,7 @@ def patient_rows(
     """One row per cohort patient: demographics and all patient-level features."""
     patients = tables["patients"].distinct()
     people = demographics(
-        patients.join(copies.select("patient_id"), "patient_id", "left_semi"),
+        keep_cohort_keys(patients, copies, "patient_id"),
         birth="birth_date",
         as_of=options.as_of,
         lookups=[Lookup("sex_id", tables["sexes"], "sex_id", {"sex": "sex"})],
@@ -380,19 +379,15 @@ def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) ->
     if options.one_row:
         unread = F.lit(None).cast("string")
         return rows.withColumn("stay_days", unread).withColumn("icu_24h", unread)
-    ids = cohort.select("encounter_id")
-    lengths = (
-        tables["stay_lengths"]
-        .join(ids, "encounter_id", "left_semi")
-        .select("encounter_id", "stay_days")
-        .distinct()
-    )
+    lengths = tables["stay_lengths"].select("encounter_id", "stay_days").distinct()
+    lengths = keep_cohort_keys(lengths, cohort, "encounter_id")
     # Days are taken from leaving to entering, as the report has it: positive only
     # where a stay's times are swapped. Merged per entry time before the join.
     swapped = day_diff(F.col("left_at"), F.col("entered_at")) > 0
     entries = assemble.flag_values(
         tables["icu_stays"], ["encounter_id", "entered_at"], swapped, "icu_24h"
     )
+    entries = keep_cohort_keys(entries, cohort, "encounter_id")
     first_day = lookback.within_hours(
         cohort.select("encounter_id", "admitted_at"),
         entries,

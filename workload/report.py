@@ -399,7 +399,8 @@ def report_sql(parts: dict[str, str]) -> str:
 
 
 def report(r: Retail, options: ReportOptions) -> DataFrame:
-    rows = risk_report(clinical_tables(r), options)
+    # One pass over orders and lines, which stand for many clinical tables each.
+    rows = risk_report(clinical_tables(r.staged()), options)
     return rows.withColumn(options.pct_name, F.col(options.pct_name).cast("decimal(10,2)"))
 
 
