@@ -75,10 +75,15 @@ class Retail:
         are read once however many features follow.
         """
         stage = Stage(self.spark)
-        orders = stage.keep(self.cohort_orders(), "orders")
-        keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
-        lines = stage.keep(self.lineitem.join(keys, "l_orderkey", "left_semi"), "lineitem")
-        return Retail(self.spark, self.folder, **{**self.tables, "orders": orders, "lineitem": lines})
+        cut = Retail(self.spark, self.folder, **self.tables)
+        cut.cohort = stage.keep(self.cohort, "cohort")
+        cut.copies = stage.keep(cut.copies, "copies")
+        orders = self.orders.join(cut.copies.select("o_custkey"), "o_custkey", "left_semi")
+        cut.tables["orders"] = stage.keep(orders, "orders")
+        keys = cut.orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        lines = self.lineitem.join(keys, "l_orderkey", "left_semi")
+        cut.tables["lineitem"] = stage.keep(lines, "lineitem")
+        return cut
 
     @cached_property
     def cohort(self) -> DataFrame:
@@ -93,6 +98,7 @@ class Retail:
 
     @cached_property
     def copies(self) -> DataFrame:
+        """One row per cohort customer."""
         return copies_per_key(self.cohort, "o_custkey")
 
     @cached_property
