@@ -232,8 +232,12 @@ def drug_exposures(
     )
 
 
-def labelled_lists(tables: Tables, options: ReportOptions) -> DataFrame:
-    """Distinct (icd_list, category, weight, diabetic) over the parents of each code list."""
+def diagnosis_labels(tables: Tables, options: ReportOptions) -> DataFrame:
+    """(dx_id, category, weight, diabetic) over the parents of each diagnosis's code list.
+
+    Worked out on the diagnosis tables alone, so that patients' diagnoses join once, on
+    the diagnosis, and never on a code list many diagnoses share.
+    """
     codes = options.codes
     spark = tables["diagnoses"].sparkSession
     parents = comorbid.parent_codes(
@@ -250,9 +254,15 @@ def labelled_lists(tables: Tables, options: ReportOptions) -> DataFrame:
         category_weights(spark, codes.comorbidities),
     )
     diabetic = F.col("parent_code").isin(list(codes.diabetes_parents)).cast("int")
-    return weighed.groupBy("icd_list", "category", "weight").agg(
+    lists = weighed.groupBy("icd_list", "category", "weight").agg(
         F.max(diabetic).alias("diabetic")
     )
+    return (
+        tables["diagnoses"]
+        .select("dx_id", "icd_list")
+        .join(lists, "icd_list")
+        .select("dx_id", "category", "weight", "diabetic")
+    )
 
 
 def comorbidity_feature(
@@ -270,8 +280,7 @@ def comorbidity_feature(
     )
     once = (
         keep_cohort_keys(recent, keys, "patient_id")
-        .join(tables["diagnoses"].select("dx_id", "icd_list"), "dx_id")
-        .join(labels, "icd_list")
+        .join(labels, "dx_id")
         .groupBy("patient_id", "category", "weight")
         .agg(F.max("diabetic").alias("diabetic"))
     )
@@ -474,27 +483,31 @@ def feature_rows(
     """
     spark = tables["encounters"].sparkSession
     stage = stage or Stage(spark)
-    cohort = stage.keep(
-        cohort_encounters(tables, options).select(
-            "patient_id",
-            "encounter_id",
-            "admitted_at",
-            "department_id",
-            "admit_source_id",
-            "account_id",
-        ),
-        "cohort",
+    cohort = cohort_encounters(tables, options).select(
+        "patient_id",
+        "encounter_id",
+        "admitted_at",
+        "department_id",
+        "admit_source_id",
+        "account_id",
     )
+    kept = stage.keep_all(
+        {
+            "cohort": cohort,
+            "drugs": drug_sets(tables, options),
+            "labels": diagnosis_labels(tables, options),
+        }
+    )
+    cohort, drugs, labels = kept["cohort"], kept["drugs"], kept["labels"]
     copies = stage.keep(copies_per_key(cohort, "patient_id", options.per_patient), "patients")
     anchors = anchors_per_day(cohort, "patient_id", "admitted_at", options.per_patient)
+    stays = tables["encounters"].join(copies.select("patient_id"), "patient_id", "left_semi")
     stays = stage.keep(
-        tables["encounters"]
-        .join(copies.select("patient_id"), "patient_id", "left_semi")
-        .select("patient_id", "encounter_id", "admitted_at", "status", "class_id", "stay_id"),
+        stays.select(
+            "patient_id", "encounter_id", "admitted_at", "status", "class_id", "stay_id"
+        ),
         "stays",
     )
-    drugs = stage.keep(drug_sets(tables, options), "drugs")
-    labels = stage.keep(labelled_lists(tables, options), "labels")
 
     given = drug_exposures(tables, stays, drugs, copies, options)
     therapy = exposure.days_of_therapy(

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +42,9 @@ class Stage:
         path = f"{self.folder}/{name}"
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Stage independent tables at the same time."""
+        with ThreadPoolExecutor(len(frames)) as pool:
+            kept = {name: pool.submit(self.keep, df, name) for name, df in frames.items()}
+            return {name: future.result() for name, future in kept.items()}

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 
 from wardlens.codes import models
 from wardlens.codes.codebook import CodeBook
-from wardlens.operators.exposure import ExposureRules, OrderRules
-from wardlens.plans.risk_report import ReportOptions, risk_report
+from wardlens.operators.cohort import copies_per_key
+from wardlens.operators.exposure import ExposureRules, OrderRules, merged
+from wardlens.plans.risk_report import (
+    ReportOptions,
+    cohort_encounters,
+    drug_exposures,
+    drug_sets,
+    risk_report,
+)
 from workload.registry import query
 from workload.retail import AS_OF, COHORT_DAYS, PRIOR_DAYS, Retail
 from workload.scores import linear_sql
@@ -209,10 +216,9 @@ def clinical_tables(r: Retail) -> dict[str, DataFrame]:
     }
 
 
-# The report said directly: every cohort row meets every event of its customer, and the
-# result is grouped at the end. {copies} is the cohort, or one row per customer.
-REPORT_SQL = """
-WITH enc AS (
+# The cohort's encounters, and what its customers were given with the flags of each line.
+ENCOUNTERS_SQL = """
+enc AS (
   SELECT o_custkey AS pid, o_orderkey AS eid, o_orderdate AS adm, o_orderstatus AS st,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS grade
   FROM orders
@@ -220,7 +226,42 @@ WITH enc AS (
 cohort AS (
   SELECT pid, eid, adm, grade FROM enc
   WHERE adm >= TIMESTAMP '1998-12-17' AND adm < TIMESTAMP '1999-01-16' AND st = 'F'
+)
+"""
+
+DRUGS_SQL = """
+family AS (
+  SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS word FROM part
+  WHERE p_type = 'PROMO' AND p_size = 1
+),
+drug AS (
+  SELECT p_partkey, upper(split_part(p_name, ' ', 1)) AS word,
+         (p_size = 12 OR upper(split_part(p_name, ' ', 1)) IN (SELECT word FROM family))
+           AND p_name NOT LIKE 'old%' AND p_name NOT LIKE 'red%' AS antibiotic,
+         p_brand IN ('Brand#3', 'Brand#9') OR p_name LIKE '%gear%' OR p_name LIKE '%rod%'
+           AS beta_lactam
+  FROM part
 ),
+given AS (
+  SELECT o_custkey AS pid, o_orderkey AS eid, o_orderdate AS ordered, a.l_shipdate AS day, word, antibiotic,
+         beta_lactam, CAST(a.l_quantity AS INTEGER) AS action,
+         coalesce(o.l_returnflag <> 'N' AND o.l_suppkey IN (4, 5, 6, 7, 11, 12, 15, 17), false)
+           OR a.l_linenumber = 2 AS routed,
+         o.l_returnflag = 'N' AND a.l_linenumber = 7 AS no_route
+  FROM orders
+  JOIN lineitem o ON o.l_orderkey = o_orderkey
+  JOIN drug ON p_partkey = o.l_partkey
+  JOIN lineitem a ON a.l_orderkey = o.l_orderkey AND a.l_linenumber = o.l_linenumber
+  WHERE o_custkey IN (SELECT pid FROM cohort) AND o.l_linestatus = 'F'
+    AND o.l_linenumber <> 3 AND o.l_discount > 0.015 AND a.l_tax > 0.005
+    AND o_orderdate <= TIMESTAMP '1999-01-14'
+)
+"""
+
+# The report said directly: every cohort row meets every event of its customer, and the
+# result is grouped at the end. {copies} is the cohort, or one row per customer.
+REPORT_SQL = """
+WITH {cohort},
 copy AS ({copies}),
 inpatient AS (
   SELECT copy.pid, enc.eid
@@ -262,32 +303,7 @@ vent AS (
   WHERE o_orderpriority = '1-URGENT' AND o_custkey IN (SELECT pid FROM cohort)
     AND o_orderdate >= TIMESTAMP '1998-01-14' AND o_orderdate < TIMESTAMP '1998-12-17'
 ),
-family AS (
-  SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS word FROM part
-  WHERE p_type = 'PROMO' AND p_size = 1
-),
-drug AS (
-  SELECT p_partkey, upper(split_part(p_name, ' ', 1)) AS word,
-         (p_size = 12 OR upper(split_part(p_name, ' ', 1)) IN (SELECT word FROM family))
-           AND p_name NOT LIKE 'old%' AND p_name NOT LIKE 'red%' AS antibiotic,
-         p_brand IN ('Brand#3', 'Brand#9') OR p_name LIKE '%gear%' OR p_name LIKE '%rod%'
-           AS beta_lactam
-  FROM part
-),
-given AS (
-  SELECT o_custkey AS pid, o_orderdate AS ordered, a.l_shipdate AS day, word, antibiotic,
-         beta_lactam, CAST(a.l_quantity AS INTEGER) AS action,
-         coalesce(o.l_returnflag <> 'N' AND o.l_suppkey IN (4, 5, 6, 7, 11, 12, 15, 17), false)
-           OR a.l_linenumber = 2 AS routed,
-         o.l_returnflag = 'N' AND a.l_linenumber = 7 AS no_route
-  FROM orders
-  JOIN lineitem o ON o.l_orderkey = o_orderkey
-  JOIN drug ON p_partkey = o.l_partkey
-  JOIN lineitem a ON a.l_orderkey = o.l_orderkey AND a.l_linenumber = o.l_linenumber
-  WHERE o_custkey IN (SELECT pid FROM cohort) AND o.l_linestatus = 'F'
-    AND o.l_linenumber <> 3 AND o.l_discount > 0.015 AND a.l_tax > 0.005
-    AND o_orderdate <= TIMESTAMP '1999-01-14'
-),
+{drugs},
 dot AS (
   SELECT pid, count(DISTINCT strftime(day, '%m/%d/%y') || word) AS days FROM given
   WHERE antibiotic AND routed AND action NOT IN (2, 3, 4) AND ordered >= TIMESTAMP '1998-01-14'
@@ -395,7 +411,9 @@ ONE_ROW = {
 
 
 def report_sql(parts: dict[str, str]) -> str:
-    return REPORT_SQL.format(**parts, score=linear_sql(models.CURRENT))
+    return REPORT_SQL.format(
+        **parts, cohort=ENCOUNTERS_SQL, drugs=DRUGS_SQL, score=linear_sql(models.CURRENT)
+    )
 
 
 def report(r: Retail, options: ReportOptions) -> DataFrame:
@@ -412,3 +430,29 @@ def as_written(r):
 @query("q34_risk_report_one_row", report_sql(ONE_ROW))
 def one_row(r):
     return report(r, replace(OPTIONS, per_patient=True, one_row=True))
+
+
+@query(
+    "q35_drug_exposures",
+    f"""
+    WITH {ENCOUNTERS_SQL}, {DRUGS_SQL},
+    flagged AS (
+      SELECT pid, eid, CAST(day AS DATE) AS day, word,
+             antibiotic AND routed AND action NOT IN (2, 3, 4)
+               AND ordered >= TIMESTAMP '1998-01-14' AS antibiotic,
+             beta_lactam AND (routed OR no_route) AS beta_lactam
+      FROM given
+    )
+    SELECT pid AS patient_id, eid AS encounter_id, day, word AS drug,
+           bool_or(antibiotic) AS antibiotic, bool_or(beta_lactam) AS beta_lactam
+    FROM flagged WHERE antibiotic OR beta_lactam GROUP BY pid, eid, day, word
+    """,
+)
+def given_drugs(r):
+    tables = clinical_tables(r)
+    keys = copies_per_key(cohort_encounters(tables, OPTIONS), "patient_id")
+    stays = tables["encounters"].join(keys.select("patient_id"), "patient_id", "left_semi")
+    rows = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS)
+    return merged(
+        rows, ["patient_id", "encounter_id", "day", "drug"], ["antibiotic", "beta_lactam"]
+    )
