@@ -42,10 +42,12 @@ def union_distinct(first: DataFrame, *rest: DataFrame) -> DataFrame:
 def in_or(df: DataFrame, column: str, keys: DataFrame, key: str, other: Column) -> DataFrame:
     """Rows whose ``column`` is among ``keys`` or for which ``other`` holds.
 
-    The membership becomes an existence join, so keys may repeat.
+    A left join with the distinct keys: unlike an existence join it lets adaptive
+    execution split a heavy ``column`` value when the keys are too many to broadcast.
     """
-    member = keys.where(F.col(key) == F.col(column).outer()).exists()
-    return df.where(member | other)
+    members = keys.select(F.col(key).alias(column)).distinct().withColumn("member", F.lit(True))
+    matched = df.join(members, column, "left").where(F.col("member") | other)
+    return matched.select(*df.columns)
 
 
 def family_catalog(
