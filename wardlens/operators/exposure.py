@@ -42,12 +42,13 @@ def union_distinct(first: DataFrame, *rest: DataFrame) -> DataFrame:
 def in_or(df: DataFrame, column: str, keys: DataFrame, key: str, other: Column) -> DataFrame:
     """Rows whose ``column`` is among ``keys`` or for which ``other`` holds.
 
-    A left join with the distinct keys: unlike an existence join it lets adaptive
-    execution split a heavy ``column`` value when the keys are too many to broadcast.
+    Rows that satisfy ``other`` need no lookup and are not shuffled; only the rest goes
+    through a semi join, for which keys may repeat.
     """
-    members = keys.select(F.col(key).alias(column)).distinct().withColumn("member", F.lit(True))
-    matched = df.join(members, column, "left").where(F.col("member") | other)
-    return matched.select(*df.columns)
+    holds = F.coalesce(other, F.lit(False))
+    members = keys.select(F.col(key).alias(column))
+    rest = df.where(~holds).join(members, column, "left_semi")
+    return df.where(holds).union(rest.select(*df.columns))
 
 
 def family_catalog(

@@ -146,19 +146,24 @@ def stay_features(
 PER_COHORT_ROW = ("prior_hosp", "los_prev", "los_prev_mean", "icu_days")
 
 
-def condition_features(
-    tables: Tables, anchors: DataFrame, options: ReportOptions
-) -> DataFrame:
-    """Immune compromise and infection from the problem list, read once for both."""
+def coded_conditions(tables: Tables, options: ReportOptions) -> DataFrame:
+    """(dx_id) with the flags ``immune`` and ``infection``."""
     codes = options.codes
     immune = tables["diagnoses"].where(
         flags.code_in(F.col("icd_list"), codes.immune_codes, codes.immune_ranges)
     )
     in_set = tables["value_sets"].where(F.col("set_id") == codes.infection_set)
     infectious = tables["diagnoses"].join(in_set, "dx_id", "left_semi")
+    return flags.stack_flags({"immune": immune, "infection": infectious}, "dx_id")
+
+
+def condition_features(
+    tables: Tables, coded: DataFrame, anchors: DataFrame, options: ReportOptions
+) -> DataFrame:
+    """Immune compromise and infection from the problem list, read once for both."""
     return flags.active_flags(
         tables["problems"],
-        flags.stack_flags({"immune": immune, "infection": infectious}, "dx_id"),
+        coded,
         anchors,
         key="patient_id",
         code_id="dx_id",
@@ -477,9 +482,10 @@ def feature_rows(
 ) -> DataFrame:
     """All features of the cohort's encounters, before scoring.
 
-    The cohort, its patients' encounters, the drug sets and the diagnosis labels are
-    staged: they are read more than once or come out far smaller than what they are
-    made of, and their real size then decides whether they are broadcast.
+    The cohort, its patients' encounters, code and drug sets and the patients' features
+    are staged. Their real size then decides whether they are broadcast, and where they
+    are not, adaptive execution can split a heavy key on the other side of the join: it
+    does so only for sides that come straight out of a shuffle.
     """
     spark = tables["encounters"].sparkSession
     stage = stage or Stage(spark)
@@ -496,6 +502,7 @@ def feature_rows(
             "cohort": cohort,
             "drugs": drug_sets(tables, options),
             "labels": diagnosis_labels(tables, options),
+            "coded": coded_conditions(tables, options),
         }
     )
     cohort, drugs, labels = kept["cohort"], kept["drugs"], kept["labels"]
@@ -519,17 +526,14 @@ def feature_rows(
     )
     features = [
         *stay_features(prior_inpatient(stays, tables, options), tables, anchors, options),
-        condition_features(tables, anchors, options),
+        condition_features(tables, kept["coded"], anchors, options),
         ventilation_feature(stays, tables, options),
         therapy,
         comorbidity_feature(tables, copies, labels, options),
         *resistance_features(tables, copies, options),
     ]
-    return assembled(
-        encounter_rows(cohort, tables, options),
-        patient_rows(tables, copies, features, options),
-        options,
-    )
+    people = stage.keep(patient_rows(tables, copies, features, options), "features")
+    return assembled(encounter_rows(cohort, tables, options), people, options)
 
 
 def risk_report(

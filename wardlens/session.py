@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # The report generates more classes than the default cache of 100 holds.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 

@@ -115,11 +115,8 @@ def order_star(r):
 )
 def errors_after_signup(r):
     events = r.events
-    signups = (
-        events.where(F.col("event_type") == "signup")
-        .groupBy("user_id")
-        .agg(F.min("ts").alias("joined_at"))
-    )
+    first = events.where(F.col("event_type") == "signup").groupBy("user_id")
+    signups = r.stage.keep(first.agg(F.min("ts").alias("joined_at")), "signups")
     errors = events.where(F.col("event_type") == "error").select(
         "user_id", "event_id", F.col("ts").alias("failed_at")
     )

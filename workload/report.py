@@ -450,7 +450,8 @@ def one_row(r):
 )
 def given_drugs(r):
     tables = clinical_tables(r)
-    keys = copies_per_key(cohort_encounters(tables, OPTIONS), "patient_id")
+    cohort = cohort_encounters(tables, OPTIONS)
+    keys = r.stage.keep(copies_per_key(cohort, "patient_id"), "patients")
     stays = tables["encounters"].join(keys.select("patient_id"), "patient_id", "left_semi")
     rows = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS)
     return merged(

@@ -74,17 +74,21 @@ class Retail:
         Every feature of the cohort gives the same rows on them, and the large tables
         are read once however many features follow.
         """
-        stage = Stage(self.spark)
         cut = Retail(self.spark, self.folder, **self.tables)
-        cut.cohort = stage.keep(self.cohort, "cohort")
-        cut.copies = stage.keep(cut.copies, "copies")
+        cut.stage = self.stage
+        cut.cohort = self.stage.keep(self.cohort, "cohort")
+        cut.copies = self.stage.keep(copies_per_key(cut.cohort, "o_custkey"), "copies")
         orders = self.orders.join(cut.copies.select("o_custkey"), "o_custkey", "left_semi")
-        cut.tables["orders"] = stage.keep(orders, "orders")
+        cut.tables["orders"] = self.stage.keep(orders, "orders")
         keys = cut.orders.select(F.col("o_orderkey").alias("l_orderkey"))
         lines = self.lineitem.join(keys, "l_orderkey", "left_semi")
-        cut.tables["lineitem"] = stage.keep(lines, "lineitem")
+        cut.tables["lineitem"] = self.stage.keep(lines, "lineitem")
         return cut
 
+    @cached_property
+    def stage(self) -> Stage:
+        return Stage(self.spark)
+
     @cached_property
     def cohort(self) -> DataFrame:
         return select_cohort(
@@ -98,8 +102,9 @@ class Retail:
 
     @cached_property
     def copies(self) -> DataFrame:
-        """One row per cohort customer."""
-        return copies_per_key(self.cohort, "o_custkey")
+        """One row per cohort customer, staged: broadcast by its real size, and where it
+        is too large, a customer with many orders can be split."""
+        return self.stage.keep(copies_per_key(self.cohort, "o_custkey"), "copies")
 
     @cached_property
     def anchors(self) -> DataFrame:

@@ -77,7 +77,7 @@ def features(r):
         ],
         "o_custkey",
     )
-    rows = r.cohort.join(wide, "o_custkey", "left")
+    rows = r.cohort.join(r.stage.keep(wide, "features"), "o_custkey", "left")
     episode = F.col("episode_days") > 0
     return rows.select(
         "o_custkey",
