@@ -66,3 +66,13 @@ def test_cluster_must_name_the_shared_folder():
     named = Session(spark_master="yarn")
     named.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert shared_folder(named) == "hdfs:///shared"
+
+
+def test_local_sessions_get_one_scratch_folder():
+    class Context:
+        applicationId = "local-1"
+
+    session = Session(spark_master="local[2]")
+    session.sparkContext = Context()
+    assert shared_folder(session) == shared_folder(session)
+    assert "local-1" in shared_folder(session)
