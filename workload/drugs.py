@@ -8,7 +8,7 @@ from wardlens.functions.text import contains_any, first_token, starts_with_any
 from wardlens.functions.times import on_days
 from wardlens.operators import exposure
 from workload.registry import query
-from workload.retail import AS_OF, BOUGHT_SQL, COHORT_SQL, Retail
+from workload.retail import AS_OF, BOUGHT_SQL, COHORT_SQL
 
 
 @query(

@@ -10,7 +10,7 @@ from wardlens.functions.times import compact_day
 from wardlens.operators import lookback
 from wardlens.operators.cohort import Lookup, demographics, enrich, keep_cohort_keys, select_cohort
 from workload.registry import query
-from workload.retail import AS_OF, COHORT_DAYS, COHORT_SQL, PRIOR_SQL, Retail
+from workload.retail import AS_OF, COHORT_DAYS, COHORT_SQL, PRIOR_SQL
 
 
 def birth_date():

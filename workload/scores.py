@@ -13,7 +13,7 @@ from wardlens.operators.cohort import keep_cohort_keys
 from wardlens.operators.score import score, score_versions
 from workload import conditions, drugs, history
 from workload.registry import ORACLES, query
-from workload.retail import AS_OF, COHORT_SQL, Retail
+from workload.retail import AS_OF, COHORT_SQL
 
 FEATURES_SQL = f"""
 WITH {COHORT_SQL}
