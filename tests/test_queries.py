@@ -5,11 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from workload import ORACLES, QUERIES
 from workload.compare import oracle_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", QUERIES)
