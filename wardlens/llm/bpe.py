@@ -16,6 +16,8 @@ import numpy as np
 
 def merged(units: Sequence[str], rank: Callable[[str], float | None]) -> list[str]:
     """Join neighbours, lowest rank first and then leftmost, until none has a rank."""
+    if len(units) <= 24:
+        return _merged_short(list(units), rank)
     texts, after, before = list(units), list(range(1, len(units) + 1)), list(range(-1, len(units) - 1))
     queue: list[tuple[float, int, str]] = []
 
@@ -43,6 +45,25 @@ def merged(units: Sequence[str], rank: Callable[[str], float | None]) -> list[st
     return [text for text in texts if text]
 
 
+def _merged_short(texts: list[str], rank: Callable[[str], float | None]) -> list[str]:
+    never = float("inf")
+
+    def of(i: int) -> float:
+        found = rank(texts[i] + texts[i + 1])
+        return never if found is None else found
+
+    ranks = [of(i) for i in range(len(texts) - 1)]
+    while ranks and (least := min(ranks)) != never:
+        i = ranks.index(least)
+        texts[i : i + 2] = [texts[i] + texts[i + 1]]
+        del ranks[i]
+        if i < len(ranks):
+            ranks[i] = of(i)
+        if i:
+            ranks[i - 1] = of(i - 1)
+    return texts
+
+
 class PrefixBpe:
     """Last token, number of tokens and automaton state of every prefix.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import prefix_counts, token_orc
+from wardlens.llm import mixing, pieces, prefix_counts, sharding, token_orc
 from wardlens.llm.common import stage
 from wardlens.sources.tables import parquet_table
 
@@ -35,3 +35,24 @@ def op2_token_orc(spark: SparkSession, folder: str) -> DataFrame:
 def op3_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, with the counts of all its prefixes."""
     return prefix_counts.count_tokens(documents(spark, folder))
+
+
+@query
+def op7_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix_report(documents(spark, folder))
+
+
+@query
+def op8_interleaved_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in shards that all have the table's mixture."""
+    return sharding.shard(documents(spark, folder))
+
+
+ORACLES["op8_interleaved_shards"] = sharding.SHARD_SQL
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document and what decoding them gives."""
+    return pieces.encode_and_check(documents(spark, folder))
