@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +19,8 @@ from wardlens.sources.staging import Stage
 
 #: Fixed value: what separates words, as a class of Java and Python patterns.
 BLANKS = r"[\x20\x09-\x0D]"
-#: Text handled at once by a Python task, in characters (a longer text alone).
-SLICE_CHARS = 4_000_000
+#: Text handled at once by a Python task, in bytes (a longer text alone).
+SLICE_BYTES = 16_000_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -42,17 +45,17 @@ def by_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
 
 
 def slices(
-    batches: Iterable[pa.RecordBatch], text: str = "text"
-) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of the batches with about SLICE_CHARS of text, and their texts (null: empty)."""
+    batches: Iterable[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Parts of the batches with about ``size`` bytes of text, and their texts (null: empty)."""
     for batch in batches:
-        texts = [value or "" for value in batch.column(text).to_pylist()]
-        start = size = 0
-        for end, value in enumerate(texts, 1):
-            size += len(value)
-            if size >= SLICE_CHARS or end == len(texts):
-                yield batch.slice(start, end - start), texts[start:end]
-                start, size = end, 0
+        texts = pc.fill_null(batch.column(text).cast(pa.string()), "")
+        if not len(texts):
+            continue
+        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
+        for start, end in itertools.pairwise([0, *cuts.tolist(), len(texts)]):
+            yield batch.slice(start, end - start), texts.slice(start, end - start)
 
 
 def stage(spark: SparkSession) -> Stage:

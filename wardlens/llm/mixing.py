@@ -246,9 +246,7 @@ def mix(docs: DataFrame, *, seed: int = 7, **settings) -> DataFrame:
     plan = plan.select(
         *(F.col(k).alias(names[k]) for k in ("unnamed", "name", "size")), "each", "border"
     )
-    own = free_name(docs, "own")
     place, each, border = (free_name(docs, f"mix_{k}") for k in ("place", "each", "border"))
-    del own
     plan = plan.withColumnsRenamed({"each": each, "border": border})
     wide = docs.withColumns({names[k]: c for k, c in columns.items()})
     joined = wide.join(plan, [names[k] for k in ("unnamed", "name", "size")], "left")

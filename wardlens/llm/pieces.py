@@ -27,14 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.bpe import PrefixBpe
+from wardlens.llm.chunks import ChunkMemory
 from wardlens.llm.common import by_arrow, slices
 
 #: Fixed value: the sign that stands for a blank.
 MARK = "▁"
-#: Most words remembered by a Python worker, and the longest such word.
-REMEMBERED = 500_000
-LONGEST = 100
-
 WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -80,7 +77,13 @@ class PieceCoder:
         self.marked = {i for piece, i in self.ids.items() if piece[0] == MARK}
         self.silent = {i for i, value in enumerate(self.bytes_of) if not value}
         self.bpe = PrefixBpe(ranks)
-        self.known: dict[str, bytes] = {}
+        self.memory = ChunkMemory(
+            self.work,
+            plain=lambda word: word != "" and MARK not in word,
+            chunk=lambda word, head: MARK + word if word else "",
+            whole=lambda text: WORD.findall(MARK + text.replace(" ", MARK)) if text else [],
+            feeds=False,
+        )
 
     def coded(self, pieces: Sequence[str]) -> bytes:
         found = array("i")
@@ -92,40 +95,22 @@ class PieceCoder:
                 found.append(number)
         return found.tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as 32-bit numbers put together."""
-        # A word behind a single mark goes without it; others have two marks at least.
-        split = [
-            [
-                word if word.startswith(MARK + MARK) else word[1:]
-                for word in WORD.findall(MARK + text.replace(" ", MARK))
-            ]
-            if "  " in text or MARK in text or text.startswith(" ")
-            else text.split(" ") if text else []
-            for text in texts
-        ]
-        fresh: set[str] = set()
-        for words in split:
-            fresh.update(words)
-        fresh.difference_update(self.known)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            kept, self.known = self.known, {}
-            for words in split:
-                self.known.update((w, kept[w]) for w in words if w in kept)
+    def work(self, chunks: list[str]) -> Iterator[bytes]:
+        """The ids of sorted marked words: a depth-first walk over their trie."""
         forward = self.bpe.forward()
-        for word in sorted(fresh):
-            if word.startswith(MARK + MARK):
-                self.known[word] = self.coded(self.bpe.encode(word))
+        for chunk in chunks:
+            if chunk.startswith(MARK + MARK):
+                yield self.coded(self.bpe.encode(chunk))
+            elif chunk:
+                forward.go(chunk)
+                yield self.coded(forward.tokens())
             else:
-                forward.go(MARK + word)
-                self.known[word] = self.coded(forward.tokens())
-        found = [b"".join(map(self.known.__getitem__, words)) for words in split]
-        for word in fresh:
-            if len(word) > LONGEST:
-                del self.known[word]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        return found
+                yield b""
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids start and end in all ids, and these."""
+        places, data = self.memory.join(texts)
+        return places // 4, np.frombuffer(data, dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
         if not self.silent.isdisjoint(ids):
@@ -160,12 +145,8 @@ def encode(
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
         for batch, texts in slices(batches, text):
-            coded = coder.encode(texts)
-            offsets = np.cumsum([0, *(len(value) // 4 for value in coded)])
-            ids = pa.ListArray.from_arrays(
-                pa.array(offsets.astype(np.int32)),
-                pa.array(np.frombuffer(b"".join(coded), dtype=np.int32)),
-            )
+            places, values = coder.encode(texts)
+            ids = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in names), ids], names=[*names, "ids"]
             )

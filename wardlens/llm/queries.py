@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import mixing, pieces, prefix_counts, sharding, token_orc
+from wardlens.llm import mixing, pieces, prefix_counts, sharding, simhash_trie, token_orc
 from wardlens.llm.common import stage
 from wardlens.sources.tables import parquet_table
 
@@ -28,7 +28,7 @@ def op2_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids written as ORC files and read back: where each document starts."""
     path = f"{stage(spark).folder}/tokens"
     token_orc.write_token_files(documents(spark, folder), path)
-    return token_orc.id_checksums(token_orc.read_token_files(spark, path))
+    return token_orc.checked_tokens(spark, path)
 
 
 @query
@@ -37,6 +37,12 @@ def op3_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_counts.count_tokens(documents(spark, folder))
 
 
+@query
+def op6_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and the components of near ones."""
+    return simhash_trie.simhash_components(documents(spark, folder))
+
+
 @query
 def op7_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix takes."""
