@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import mixing, pieces, prefix_counts, sharding, simhash_trie, token_orc
+from wardlens.llm import minhash, mixing, pieces, prefix_counts, sharding, simhash_trie, token_orc
 from wardlens.llm.common import stage
 from wardlens.sources.tables import parquet_table
 
@@ -62,3 +62,9 @@ ORACLES["op8_interleaved_shards"] = sharding.SHARD_SQL
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of every document and what decoding them gives."""
     return pieces.encode_and_check(documents(spark, folder))
+
+
+@query
+def op9_one_permutation_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness."""
+    return minhash.fingerprint_report(documents(spark, folder))
