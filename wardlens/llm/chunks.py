@@ -1,8 +1,8 @@
-"""Splitting texts where byte-level BPE never joins, and remembering what chunks give.
+"""Splitting texts where a tokenizer never joins, and remembering what chunks give.
 
-A blank or line feed between two characters that are no white space always starts a new
-piece of the tokenizer's pattern, also in every prefix of the text. So a text is its chunks
-put together, and what a chunk gives is worked out once however often it occurs.
+Arrow splits texts into words and numbers the distinct ones; what a distinct word gives is
+worked out once, remembered, and put together for all its places. Words beside unusual white
+space make a text odd: it is split by slower rules, but also into chunks of their own.
 """
 
 from __future__ import annotations
@@ -10,77 +10,118 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-#: Most chunks remembered by a Python worker; beyond it the memory starts anew.
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Most words remembered by a Python worker; beyond it the memory starts anew.
 REMEMBERED = 500_000
-#: Longer chunks are not remembered.
+#: Longer words are not remembered.
 LONGEST = 200
 
-BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
-
-
-def parts_of(text: str) -> list[str]:
-    """The head, then each chunk: without its blank, or with its line feed."""
-    return text.replace("\n", " \n").split(" ")
-
-
-def is_odd(part: str) -> bool:
-    """Whether white space stands beside the chunk's border."""
-    if not part or part[-1].isspace():
-        return True
-    return part[0].isspace() and (part[0] != "\n" or part[1].isspace())
-
 
 class ChunkMemory:
-    """Gives for each text its chunks' bytes put together.
+    """Gives for texts the bytes of their chunks put together.
 
-    ``work`` turns sorted distinct chunks into their bytes; a chunk comes with its leading
-    blank or line feed, the head of a text without. A text with a chunk that ``work`` has no
-    bytes for (None) gives None.
+    ``work`` turns sorted distinct chunks into their bytes. ``plain`` tells whether a word
+    between blanks can be taken by itself, ``chunk`` names the chunk of a word (at the head of
+    a text or behind a blank), ``whole`` splits an odd text. With ``feeds`` a line feed
+    starts a word, too, and stays with it.
     """
 
-    def __init__(self, work: Callable[[list[str]], Iterable[bytes | None]]):
-        self.work = work
+    def __init__(
+        self,
+        work: Callable[[list[str]], Iterable[bytes | None]],
+        *,
+        plain: Callable[[str], bool],
+        chunk: Callable[[str, bool], str],
+        whole: Callable[[str], list[str]],
+        feeds: bool,
+    ):
+        self.work, self.plain, self.chunk, self.whole, self.feeds = work, plain, chunk, whole, feeds
         self.known: dict[str, bytes | None] = {}
 
-    def texts(self, texts: list[str]) -> list[bytes | None]:
-        split = [parts_of(text) for text in texts]
-        fresh: set[str] = set()
-        for parts in split:
-            fresh.update(parts[1:])
-        fresh.difference_update(self.known)
-        odd = {part for part in fresh if is_odd(part)}
-        fresh -= odd
-        whole: dict[int, list[str]] = {}
-        chunks = {part if part[0] == "\n" else f" {part}" for part in fresh}
-        for i, parts in enumerate(split):
-            head = parts[0]
-            if not head or head[0].isspace() or head[-1].isspace() or not odd.isdisjoint(parts):
-                whole[i] = BORDER.split(texts[i]) if texts[i] else []
-                chunks.update(whole[i])
-            else:
-                chunks.add(head)
+    def join(
+        self, texts: pa.StringArray, before: bytes = b"", otherwise: Callable[[str], bytes] | None = None
+    ) -> tuple[np.ndarray, memoryview]:
+        """The places of the texts' bytes and all bytes; ``before`` stands before each text.
+
+        ``otherwise`` gives the bytes (with what stands before) of a text that has a chunk
+        for which ``work`` has none.
+        """
+        spaced = pc.replace_substring(texts, "\n", " \n") if self.feeds else texts
+        split = pc.split_pattern(spaced, " ")
+        places = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(places[0], places[-1] - places[0]).dictionary_encode()
+        places -= places[0]
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        heads = places[:-1]
+        words: list[str] = coded.dictionary.to_pylist()
+        known = self.known
+        fresh = [word for word in words if word not in known]
+        odd = {word for word in fresh if not self.plain(word)}
+        # A text is odd for any odd word, its head included.
+        strange = np.fromiter((word in odd for word in words), bool, len(words)) if odd else np.zeros(len(words), bool)
+        odd_texts = np.flatnonzero(np.add.reduceat(strange[index], heads)) if odd else np.array([], int)
+        head_words = [words[i] for i in index[heads].tolist()]
+        for i in np.flatnonzero([word[:1].isspace() for word in head_words]).tolist():
+            odd_texts = np.union1d(odd_texts, [i])
+        wholes = {i: self.whole(texts[i].as_py()) for i in odd_texts.tolist()}
+        fresh = [word for word in fresh if word not in odd]
+        chunks = {self.chunk(word, False) for word in fresh}
+        for i, word in enumerate(head_words):
+            chunks.update(wholes[i] if i in wholes else (self.chunk(word, True),))
         order = sorted(chunks)
-        values = dict(zip(order, self.work(order), strict=True))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            kept = self.known
-            self.known = {}
-            for parts in split:
-                self.known.update((p, kept[p]) for p in parts[1:] if p in kept)
-        for part in fresh:
-            self.known[part] = values[part if part[0] == "\n" else f" {part}"]
-        found: list[bytes | None] = []
-        for i, parts in enumerate(split):
-            try:
-                if i in whole:
-                    found.append(b"".join(map(values.__getitem__, whole[i])))
-                else:
-                    rest = b"".join(map(self.known.__getitem__, parts[1:]))
-                    found.append(values[parts[0]] + rest)
-            except TypeError:
-                found.append(None)
-        for part in fresh:
-            if len(part) > LONGEST:
-                del self.known[part]
+        found = dict(zip(order, self.work(order), strict=True))
+        now = {word: found[self.chunk(word, False)] for word in fresh}
+        values = [now[word] if word in now else known.get(word) for word in words]
+        lost = np.fromiter((value is None for value in values), bool, len(values))
+        lost_texts = set(np.flatnonzero(np.add.reduceat(lost[index], heads)).tolist()) - wholes.keys() if lost.any() else set()
+        starts: list[bytes] = []
+        for i, word in enumerate(head_words):
+            parts = [found[c] for c in wholes[i]] if i in wholes else [found[self.chunk(word, True)]]
+            if i in lost_texts or None in parts:
+                lost_texts.add(i)
+                starts.append(otherwise(texts[i].as_py()))
+            else:
+                starts.append(before + b"".join(parts))
+        # Whole texts stand at their head; the other words of these add nothing.
+        nothing = len(values)
+        index[heads] = nothing + 1 + np.arange(len(heads))
+        for i in (*wholes, *lost_texts):
+            index[places[i] + 1 : places[i + 1]] = nothing
+        bank = pa.array([*(value or b"" for value in values), b"", *starts], pa.binary())
+        joined = bank.take(pa.array(index))
+        ends = np.frombuffer(joined.buffers()[1], dtype=np.int32, count=len(joined) + 1).astype(np.int64)
+        if len(known) + len(now) > REMEMBERED:
+            self.known = {word: known[word] for word in words if word in known}
+        self.known.update((word, value) for word, value in now.items() if len(word) <= LONGEST)
         if len(self.known) > REMEMBERED:
             self.known = {}
-        return found
+        data = memoryview(joined.buffers()[2] or b"")
+        return ends[places], data
+
+
+#: A chunk border that no byte-level piece reaches over, in the text or any prefix of it.
+BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
+
+
+def byte_level_memory(work: Callable[[list[str]], Iterable[bytes | None]]) -> ChunkMemory:
+    """For tokenizers with the byte-level pattern.
+
+    A blank or line feed between two characters that are no white space always starts a new
+    piece, also in every prefix of the text. A chunk comes with its blank or line feed.
+    """
+
+    def plain(word: str) -> bool:
+        if not word or word[-1].isspace():
+            return False
+        return not word[0].isspace() or (word[0] == "\n" and not word[1].isspace())
+
+    def chunk(word: str, head: bool) -> str:
+        return word if head or word[0] == "\n" else f" {word}"
+
+    def whole(text: str) -> list[str]:
+        return BORDER.split(text) if text else []
+
+    return ChunkMemory(work, plain=plain, chunk=chunk, whole=whole, feeds=True)

@@ -19,12 +19,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.bpe import ManyForward, PrefixBpe
-from wardlens.llm.chunks import ChunkMemory
+from wardlens.llm.chunks import byte_level_memory
 from wardlens.llm.common import by_arrow, slices
 
 #: The widths of a step in bytes. One byte is enough for all but very odd texts.
@@ -64,7 +65,7 @@ class Coder:
         self.wide_space = regex.compile(r"\s\s")
         special = [regex.escape(t["content"]) for t in made["added_tokens"]]
         self.special_text = regex.compile("|".join(special) or "(?!)")
-        self.memory = ChunkMemory(self.steps)
+        self.memory = byte_level_memory(self.steps)
 
     def steps(self, chunks: list[str]) -> Iterator[bytes | None]:
         """For each chunk, the steps of the count at its characters."""
@@ -176,17 +177,15 @@ class Coder:
             done += count[-1]
         return done
 
-    def stores(self, texts: list[str]) -> list[bytes]:
-        """Each text's store: the width of a step, then the steps."""
-        found = []
-        for text, steps in zip(texts, self.memory.texts(texts), strict=True):
-            width = 1
-            if steps is None:
-                counts = self.counts(text)
-                width = next(w for w in WIDTHS if packed(counts, w) is not None)
-                steps = packed(counts, width)
-            found.append(bytes([width]) + steps)
-        return found
+    def wide(self, text: str) -> bytes:
+        """The store of a text with steps of more than one byte."""
+        counts = self.counts(text)
+        width = next(w for w in WIDTHS if packed(counts, w) is not None)
+        return bytes([width]) + packed(counts, width)
+
+    def stores(self, texts: pa.StringArray) -> tuple[np.ndarray, memoryview]:
+        """Where the texts' stores start and end, and their bytes: a width, then steps."""
+        return self.memory.join(texts, before=b"\1", otherwise=self.wide)
 
 
 def byte_letters() -> dict[str, str]:
@@ -232,18 +231,27 @@ def count_tokens(
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(tokenizer)
         for batch, texts in slices(batches):
-            stores = coder.stores(texts)
-            counts = [prefix_counts(store) for store in stores]
-            tokens = [int(n[-1]) for n in counts]
-            fits = [int(np.flatnonzero(n <= limit)[-1]) for n in counts]
+            places, data = coder.stores(texts)
+            tokens = np.zeros(len(texts), dtype=np.int64)
+            fits = pc.utf8_length(texts).to_numpy().astype(np.int64)
+            steps = np.frombuffer(data, dtype=np.int8)
+            sums = np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
+            # The width itself, 1, stands before the steps.
+            tokens = sums[places[1:]] - sums[places[:-1]] - 1
+            for i in np.flatnonzero((steps[places[:-1]] != 1) | (tokens > limit)).tolist():
+                counts = prefix_counts(data[places[i] : places[i + 1]])
+                tokens[i] = counts[-1]
+                fits[i] = np.flatnonzero(counts <= limit)[-1]
+            offsets = pa.py_buffer(places.astype(np.int32).tobytes())
+            stores = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, offsets, pa.py_buffer(data)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([len(t.encode()) for t in texts], pa.int64()),
-                    pa.array(tokens, pa.int64()),
-                    pa.array([n > limit for n in tokens], pa.bool_()),
-                    pa.array(fits, pa.int64()),
-                    pa.array(stores, pa.binary()),
+                    pa.array(pc.binary_length(texts), pa.int64()),
+                    pa.array(tokens),
+                    pa.array(tokens > limit),
+                    pa.array(fits),
+                    stores,
                 ],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars", "token_steps"],
             )

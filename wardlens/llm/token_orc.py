@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.chunks import ChunkMemory
+from wardlens.llm.chunks import byte_level_memory
 from wardlens.llm.common import by_arrow, slices
 
 FILE_SCHEMA = "doc_id long, before long, n_tokens long, ids array<int>"
@@ -39,8 +39,9 @@ def _encoder(tokenizer: str) -> LibraryEncoder:
 class LibraryEncoder:
     """Token ids by the tokenizers library, each distinct chunk of text encoded once.
 
-    Chunks without inner white space go to the library as lines of one text: a single line
-    feed between them is a token of its own, which tells them apart again.
+    Chunks that the byte-level pattern leaves whole go to the library's model as lines of
+    one text, already in the letters that stand for bytes; the line feed between them, a
+    token of its own, tells them apart again. Other chunks go to the library one by one.
     """
 
     def __init__(self, tokenizer: str):
@@ -49,43 +50,51 @@ class LibraryEncoder:
         import public_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letter = {
+            byte: shown.pre_tokenize_str(bytes([byte]).decode("latin-1"))[0][0][-1] for byte in range(128)
+        }
         self.feed = self.library.encode("\n", add_special_tokens=False).ids
-        self.memory = ChunkMemory(self.work)
+        self.lines = Tokenizer(self.library.model)
+        self.lines.pre_tokenizer = pre_tokenizers.Sequence(
+            [shown, pre_tokenizers.Split(letter[10], "isolated")]
+        )
+        self.memory = byte_level_memory(self.work)
 
     def work(self, chunks: list[str]) -> list[bytes]:
         lines: list[int] = []
         alone: list[int] = []
         for i, chunk in enumerate(chunks):
             body = chunk[1:] if chunk[0] in " \n" else chunk
-            plain = len(body.split(None, 1)) == 1 and not any(s in body for s in self.special)
-            (lines if plain and not (body[0].isspace() or body[-1].isspace()) else alone).append(i)
+            (lines if body.isalpha() else alone).append(i)
         found: list[bytes] = [b""] * len(chunks)
         feed = np.array(self.feed, dtype="<u4")
-        if lines and len(feed) == 1:
-            texts = [chunks[i].removeprefix("\n") for i in lines]
-            coded = self.library.encode_batch_fast(["\n".join(texts)], add_special_tokens=False)
-            ids = np.array(coded[0].ids, dtype="<u4")
+        if lines:
+            text = "\n".join([chunks[i].removeprefix("\n") for i in lines])
+            ids = np.array(self.lines.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
             stops = np.append(np.flatnonzero(ids == feed[0]), len(ids))
-            if len(stops) != len(lines):
-                raise ValueError("the tokenizer joins line feeds with what follows")
-            raw, start = ids.tobytes(), 0
+            if len(stops) != len(lines) or len(feed) != 1:
+                raise ValueError("the tokenizer joins line feeds with other text")
+            raw, start, head = ids.tobytes(), 0, feed.tobytes()
             for i, stop in zip(lines, (stops * 4).tolist(), strict=True):
-                head = feed.tobytes() if chunks[i][0] == "\n" else b""
-                found[i] = head + raw[start:stop]
+                found[i] = head + raw[start:stop] if chunks[i][0] == "\n" else raw[start:stop]
                 start = stop + 4
-        else:
-            alone = list(range(len(chunks)))
-        coded = self.library.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False)
-        for i, code in zip(alone, coded, strict=True):
-            found[i] = np.array(code.ids, dtype="<u4").tobytes()
+        # Not joined: what stands at the end of a text is not split as inside it.
+        for start in range(0, len(alone), 10_000):
+            part = alone[start : start + 10_000]
+            coded = self.library.encode_batch_fast([chunks[i] for i in part], add_special_tokens=False)
+            for i, code in zip(part, coded, strict=True):
+                found[i] = np.array(code.ids, dtype="<u4").tobytes()
         return found
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        return self.memory.texts(texts)
+    def encode(self, texts: pa.StringArray, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Where each text's ids start and end in all ids; ``end`` follows each text."""
+        places, data = self.memory.join(texts, before=end)
+        ids = np.frombuffer(bytes(data) + end, dtype="<i4")[1:] if len(texts) else np.array([], "<i4")
+        return places // 4, ids
 
 
 def write_token_files(
@@ -109,21 +118,18 @@ def write_token_files(
         encoder = _encoder(tokenizer)
         before = 0
         for batch, texts in slices(batches):
-            raw = [value + end for value in encoder.texts(texts)]
-            sizes = np.array([len(value) // 4 for value in raw], dtype=np.int64)
-            stops = np.cumsum(sizes)
-            ids = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
-            offsets = pa.array(np.concatenate([[0], stops]).astype(np.int32))
+            places, ids = encoder.encode(texts, end)
+            sizes = np.diff(places)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
-                    pa.array(before + stops - sizes),
+                    pa.array(before + places[:-1]),
                     pa.array(sizes),
-                    pa.ListArray.from_arrays(offsets, ids),
+                    pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(ids)),
                 ],
                 names=["doc_id", "before", "n_tokens", "ids"],
             )
-            before += int(stops[-1])
+            before += int(places[-1])
 
     by_arrow(ranged.sortWithinPartitions("doc_id", "text"), work, FILE_SCHEMA).write.options(
         **{
@@ -136,25 +142,34 @@ def write_token_files(
     ).orc(path)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids, ``start`` being the ids of all documents before."""
-    rows = spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_path"))
-    # One row a file; files hold ranges of doc_id, and equal doc_ids share a file.
-    files = rows.groupBy("file").agg(
+def token_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the files and the file each is in."""
+    return spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_path"))
+
+
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` (of any columns of token_rows) with start, the ids of all documents before.
+
+    ``files`` are the token rows all of ``rows`` come from. One row a file is summed up:
+    files hold ranges of doc_id, and equal doc_ids share a file.
+    """
+    totals = files.groupBy("file").agg(
         F.min("doc_id").alias("first"),
         F.max(F.col("doc_id").isNull()).alias("has_null"),
         F.sum("n_tokens").alias("tokens"),
     )
     order = Window.orderBy(F.col("has_null").desc(), "first", "file")
-    starts = files.select(
-        "file",
-        F.coalesce(
-            F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("file_start"),
-    )
-    return rows.join(starts, "file").select(
-        "doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids"
-    )
+    ahead = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("file", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    start = (F.col("ahead") + F.col("before")).alias("start")
+    others = [name for name in rows.columns if name not in ("doc_id", "before", "file")]
+    return rows.join(starts, "file").select("doc_id", start, *others)
+
+
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids, ``start`` being the ids of all documents before."""
+    rows = token_rows(spark, path)
+    return with_starts(rows, rows)
 
 
 def documents_by_id(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
@@ -162,28 +177,32 @@ def documents_by_id(spark: SparkSession, path: str, ids: list[int]) -> DataFrame
     return spark.read.schema(FILE_SCHEMA).orc(path).where(F.col("doc_id").isin(ids))
 
 
-def id_checksums(tokens: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of read token rows.
+def id_checksums(rows: DataFrame) -> DataFrame:
+    """Token rows with ids_crc32 in the place of their ids.
 
     The checksum is over the ids as little-endian unsigned 32-bit numbers.
     """
+    names = ["doc_id", "before", "n_tokens", "file"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("ids")
             raw = memoryview(lists.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes())
             places = (lists.offsets.to_numpy() * 4).tolist()
-            sums = [
-                zlib.crc32(raw[a:b]) for a, b in zip(places, places[1:], strict=False)
-            ]
+            sums = [zlib.crc32(raw[a:b]) for a, b in zip(places, places[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in ("doc_id", "start", "n_tokens")]
-                + [pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
+                [*(batch.column(name) for name in names), pa.array(sums, pa.int64())],
+                names=[*names, "ids_crc32"],
             )
 
-    return by_arrow(
-        tokens.select("doc_id", "start", "n_tokens", "ids"),
-        work,
-        "doc_id long, start long, n_tokens long, ids_crc32 long",
-    )
+    schema = "doc_id long, before long, n_tokens long, file string, ids_crc32 long"
+    return by_arrow(rows.select(*names, "ids"), work, schema)
+
+
+def checked_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32, all from the files.
+
+    Checksums take the place of the ids before rows meet what stands before their file.
+    """
+    rows = token_rows(spark, path)
+    return with_starts(id_checksums(rows), rows)
