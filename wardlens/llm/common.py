@@ -71,21 +71,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def running_total(values: Column, block: int = 64) -> Column:
-    """For an array of counts, the sums of what stands before each element.
+def add_running_total(df: DataFrame, values: str, to: str, block: int = 64) -> DataFrame:
+    """``df`` with ``to``: for the counts in array ``values``, the sums before each of them.
 
-    Sums over blocks come first, so that long arrays need no sum over all before.
+    Sums over blocks come first, so that long arrays need no sum over all before. What is
+    used more than once is a column of its own, so that Spark works it out once a row.
     """
-    zero = F.lit(0).cast("long")
+    blocks, sums = f"{to}_blocks", f"{to}_sums"
 
     def total(part: Column) -> Column:
-        return F.aggregate(part, zero, lambda a, x: a + x)
+        return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")),
-        lambda b: F.slice(values, b * block + 1, F.lit(block)),
-    )
-    sums = F.transform(blocks, total)
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
+    cut = F.transform(numbers, lambda b: F.slice(values, b * block + 1, F.lit(block)))
+    empty = F.array().cast("array<array<bigint>>")
+    df = df.withColumn(blocks, F.when(F.size(values) > 0, cut).otherwise(empty))
+    df = df.withColumn(sums, F.transform(blocks, total))
     starts = F.transform(sums, lambda _, i: total(F.slice(sums, F.lit(1), i)))
     parts = F.zip_with(
         blocks,
@@ -94,6 +95,4 @@ def running_total(values: Column, block: int = 64) -> Column:
             part, lambda _, i: start + total(F.slice(part, F.lit(1), i))
         ),
     )
-    return F.when(F.size(values) > 0, F.flatten(parts)).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    return df.withColumn(to, F.flatten(parts)).drop(blocks, sums)

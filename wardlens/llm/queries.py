@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import minhash, mixing, pieces, prefix_counts, sharding, simhash_trie, token_orc
+from wardlens.llm import minhash, mixing, pieces, pii, prefix_counts, sharding, simhash_trie, token_orc
 from wardlens.llm.common import stage
 from wardlens.sources.tables import parquet_table
 
@@ -68,3 +68,9 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op9_one_permutation_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, and their likeness."""
     return minhash.fingerprint_report(documents(spark, folder))
+
+
+@query
+def op4_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: by form, and by learned context."""
+    return pii.pii_report(documents(spark, folder))
