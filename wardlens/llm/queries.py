@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import minhash, mixing, pieces, pii, prefix_counts, sharding, simhash_trie, token_orc
+from wardlens.llm import (
+    decision_list,
+    minhash,
+    mixing,
+    ordinal,
+    pieces,
+    pii,
+    prefix_counts,
+    sharding,
+    simhash_trie,
+    token_orc,
+)
 from wardlens.llm.common import stage
 from wardlens.sources.tables import parquet_table
 
@@ -74,3 +85,17 @@ def op9_one_permutation_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op4_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document: by form, and by learned context."""
     return pii.pii_report(documents(spark, folder))
+
+
+@query
+def op5_decision_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of every document, and whether the learned rules keep it."""
+    labels = parquet_table(spark, folder, "labels")
+    return decision_list.quality_report(documents(spark, folder), labels)
+
+
+@query
+def op1_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade of every document, and whether it is likely of the best grade."""
+    labels = parquet_table(spark, folder, "labels")
+    return ordinal.quality_report(documents(spark, folder), labels)
