@@ -16,7 +16,7 @@ from wardlens.operators.exposure import ExposureRules, OrderRules
 class CodeBook:
     """Every code, range, name part and category a report depends on."""
 
-    immune_codes: Sequence[str] = tuple(clinical.IMMUNE_CODES)
+    immune_codes: Sequence[str] = clinical.IMMUNE_CODES
     immune_ranges: Sequence[tuple[str, str]] = clinical.IMMUNE_RANGES
     infection_set: str = clinical.INFECTION_VALUE_SET
     registry_kind: str = clinical.REGISTRY_KIND
@@ -31,10 +31,8 @@ class CodeBook:
     beta_lactam_classes: Sequence[str] = clinical.BETA_LACTAM_CLASSES
     beta_lactam_parts: Sequence[str] = clinical.BETA_LACTAM_NAME_PARTS
     diabetes_parents: Sequence[str] = clinical.DIABETES_PARENTS
-    comorbidities: Sequence[tuple[str, int, Sequence[str]]] = tuple(
-        (name, weight, tuple(clinical.expand_codes(text)))
-        for name, weight, text in clinical.COMORBIDITIES
-    )
+    comorbidities: Sequence[tuple[str, int, Sequence[str]]] = clinical.COMORBIDITIES
+    procedure_codes: Sequence[str] = ()
     cohort_status: int = clinical.ADMITTED_STATUS
     outpatient_status: int = clinical.OUTPATIENT_STATUS
     inpatient_base_class: int = clinical.INPATIENT_BASE_CLASS
