@@ -10,7 +10,7 @@ from datetime import date, datetime
 
 import pyarrow as pa
 
-from wardlens.sources.clinical import LAYOUT, load
+from wardlens.sources.clinical import KEPT, LAYOUT, load
 
 AS_OF = datetime(2024, 2, 23, 8, 30)
 
@@ -298,7 +298,7 @@ def source_table(spark, role):
     arrays, names = [], []
     for position, (name, (source, kind)) in enumerate(columns.items()):
         values = [r.get(name) if isinstance(r, dict) else r[position] for r in records]
-        arrays.append(pa.array(values, type=TYPES[kind]))
+        arrays.append(pa.array(values, type=TYPES[KEPT.get(name, kind)]))
         names.append(source)
     return spark.createDataFrame(pa.Table.from_arrays(arrays, names=names))
 

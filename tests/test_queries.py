@@ -5,8 +5,18 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from wardlens.operators.cohort import anchors_per_day
+from wardlens.operators.score import ScoreModel, Term, linear_score
+from wardlens.plans.risk_report import (
+    cohort_encounters,
+    condition_features,
+    encounter_rows,
+    stay_features,
+)
 from workload import ORACLES, QUERIES
 from workload.compare import oracle_rows, spark_rows
+from workload.report import OPTIONS, clinical_tables
+from workload.retail import Retail
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -64,3 +74,43 @@ def test_report_is_not_merged_again_after_the_patient_join(spark):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[-1] == "risk_score_pct" and df.count() > 0
+
+
+def test_known_days_reach_the_scans(spark, tmp_path):
+    """Problem list, ICU stays and drug orders are read with a range on their times."""
+    tables = clinical_tables(Retail(spark, FOLDER))
+    for role in ("problems", "icu_stays"):
+        tables[role].write.parquet(f"{tmp_path}/{role}")
+        tables[role] = spark.read.parquet(f"{tmp_path}/{role}")
+    tables["problems"] = tables["problems"].select("patient_id", "dx_id", "noted_on", "ended_on")
+    cohort = cohort_encounters(tables, OPTIONS)
+    anchors = anchors_per_day(cohort, "patient_id", "admitted_at")
+    coded = spark.sql("SELECT 1L AS dx_id, true AS immune, false AS infection")
+    found = condition_features(tables, coded, anchors, cohort, OPTIONS)
+    plan = pushed_filters(found)
+    assert "LessThan(noted_on" in plan and "GreaterThanOrEqual(ended_on" in plan
+    stays = cohort.select("patient_id", "encounter_id")
+    days = stay_features(stays, tables, anchors, OPTIONS)[2]
+    assert "GreaterThanOrEqual(entered_at" in pushed_filters(days)
+    plan = pushed_filters(encounter_rows(cohort, tables, OPTIONS))
+    assert "GreaterThanOrEqual(entered_at" in plan and "LessThan(entered_at" in plan
+
+
+def pushed_filters(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return " ".join(re.findall(r"PushedFilters: \[(.*)\]", text))
+
+
+def test_administrations_are_not_shuffled_for_a_small_cohort(spark):
+    plan = physical_plan(QUERIES["q35_drug_exposures"](spark, FOLDER))
+    # The scan of the administrations goes into a broadcast join without an exchange between.
+    scan = plan.index("l_tax")
+    above = plan[:scan].rsplit("BroadcastHashJoin", 1)[-1]
+    assert "hashpartitioning" not in above
+
+
+def test_report_operators_on_five_decimals(spark):
+    model = ScoreModel("fine", "0.12345", (Term("x", "0.00001"),))
+    rows = spark.sql("SELECT 3 AS x").select(linear_score(model).alias("s"))
+    assert str(rows.first().s) == "0.12348"

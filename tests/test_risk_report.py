@@ -13,6 +13,7 @@ from wardlens.plans.risk_report import (
     drug_sets,
     feature_rows,
     lab_hits,
+    procedure_feature,
     risk_report,
 )
 from wardlens.sources.clinical import empty_tables
@@ -216,20 +217,16 @@ def test_first_day_icu_window_is_inclusive(tables):
 
 def test_procedure_flag_with_bounds_in_order(tables, spark):
     cohort = cohort_encounters(tables, OPTIONS)
-    done = (
-        tables["lab_orders"]
-        .join(tables["procedures"], "procedure_id")
-        .join(tables["procedure_dates"], "procedure_id")
-        .join(cohort.select("patient_id", "admitted_at"), "patient_id")
-        .where(
-            F.col("contact_on").between(
-                F.date_sub(F.to_date("admitted_at"), 367), F.to_date("admitted_at")
-            )
-        )
-    )
     codes = spark.sql("SELECT 'GI47' AS procedure_code")
-    rows = flags.code_case_flag(done, codes, code="procedure_code", name="prev_gi")
+    ordered = dict(tables)
+    ordered["lab_orders"] = tables["lab_orders"].withColumn("encounter_id", F.lit(1001).cast("bigint"))
+    rows = procedure_feature(ordered, cohort, codes, OPTIONS)
     assert [(r.patient_id, r.prev_gi) for r in rows.collect()] == [("P1", "YES")]
+    late = dict(ordered)
+    late["procedure_dates"] = tables["procedure_dates"].withColumn(
+        "contact_on", F.lit("2024-02-23").cast("date")
+    )
+    assert procedure_feature(late, cohort, codes, OPTIONS).count() == 0
 
 
 def test_rows_out_of_every_window_change_nothing(tables, one_row):
@@ -262,6 +259,44 @@ def test_integral_stay_lengths_divide_like_integers(tables):
     rows = {r.encounter_nbr: r for r in risk_report(whole, EACH).collect()}
     assert rows[1001].los_prev == 15 and rows[1001].los_prev_mean == 7
     assert rows[2001].los_prev_mean == 3
+    for row in risk_report(whole, OPTIONS).where("encounter_nbr = 2001").collect():
+        # Two cohort rows: 2 * 7 over 2 stays, the total doubled before the division.
+        assert row.los_prev == 14 and row.los_prev_mean == 7
+
+
+def test_exposures_need_a_known_patient(tables):
+    fewer = dict(tables)
+    fewer["patients"] = tables["patients"].where("patient_id <> 'P1'")
+    (row,) = risk_report(fewer, EACH).where("encounter_nbr = 1001").collect()
+    assert (row.prev_dot, row.prev_blactam) == (0, 0)
+
+
+def test_cohort_row_without_patient_has_no_index(tables):
+    more = dict(tables)
+    lost = tables["encounters"].where("encounter_id = 1001").withColumns(
+        {"patient_id": F.lit(None).cast("string"), "encounter_id": F.lit(7777).cast("bigint")}
+    )
+    more["encounters"] = tables["encounters"].union(lost.select(tables["encounters"].columns))
+    (row,) = risk_report(more, EACH).where("encounter_nbr = 7777").collect()
+    assert row.cci_score is None and row.score is None and row.prior_hosp == 0
+
+
+@pytest.mark.parametrize("seconds, flag", [(2 * 86400, "YES"), (2 * 86400 - 1, "NO")])
+def test_problems_with_a_time_of_day_are_compared_as_instants(tables, seconds, flag):
+    """Noted two days before the admission counts, a second later does not."""
+    timed = dict(tables)
+    admitted = tables["encounters"].where("encounter_id = 1001").first().admitted_at
+    problems = tables["problems"].where("patient_id = 'P1'").limit(1)
+    moment = F.lit(admitted).cast("timestamp_ntz") - F.expr(f"INTERVAL {seconds} SECONDS")
+    timed["problems"] = problems.withColumns(
+        {
+            "dx_id": F.lit(3).cast("bigint"),
+            "noted_on": moment,
+            "ended_on": F.lit(None).cast("timestamp_ntz"),
+        }
+    )
+    (row,) = risk_report(timed, EACH).where("encounter_nbr = 1001").collect()
+    assert row.inf_prev == flag
 
 
 def test_empty_tables_give_an_empty_report(spark):

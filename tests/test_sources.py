@@ -1,9 +1,10 @@
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from wardlens.sources.clinical import LAYOUT, load_catalog, load_parquet, report_columns
+from wardlens.sources.clinical import LAYOUT, load, load_catalog, load_parquet, report_columns
 from wardlens.sources.staging import Stage, shared_folder
 from wardlens.sources.tables import save_result
 
@@ -14,7 +15,8 @@ def test_columns_are_renamed_and_cast_only_where_needed(rows):
         [(5, 6, datetime(2024, 1, 2, 3, 4), date(2024, 1, 3), 1)],
     )
     found = report_columns(source, "problems")
-    assert tuple(found.first()) == ("5", 6, date(2024, 1, 2), date(2024, 1, 3))
+    # A time of day stays.
+    assert tuple(found.first()) == ("5", 6, datetime(2024, 1, 2, 3, 4), date(2024, 1, 3))
     assert "cast(dx_id" not in found._jdf.queryExecution().analyzed().toString().lower()
 
 
@@ -76,3 +78,33 @@ def test_local_sessions_get_one_scratch_folder():
     session.sparkContext = Context()
     assert shared_folder(session) == shared_folder(session)
     assert "local-1" in shared_folder(session)
+
+
+def test_folder_of_one_machine_is_refused_on_a_cluster():
+    named = Session(spark_master="yarn")
+    named.conf["spark.checkpoint.dir"] = "file:///tmp/x"
+    with pytest.raises(ValueError, match="one machine"):
+        shared_folder(named)
+
+
+def test_stage_removes_its_folder_at_the_end_and_after_an_error(spark):
+    with Stage(spark) as stage:
+        stage.keep(spark.range(3), "numbers")
+        assert Path(stage.folder.removeprefix("file:")).exists()
+    assert not Path(stage.folder.removeprefix("file:")).exists()
+    with pytest.raises(RuntimeError), Stage(spark) as stage:
+        stage.keep(spark.range(3), "numbers")
+        raise RuntimeError
+    assert not Path(stage.folder.removeprefix("file:")).exists()
+
+
+def test_tables_are_opened_on_demand(spark):
+    def open_table(name):
+        if name != "INFECTIONS":
+            raise LookupError(name)
+        return spark.sql("SELECT '1' AS PAT_ID, '85' AS INFECTION_TYPE_C, '1' AS INF_STATUS_C")
+
+    tables = load(open_table)
+    assert tables["infections"].count() == 1
+    with pytest.raises(LookupError):
+        tables["services"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.functions.text import contains_any, first_token, starts_with_any
-from wardlens.functions.times import day_not_after
+from wardlens.functions.times import day_not_after, day_not_before
 
 
 # ---- catalogs -------------------------------------------------------------
 
 
 def catalog_terms(catalog: DataFrame, term: Column, where: Column) -> DataFrame:
-    """Distinct upper-case ``term`` values of the catalog rows that satisfy ``where``."""
-    return catalog.where(where).select(F.upper(term).alias("term")).distinct()
+    """Distinct upper-case ``term`` values of the catalog rows that satisfy ``where``.
+
+    Blanks behind a term do not count, as columns of fixed width have them.
+    """
+    return catalog.where(where).select(F.upper(F.rtrim(term)).alias("term")).distinct()
 
 
 def match_first_token(
@@ -42,13 +45,14 @@ def union_distinct(first: DataFrame, *rest: DataFrame) -> DataFrame:
 def in_or(df: DataFrame, column: str, keys: DataFrame, key: str, other: Column) -> DataFrame:
     """Rows whose ``column`` is among ``keys`` or for which ``other`` holds.
 
-    Rows that satisfy ``other`` need no lookup and are not shuffled; only the rest goes
-    through a semi join, for which keys may repeat.
+    One pass over ``df``: the distinct keys bring a mark, and the filter looks at both.
     """
-    holds = F.coalesce(other, F.lit(False))
-    members = keys.select(F.col(key).alias(column))
-    rest = df.where(~holds).join(members, column, "left_semi")
-    return df.where(holds).union(rest.select(*df.columns))
+    mark = "is_member"
+    while mark in df.columns:
+        mark = f"_{mark}"
+    members = keys.select(F.col(key).alias(column)).distinct().withColumn(mark, F.lit(True))
+    kept = F.coalesce(other, F.lit(False)) | F.coalesce(F.col(mark), F.lit(False))
+    return df.join(members, column, "left").where(kept).select(*df.columns)
 
 
 def family_catalog(
@@ -59,7 +63,7 @@ def family_catalog(
     A drug belongs when its first word is a short name of a family member, or when
     its untrimmed first word is also that of a family member.
     """
-    members = F.upper("therapeutic_class") == family.upper()
+    members = F.upper(F.rtrim(F.col("therapeutic_class"))) == family.upper()
     drugs = catalog.select("medication_id", "medication_name")
     by_short_name = match_first_token(
         drugs,
@@ -181,12 +185,20 @@ def exposures(
     as_of: datetime,
     order_rules: OrderRules,
     rules: Mapping[str, ExposureRules],
+    patients: DataFrame | None = None,
+    earliest: datetime | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """(patient, encounter, day, drug) given to the patients of ``stays``, unmerged.
 
-    ``stays`` are the cohort patients' encounters, ``drugs`` has a
-    boolean column per rule set for each (medication_id, drug). One boolean column per rule set tells which sets a row
-    counts for, so that orders and administrations are read and joined once for all.
+    ``stays`` are the cohort patients' encounters, ``drugs`` has a boolean column per rule
+    set for each (medication_id, drug). One boolean column per rule set tells which sets a
+    row counts for, so that orders and administrations are read and joined once for all.
+
+    With ``patients``, the patient a rule goes by (the order's, with
+    ``order_patient_in_cohort``, else the stay's) must be one of them. ``earliest`` is the
+    first admission of ``stays``, which bounds the orders; ``keep`` stages the wanted orders,
+    so that their real size decides how the administrations are joined.
     """
     newest = max(as_of - timedelta(days=rule.newest_day) for rule in rules.values())
     wanted = orders.where(
@@ -194,15 +206,28 @@ def exposures(
         & ~F.col("order_class").isin(list(order_rules.excluded_classes))
         & (F.col("provider_type") == order_rules.provider_type)
         & day_not_after(orders, "ordered_at", newest)
-    ).withColumnRenamed("patient_id", "order_patient")
-    wanted = wanted.join(drugs, "medication_id").join(
-        stays.select("encounter_id", "patient_id", "admitted_at"), "encounter_id"
     )
+    starts = [(earliest if rule.from_stay else as_of, rule.oldest_day) for rule in rules.values()]
+    if all(start for start, _ in starts):
+        oldest = min(start - timedelta(days=days) for start, days in starts)
+        wanted = wanted.where(day_not_before(orders, "ordered_at", oldest))
+    wanted = wanted.withColumnRenamed("patient_id", "order_patient")
+    own = stays.select("encounter_id", "patient_id", "admitted_at")
+    members = cohort_keys.select("patient_id")
+    if patients is None:
+        own = own.withColumn("known", F.lit(True))
+    else:
+        known = patients.select("patient_id").distinct()
+        own = own.join(known.withColumn("known", F.lit(True)), "patient_id", "left")
+        members = members.join(known, "patient_id", "left_semi")
+    wanted = wanted.join(drugs, "medication_id").join(own, "encounter_id")
     if any(rule.order_patient_in_cohort for rule in rules.values()):
-        members = cohort_keys.select(
+        members = members.select(
             F.col("patient_id").alias("order_patient"), F.lit(True).alias("in_cohort")
         )
         wanted = wanted.join(members, "order_patient", "left")
+    if keep:
+        wanted = keep(wanted, "wanted-orders")
     given = (
         administrations.where(F.col("taken_at").isNotNull())
         .select("order_id", "taken_at", "action_id", "route_id")
@@ -232,8 +257,7 @@ def exposures(
         test = test & route
         if rule.excluded_actions:
             test = test & ~F.col("action_id").isin(list(rule.excluded_actions))
-        if rule.order_patient_in_cohort:
-            test = test & F.col("in_cohort")
+        test = test & F.col("in_cohort" if rule.order_patient_in_cohort else "known")
         flags.append(F.coalesce(test, F.lit(False)).alias(name))
     kept = reduce(or_, (F.col(name) for name in rules))
     return rows.select(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OPEN_END = "9999-12-31"
 
@@ -43,19 +44,29 @@ def active_flags(
     flags: Sequence[str],
     noted_days: int = 2,
     ended_days: int = 367,
+    admissions: DataFrame | None = None,
 ) -> DataFrame:
     """Cohort keys with a coded condition that was active before an admission.
 
     ``coded`` has one row per condition code of interest with a boolean column for
     each of ``flags`` (see :func:`stack_flags`); the result has 1 or null for each. A
     condition counts when noted at least ``noted_days`` before the admission and ended
-    not earlier than ``ended_days`` before it, or never. Both dates are calendar dates.
+    not earlier than ``ended_days`` before it, or never.
 
-    Per key and noted date the latest end decides, and per key and admission day the
+    Columns with a time of day are compared as instants with ``admissions``, the distinct
+    (key, admitted) of the cohort: the first admission late enough after the noted instant
+    decides. For calendar dates, per key and noted date the latest end decides, and per key and admission day the
     first admission does: dates sit on midnights, so the first admission of a day
     meets both bounds whenever any of that day's does. Both sides of the join are
     thereby bounded by the calendar, however many rows one key has.
     """
+    kinds = {conditions.schema[name].dataType for name in (noted, ended)}
+    if kinds != {T.DateType()}:
+        if admissions is None:
+            raise ValueError(f"{noted} or {ended} has a time of day: admissions are needed")
+        return _active_by_instant(
+            conditions, coded, admissions, key, code_id, noted, ended, flags, noted_days, ended_days
+        )
     open_end = F.lit(OPEN_END).cast("date")
     end = F.coalesce(F.to_date(ended), open_end)
     spans = (
@@ -81,6 +92,45 @@ def active_flags(
     return found.where(reduce(or_, (F.col(flag) == 1 for flag in flags)))
 
 
+def _active_by_instant(
+    conditions: DataFrame,
+    coded: DataFrame,
+    admissions: DataFrame,
+    key: str,
+    code_id: str,
+    noted: str,
+    ended: str,
+    flags: Sequence[str],
+    noted_days: int,
+    ended_days: int,
+) -> DataFrame:
+    open_end = F.lit(f"{OPEN_END} 00:00:00").cast("timestamp_ntz")
+    end = F.coalesce(F.col(ended).cast("timestamp_ntz"), open_end)
+    spans = (
+        conditions.join(coded.select(code_id, *flags), code_id)
+        .groupBy(key, F.col(noted).cast("timestamp_ntz").alias("noted"))
+        .agg(*[F.max(F.when(F.col(flag), end)).alias(flag) for flag in flags])
+        .join(admissions.select(key).distinct(), key, "left_semi")
+    )
+    admitted = F.col("admitted").cast("timestamp_ntz")
+    late_enough = admitted >= F.col("noted") + F.expr(f"INTERVAL {int(noted_days)} DAYS")
+    first = (
+        spans.join(admissions.select(key, "admitted"), key)
+        .where(late_enough)
+        .groupBy(key, "noted", *flags)
+        .agg(F.min(admitted).alias("first"))
+    )
+    reach = F.expr(f"INTERVAL {int(ended_days)} DAYS")
+
+    def reaches(last: Column) -> Column:
+        return last.isNotNull() & ((last >= open_end) | (F.col("first") - reach <= last))
+
+    found = first.groupBy(key).agg(
+        *[F.max(F.when(reaches(F.col(flag)), 1)).alias(flag) for flag in flags]
+    )
+    return found.where(reduce(or_, (F.col(flag) == 1 for flag in flags)))
+
+
 def composite_episodes(
     episodes: DataFrame, stays: DataFrame, *, on: Sequence[str]
 ) -> DataFrame:
@@ -119,16 +169,22 @@ def positive_cultures(
     result_values: DataFrame,
     cultures: DataFrame,
     organisms: DataFrame,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Laboratory orders that grew one of ``organisms``, by result and organism.
 
-    Starts from the organisms, the most selective input, and walks back to the
-    order; ``result_values`` must hold the accepted components only.
+    Goes from the orders, which a cohort has few of, to their results and on to lines,
+    cultures and organisms; ``result_values`` must hold the accepted components only.
+    ``keep`` stages orders and results, so that the larger tables join by their real size.
     """
+    keep = keep or (lambda df, name: df)
+    orders = keep(orders.select("patient_id", "order_id").distinct(), "culture-orders")
+    found = results.join(orders.select("order_id").distinct(), "order_id")
+    found = keep(found.select("order_id", "result_id"), "culture-results")
     grown = (
-        cultures.join(organisms, "organism_id")
-        .join(result_lines, ["result_id", "line"])
-        .join(results, "result_id")
+        found.join(result_lines, "result_id")
+        .join(cultures, ["result_id", "line"])
+        .join(organisms, "organism_id")
     )
     valued = grown.join(
         result_values.select("order_id", "component_id"),

@@ -49,7 +49,7 @@ def times_copies(
     )
 
 
-def total_and_mean(
+def total_and_items(
     prior: DataFrame,
     amounts: DataFrame,
     *,
@@ -57,25 +57,54 @@ def total_and_mean(
     item: str,
     amount: str,
     total_name: str,
-    mean_name: str,
-    copies: DataFrame | None = None,
+    items_name: str,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Sum of ``amount`` over a key's prior items, and that sum per distinct item.
+    """Sum of ``amount`` over a key's prior items, and the number of distinct items.
 
-    An item without an amount still counts in the denominator. With ``copies`` the
-    sum is taken once per cohort row while items stay distinct.
+    An item without an amount still counts; a key without amounts has no sum. ``keys``
+    restricts the keys.
     """
-    integral = is_integral(amounts.schema[amount].dataType)
     items = prior.groupBy(key, item).agg(F.count(F.lit(1)).alias("item_rows"))
-    if copies is not None:
-        items = keep_cohort_keys(items, copies, key)
+    if keys is not None:
+        items = keep_cohort_keys(items, keys, key)
     # Sums over the amount rows themselves: an inner join can broadcast either side.
     totals = (
         items.join(amounts.select(item, amount), item)
         .groupBy(key)
-        .agg(F.sum(F.col(amount) * F.col("item_rows")).alias("total"))
+        .agg(F.sum(F.col(amount) * F.col("item_rows")).alias(total_name))
+    )
+    counted = items.groupBy(key).agg(F.count(item).alias(items_name))
+    return counted.join(totals, key, "left")
+
+
+def total_and_mean(
+    prior: DataFrame,
+    amounts: DataFrame,
+    *,
+    key: str,
+    item: str,
+    amount: str,
+    total_name: str,
+    mean_name: str,
+    copies: DataFrame | None = None,
+) -> DataFrame:
+    """Sum of ``amount`` over a key's prior items, and that sum per distinct item.
+
+    With ``copies`` the sum is taken once per cohort row, before the division, while
+    items stay distinct.
+    """
+    integral = is_integral(amounts.schema[amount].dataType)
+    per_key = total_and_items(
+        prior,
+        amounts,
+        key=key,
+        item=item,
+        amount=amount,
+        total_name="total",
+        items_name="items",
+        keys=copies,
     )
-    per_key = items.groupBy(key).agg(F.count(item).alias("items")).join(totals, key, "left")
     if copies is not None:
         per_key = times_copies(per_key, copies, key, ["total"])
     zero = F.lit(0)

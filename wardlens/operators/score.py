@@ -29,13 +29,21 @@ class ScoreModel:
     intercept: str
     terms: tuple[Term, ...]
 
+    def numbers(self) -> list[str]:
+        """The intercept and the coefficients."""
+        return [self.intercept, *(term.coefficient for term in self.terms)]
+
 
 def linear_score(model: ScoreModel) -> Column:
-    """Exact decimal sum of the intercept and the weighted features; null if one is null."""
+    """Exact decimal sum of the intercept and the weighted features; null if one is null.
+
+    It has as many places as the finest coefficient, four at least.
+    """
     total = F.lit(Decimal(model.intercept))
     for term in model.terms:
         total = total + F.lit(Decimal(term.coefficient)) * CASTS[term.cast](F.col(term.feature))
-    return total.cast("decimal(18,4)")
+    places = max(4, *(-Decimal(number).as_tuple().exponent for number in model.numbers()))
+    return total.cast(f"decimal({14 + places},{places})")
 
 
 def score(rows: DataFrame, model: ScoreModel, *, score_name: str, pct_name: str) -> DataFrame:

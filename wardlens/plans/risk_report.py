@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.codes import models
 from wardlens.codes.codebook import CodeBook, category_map, category_weights
 from wardlens.functions.text import contains_any
-from wardlens.functions.times import compact_day, compact_minute, day_diff, on_days
+from wardlens.functions.numeric import is_integral, ratio
+from wardlens.functions.times import (
+    compact_day,
+    compact_minute,
+    day_diff,
+    midnight,
+    moment_literal,
+    on_days,
+)
 from wardlens.operators import assemble, comorbid, exposure, flags, lookback
 from wardlens.operators.cohort import (
     Lookup,
@@ -48,6 +56,7 @@ class ReportOptions:
     icu_reach: int = 367
     noted_days: int = 2
     ended_days: int = 367
+    procedure_days: int = 367
     per_patient: bool = False
     one_row: bool = False
     codes: CodeBook = field(default_factory=CodeBook)
@@ -97,6 +106,22 @@ def cohort_encounters(tables: Tables, options: ReportOptions) -> DataFrame:
     )
 
 
+def cohort_span(options: ReportOptions) -> tuple[datetime, datetime]:
+    """The first instant of the cohort's days, and the first one after them."""
+    first = midnight(options.as_of, options.cohort_first_day)
+    return first, midnight(options.as_of, options.cohort_last_day + 1)
+
+
+def from_instant(df: DataFrame, column: str, moment: datetime) -> Column:
+    """A lower bound on a raw column, for the scan."""
+    return F.col(column) >= moment_literal(moment, df.schema[column].dataType)
+
+
+def before_instant(df: DataFrame, column: str, moment: datetime) -> Column:
+    """An upper bound on a raw column, for the scan."""
+    return F.col(column) < moment_literal(moment, df.schema[column].dataType)
+
+
 def prior_inpatient(stays: DataFrame, tables: Tables, options: ReportOptions) -> DataFrame:
     """Inpatient stays of the look-back window."""
     base_class = options.codes.inpatient_base_class
@@ -115,21 +140,24 @@ def prior_inpatient(stays: DataFrame, tables: Tables, options: ReportOptions) ->
 def stay_features(
     prior: DataFrame, tables: Tables, anchors: DataFrame, options: ReportOptions
 ) -> list[DataFrame]:
-    """Prior stays, total and mean length of stay, ICU days; each for one cohort row."""
+    """Prior stays, total length and number of stays, ICU days; each for one cohort row."""
+    icu = tables["icu_stays"]
+    first, _ = cohort_span(options)
+    icu = icu.where(from_instant(icu, "entered_at", first - timedelta(days=options.icu_reach)))
     return [
         lookback.count_per_key(prior, "patient_id", "encounter_id", "prior_hosp"),
-        lookback.total_and_mean(
+        lookback.total_and_items(
             prior,
             tables["stay_lengths"],
             key="patient_id",
             item="encounter_id",
             amount="stay_days",
             total_name="los_prev",
-            mean_name="los_prev_mean",
+            items_name="los_items",
         ),
         lookback.episode_days(
             prior,
-            tables["icu_stays"],
+            icu,
             anchors,
             key="patient_id",
             item="encounter_id",
@@ -143,7 +171,7 @@ def stay_features(
 
 
 # Counted once per cohort row of the patient.
-PER_COHORT_ROW = ("prior_hosp", "los_prev", "los_prev_mean", "icu_days")
+PER_COHORT_ROW = ("prior_hosp", "los_prev", "icu_days")
 
 
 def coded_conditions(tables: Tables, options: ReportOptions) -> DataFrame:
@@ -158,11 +186,25 @@ def coded_conditions(tables: Tables, options: ReportOptions) -> DataFrame:
 
 
 def condition_features(
-    tables: Tables, coded: DataFrame, anchors: DataFrame, options: ReportOptions
+    tables: Tables,
+    coded: DataFrame,
+    anchors: DataFrame,
+    cohort: DataFrame,
+    options: ReportOptions,
 ) -> DataFrame:
-    """Immune compromise and infection from the problem list, read once for both."""
+    """Immune compromise and infection from the problem list, read once for both.
+
+    The cohort's days bound both dates before any admission is known.
+    """
+    problems = tables["problems"]
+    first, end = cohort_span(options)
+    noted = before_instant(problems, "noted_on", end - timedelta(days=options.noted_days))
+    ended = from_instant(problems, "ended_on", first - timedelta(days=options.ended_days))
+    admissions = cohort.select("patient_id", F.col("admitted_at").alias("admitted")).distinct()
+    if options.per_patient:
+        admissions = admissions.groupBy("patient_id").agg(F.min("admitted").alias("admitted"))
     return flags.active_flags(
-        tables["problems"],
+        problems.where(noted & (F.col("ended_on").isNull() | ended)),
         coded,
         anchors,
         key="patient_id",
@@ -172,6 +214,7 @@ def condition_features(
         flags=["immune", "infection"],
         noted_days=options.noted_days,
         ended_days=options.ended_days,
+        admissions=admissions,
     )
 
 
@@ -218,9 +261,15 @@ def drug_exposures(
     drugs: DataFrame,
     keys: DataFrame,
     options: ReportOptions,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """Drugs given to the cohort's patients, by day, flagged by drug set."""
+    """Drugs given to the cohort's patients, by day, flagged by drug set.
+
+    With a stage, the first admission of ``stays`` bounds the orders, and the wanted orders
+    are staged before the administrations join.
+    """
     codes = options.codes
+    earliest = stays.agg(F.min("admitted_at")).first()[0] if stage else None
     return exposure.exposures(
         tables["drug_orders"],
         tables["administrations"],
@@ -234,6 +283,9 @@ def drug_exposures(
             "antibiotic": codes.antibiotic_rules,
             "beta_lactam": codes.beta_lactam_rules,
         },
+        patients=tables["patients"],
+        earliest=earliest,
+        keep=stage.keep if stage else None,
     )
 
 
@@ -295,8 +347,36 @@ def comorbidity_feature(
     )
 
 
+def procedure_feature(
+    tables: Tables, cohort: DataFrame, codes: DataFrame, options: ReportOptions
+) -> DataFrame:
+    """(patient_id, prev_gi): 'YES' or 'NO' for the codes of procedures of cohort encounters.
+
+    A procedure counts by its contact date, up to ``procedure_days`` before the admission and
+    not after it. ``codes`` has one column, ``procedure_code``. Not part of the report.
+    """
+    dates = tables["procedure_dates"]
+    first, end = cohort_span(options)
+    reach = timedelta(days=options.procedure_days)
+    dates = dates.where(
+        from_instant(dates, "contact_on", midnight(first - reach))
+        & before_instant(dates, "contact_on", end)
+    )
+    contact = F.col("contact_on").cast("timestamp_ntz")
+    oldest = F.col("admitted_at") - F.expr(f"INTERVAL {int(options.procedure_days)} DAYS")
+    rows = (
+        cohort.select("patient_id", "encounter_id", "admitted_at")
+        .join(tables["lab_orders"].select("encounter_id", "procedure_id"), "encounter_id")
+        .join(dates.distinct(), "procedure_id")
+        .where(contact.between(oldest, F.col("admitted_at")))
+        .join(tables["procedures"], "procedure_id", "left")
+    )
+    flagged = flags.code_case_flag(rows, codes, code="procedure_code", name="prev_gi")
+    return flagged.select("patient_id", "prev_gi").distinct()
+
+
 def resistance_features(
-    tables: Tables, keys: DataFrame, options: ReportOptions
+    tables: Tables, keys: DataFrame, options: ReportOptions, stage: Stage | None = None
 ) -> list[DataFrame]:
     """Resistant organisms in the registry and in the laboratory."""
     codes = options.codes
@@ -308,16 +388,27 @@ def resistance_features(
         status="infection_status",
         status_not=codes.registry_status_left_out,
     )
-    grown = lab_hits(tables, options).select("patient_id").distinct()
+    grown = lab_hits(tables, options, keys, stage).select("patient_id").distinct()
     return [
         keep_cohort_keys(rows, keys, "patient_id").withColumn(name, F.lit(1))
         for name, rows in (("cre_prev", registered), ("cre_lab_prev", grown))
     ]
 
 
-def lab_hits(tables: Tables, options: ReportOptions) -> DataFrame:
-    """Culture orders that grew a resistant organism, with the specimen's minute."""
+def lab_hits(
+    tables: Tables,
+    options: ReportOptions,
+    keys: DataFrame | None = None,
+    stage: Stage | None = None,
+) -> DataFrame:
+    """Culture orders that grew a resistant organism, with the specimen's minute.
+
+    ``keys`` restricts the patients before any result is looked at.
+    """
     codes = options.codes
+    orders = tables["lab_orders"].where(F.col("order_type") == codes.culture_order_type)
+    if keys is not None:
+        orders = orders.join(keys.select("patient_id"), "patient_id", "left_semi")
     organisms = tables["organisms"].where(
         (F.col("record_type") == codes.organism_record_type)
         & contains_any(F.col("organism"), [codes.organism_name_part])
@@ -326,13 +417,14 @@ def lab_hits(tables: Tables, options: ReportOptions) -> DataFrame:
         F.col("value").isNotNull() & (F.col("component_id") != codes.status_component)
     )
     hits = flags.positive_cultures(
-        tables["lab_orders"].where(F.col("order_type") == codes.culture_order_type),
+        orders,
         tables["specimens"],
         tables["results"],
         tables["result_lines"],
         values,
         tables["cultures"],
         organisms,
+        stage.keep if stage else None,
     )
     return hits.withColumn("collected_at", compact_minute(F.col("taken_at")))
 
@@ -350,9 +442,14 @@ def patient_rows(
     )
     wide = assemble.stack_features(features, "patient_id")
     rows = copies.join(people, "patient_id", "left").join(wide, "patient_id", "left")
+    rows = rows.withColumns({name: F.col(name) * F.col("copies") for name in PER_COHORT_ROW})
+    # The total is taken once per cohort row before the division, stays stay distinct.
+    integral = is_integral(tables["stay_lengths"].schema["stay_days"].dataType)
+    mean = ratio(F.col("los_prev"), F.col("los_items"), integral)
+    # Every patient has an index; a cohort row without a patient has none.
     return rows.withColumns(
-        {name: F.col(name) * F.col("copies") for name in PER_COHORT_ROW}
-    ).drop("copies")
+        {"los_prev_mean": mean, "cci_score": F.coalesce("cci_score", F.lit(0))}
+    ).drop("copies", "los_items")
 
 
 def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) -> DataFrame:
@@ -398,8 +495,13 @@ def encounter_rows(cohort: DataFrame, tables: Tables, options: ReportOptions) ->
     # Days are taken from leaving to entering, as the report has it: positive only
     # where a stay's times are swapped. Merged per entry time before the join.
     swapped = day_diff(F.col("left_at"), F.col("entered_at")) > 0
+    icu_stays = tables["icu_stays"]
+    start, end = cohort_span(options)
+    in_reach = from_instant(icu_stays, "entered_at", start) & before_instant(
+        icu_stays, "entered_at", end + timedelta(hours=24)
+    )
     entries = assemble.flag_values(
-        tables["icu_stays"], ["encounter_id", "entered_at"], swapped, "icu_24h"
+        icu_stays.where(in_reach), ["encounter_id", "entered_at"], swapped, "icu_24h"
     )
     entries = keep_cohort_keys(entries, cohort, "encounter_id")
     first_day = lookback.within_hours(
@@ -471,7 +573,7 @@ def assembled(
         assemble.one_zero(diabetes).alias("diabetes_num"),
         "cre_prev",
         "cre_lab_prev",
-        assemble.or_zero("cci_score"),
+        "cci_score",
         "stay_days",
         "icu_24h",
     )
@@ -516,7 +618,7 @@ def feature_rows(
         "stays",
     )
 
-    given = drug_exposures(tables, stays, drugs, copies, options)
+    given = drug_exposures(tables, stays, drugs, copies, options, stage)
     therapy = exposure.days_of_therapy(
         given,
         key="patient_id",
@@ -526,11 +628,11 @@ def feature_rows(
     )
     features = [
         *stay_features(prior_inpatient(stays, tables, options), tables, anchors, options),
-        condition_features(tables, kept["coded"], anchors, options),
+        condition_features(tables, kept["coded"], anchors, cohort, options),
         ventilation_feature(stays, tables, options),
         therapy,
         comorbidity_feature(tables, copies, labels, options),
-        *resistance_features(tables, copies, options),
+        *resistance_features(tables, copies, options, stage),
     ]
     people = stage.keep(patient_rows(tables, copies, features, options), "features")
     return assembled(encounter_rows(cohort, tables, options), people, options)
@@ -539,7 +641,11 @@ def feature_rows(
 def risk_report(
     tables: Tables, options: ReportOptions, stage: Stage | None = None
 ) -> DataFrame:
-    """The scored report: one row per cohort encounter, see :class:`ReportOptions`."""
+    """The scored report: one row per cohort encounter, see :class:`ReportOptions`.
+
+    Staging jobs run before this returns, and the result reads what they wrote: give a
+    ``stage`` of your own, write the result, then remove the stage.
+    """
     rows = feature_rows(tables, options, stage)
     scored = score(rows, options.model, score_name="score", pct_name=options.pct_name)
     return scored.select(*REPORT_COLUMNS, "score", options.pct_name)

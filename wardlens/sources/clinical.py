@@ -6,7 +6,7 @@ Only columns a result depends on are read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,8 +105,8 @@ LAYOUT: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
         {
             "patient_id": ("PAT_ID", "string"),
             "dx_id": ("DX_ID", "bigint"),
-            "noted_on": ("NOTED_DATE", "date"),
-            "ended_on": ("NOTED_END_DATE", "date"),
+            "noted_on": ("NOTED_DATE", "keep"),
+            "ended_on": ("NOTED_END_DATE", "keep"),
         },
     ),
     "diagnoses": (
@@ -205,7 +205,7 @@ LAYOUT: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
     ),
     "procedure_dates": (
         "CLARITY_EAP_OT",
-        {"procedure_id": ("PROC_ID", "bigint"), "contact_on": ("CONTACT_DATE", "date")},
+        {"procedure_id": ("PROC_ID", "bigint"), "contact_on": ("CONTACT_DATE", "keep")},
     ),
     "seen_diagnoses": (
         "F_DIAGNOSIS_INFO",
@@ -266,6 +266,10 @@ LAYOUT: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
 }
 
 
+#: Types of columns that keep their source's, where there is no source.
+KEPT = {"noted_on": "date", "ended_on": "date", "contact_on": "date"}
+
+
 def report_columns(df: DataFrame, role: str) -> DataFrame:
     """A source table with the report's column names and types.
 
@@ -282,17 +286,39 @@ def report_columns(df: DataFrame, role: str) -> DataFrame:
     return df.select(*columns)
 
 
-def load(open_table: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+class Opened(Mapping[str, DataFrame]):
+    """The report tables by role, each opened when it is first asked for.
+
+    A site without a table that no wanted feature reads does not need it.
+    """
+
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        self.open_table = open_table
+        self.tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, role: str) -> DataFrame:
+        if role not in self.tables:
+            self.tables[role] = report_columns(self.open_table(LAYOUT[role][0]), role)
+        return self.tables[role]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(LAYOUT)
+
+    def __len__(self) -> int:
+        return len(LAYOUT)
+
+
+def load(open_table: Callable[[str], DataFrame]) -> Mapping[str, DataFrame]:
     """All report tables, each source table opened by name with ``open_table``."""
-    return {role: report_columns(open_table(table), role) for role, (table, _) in LAYOUT.items()}
+    return Opened(open_table)
 
 
-def load_catalog(spark: SparkSession, schema: str | None = None) -> dict[str, DataFrame]:
+def load_catalog(spark: SparkSession, schema: str | None = None) -> Mapping[str, DataFrame]:
     """Report tables from the catalog, ``schema`` being ``catalog.schema``."""
     return load(lambda table: catalog_table(spark, table, schema))
 
 
-def load_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def load_parquet(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Report tables from a folder of Parquet files named after the source tables."""
     return load(lambda table: parquet_table(spark, folder, table))
 
@@ -302,7 +328,7 @@ def empty_tables(spark: SparkSession, roles: Iterable[str] = tuple(LAYOUT)) -> d
     return {
         role: spark.range(0).select(
             *[
-                F.lit(None).cast("double" if kind == "keep" else kind).alias(name)
+                F.lit(None).cast(KEPT.get(name, "double") if kind == "keep" else kind).alias(name)
                 for name, (_, kind) in LAYOUT[role][1].items()
             ]
         )

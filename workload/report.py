@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.codes import models
-from wardlens.codes.codebook import CodeBook
+from wardlens.codes.codebook import CodeBook, code_table
 from wardlens.operators.cohort import copies_per_key
 from wardlens.operators.exposure import ExposureRules, OrderRules, merged
 from wardlens.plans.risk_report import (
@@ -17,6 +17,7 @@ from wardlens.plans.risk_report import (
     cohort_encounters,
     drug_exposures,
     drug_sets,
+    procedure_feature,
     risk_report,
 )
 from workload.registry import query
@@ -63,8 +64,12 @@ OPTIONS = ReportOptions(
 )
 
 
-def clinical_tables(r: Retail) -> dict[str, DataFrame]:
-    """Every input table of the report as a projection of the retail tables."""
+def clinical_tables(r: Retail, whole_days: bool = False) -> dict[str, DataFrame]:
+    """Every input table of the report as a projection of the retail tables.
+
+    Some customers are no patients, and every second line of an order is ordered for the
+    next customer. With ``whole_days`` stay lengths are whole numbers.
+    """
     col = F.col
     lines = r.lineitem
     sold = lines.join(r.orders, col("l_orderkey") == col("o_orderkey"))
@@ -79,6 +84,7 @@ def clinical_tables(r: Retail) -> dict[str, DataFrame]:
             *[(col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
         )
 
+    stay_days = col("l_quantity").cast("int") if whole_days else col("l_quantity")
     status = F.when(col("o_orderstatus") == "F", 2).when(col("o_orderstatus") == "P", 6)
     return {
         "encounters": pick(
@@ -94,7 +100,7 @@ def clinical_tables(r: Retail) -> dict[str, DataFrame]:
             stay_id="o_orderkey",
         ),
         "patients": pick(
-            r.customer,
+            r.customer.where(col("c_custkey") % 10 != 3),
             patient_id="c_custkey",
             first_name="c_name",
             last_name="c_mktsegment",
@@ -110,7 +116,7 @@ def clinical_tables(r: Retail) -> dict[str, DataFrame]:
             unit=col("n_regionkey").cast("string"),
         ),
         "admit_sources": pick(r.region, admit_source_id="r_regionkey", admit_source="r_name"),
-        "stay_lengths": pick(lines, encounter_id="l_orderkey", stay_days="l_quantity"),
+        "stay_lengths": pick(lines, encounter_id="l_orderkey", stay_days=stay_days),
         "accounts": pick(r.orders, account_id="o_orderkey", financial_class_id=grade),
         "financial_classes": pick(
             r.region, financial_class_id="r_regionkey", financial_class="r_name"
@@ -162,7 +168,7 @@ def clinical_tables(r: Retail) -> dict[str, DataFrame]:
             sold,
             order_id=line_id,
             encounter_id="l_orderkey",
-            patient_id="o_custkey",
+            patient_id=col("o_custkey") + F.when(col("l_linenumber") == 2, 1).otherwise(0),
             medication_id="l_partkey",
             ordered_at="o_orderdate",
             ordering_mode=F.when(final, 2).otherwise(1),
@@ -247,7 +253,9 @@ given AS (
          beta_lactam, CAST(a.l_quantity AS INTEGER) AS action,
          coalesce(o.l_returnflag <> 'N' AND o.l_suppkey IN (4, 5, 6, 7, 11, 12, 15, 17), false)
            OR a.l_linenumber = 2 AS routed,
-         o.l_returnflag = 'N' AND a.l_linenumber = 7 AS no_route
+         o.l_returnflag = 'N' AND a.l_linenumber = 7 AS no_route,
+         o_custkey % 10 <> 3 AS known,
+         CASE WHEN o.l_linenumber = 2 THEN o_custkey + 1 ELSE o_custkey END AS order_pid
   FROM orders
   JOIN lineitem o ON o.l_orderkey = o_orderkey
   JOIN drug ON p_partkey = o.l_partkey
@@ -270,7 +278,7 @@ inpatient AS (
 ),
 stays AS (SELECT pid, count(eid) AS prior_hosp FROM inpatient GROUP BY pid),
 lengths AS (
-  SELECT pid, sum(l_quantity) AS total, sum(l_quantity) / count(DISTINCT eid) AS mean
+  SELECT pid, sum({days}) AS total, sum({days}) {over} count(DISTINCT eid) AS mean
   FROM inpatient LEFT JOIN lineitem ON l_orderkey = eid GROUP BY pid
 ),
 icu AS (
@@ -307,11 +315,12 @@ vent AS (
 dot AS (
   SELECT pid, count(DISTINCT strftime(day, '%m/%d/%y') || word) AS days FROM given
   WHERE antibiotic AND routed AND action NOT IN (2, 3, 4) AND ordered >= TIMESTAMP '1998-01-14'
+    AND order_pid % 10 <> 3 AND order_pid IN (SELECT pid FROM cohort)
   GROUP BY pid
 ),
 lactam AS (
   SELECT pid, count(DISTINCT strftime(day, '%m/%d/%y') || word) AS days FROM given
-  WHERE beta_lactam AND (routed OR no_route) GROUP BY pid
+  WHERE beta_lactam AND (routed OR no_route) AND known GROUP BY pid
 ),
 parent AS (
   SELECT DISTINCT o_custkey AS pid, up.p_name AS code
@@ -365,7 +374,7 @@ rows AS (
     CAST(coalesce(cci.total, 0) AS BIGINT) AS cci_score,
     {unread}
   FROM cohort
-  LEFT JOIN customer ON c_custkey = cohort.pid
+  LEFT JOIN customer ON c_custkey = cohort.pid AND c_custkey % 10 <> 3
   LEFT JOIN nation sex ON sex.n_nationkey = c_nationkey
   LEFT JOIN nation dep ON dep.n_nationkey = cohort.grade
   LEFT JOIN region ON r_regionkey = cohort.grade
@@ -395,6 +404,8 @@ FROM scored
 AS_WRITTEN = {
     "copies": "SELECT pid, adm FROM cohort",
     "vent": "vent.started",
+    "days": "l_quantity",
+    "over": "/",
     "unread": "l_quantity AS stay_days, coalesce(icu_24h.swapped, false) AS swapped",
     "fan_out": """
   LEFT JOIN vent ON vent.pid = cohort.pid
@@ -405,6 +416,8 @@ AS_WRITTEN = {
 ONE_ROW = {
     "copies": "SELECT pid, min(adm) AS adm FROM cohort GROUP BY pid",
     "vent": "cohort.pid IN (SELECT pid FROM vent WHERE started)",
+    "days": "l_quantity",
+    "over": "/",
     "unread": "NULL AS stay_days, NULL AS swapped",
     "fan_out": "",
 }
@@ -416,9 +429,8 @@ def report_sql(parts: dict[str, str]) -> str:
     )
 
 
-def report(r: Retail, options: ReportOptions) -> DataFrame:
-    # One pass over orders and lines, which stand for many clinical tables each.
-    rows = risk_report(clinical_tables(r.staged()), options)
+def report(r: Retail, options: ReportOptions, whole_days: bool = False) -> DataFrame:
+    rows = risk_report(clinical_tables(r, whole_days), options, r.stage)
     return rows.withColumn(options.pct_name, F.col(options.pct_name).cast("decimal(10,2)"))
 
 
@@ -439,8 +451,9 @@ def one_row(r):
     flagged AS (
       SELECT pid, eid, CAST(day AS DATE) AS day, word,
              antibiotic AND routed AND action NOT IN (2, 3, 4)
-               AND ordered >= TIMESTAMP '1998-01-14' AS antibiotic,
-             beta_lactam AND (routed OR no_route) AS beta_lactam
+               AND ordered >= TIMESTAMP '1998-01-14' AND order_pid % 10 <> 3
+               AND order_pid IN (SELECT pid FROM cohort) AS antibiotic,
+             beta_lactam AND (routed OR no_route) AND known AS beta_lactam
       FROM given
     )
     SELECT pid AS patient_id, eid AS encounter_id, day, word AS drug,
@@ -453,7 +466,52 @@ def given_drugs(r):
     cohort = cohort_encounters(tables, OPTIONS)
     keys = r.stage.keep(copies_per_key(cohort, "patient_id"), "patients")
     stays = tables["encounters"].join(keys.select("patient_id"), "patient_id", "left_semi")
-    rows = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS)
+    stays = r.stage.keep(stays.select("patient_id", "encounter_id", "admitted_at"), "stays")
+    rows = drug_exposures(tables, stays, drug_sets(tables, OPTIONS), keys, OPTIONS, r.stage)
     return merged(
         rows, ["patient_id", "encounter_id", "day", "drug"], ["antibiotic", "beta_lactam"]
     )
+
+
+WHOLE_DAYS = AS_WRITTEN | {
+    "days": "CAST(l_quantity AS INTEGER)",
+    "over": "//",
+    "unread": "CAST(l_quantity AS INTEGER) AS stay_days, coalesce(icu_24h.swapped, false) AS swapped",
+}
+
+
+@query("q36_risk_report_whole_days", report_sql(WHOLE_DAYS))
+def whole_days(r):
+    return report(r, OPTIONS, whole_days=True)
+
+
+PROCEDURE_CODES = ["Brand#1", "Brand#2", "Brand#3"]
+
+
+@query(
+    "q37_procedure_feature",
+    f"""
+    WITH {ENCOUNTERS_SQL}
+    SELECT DISTINCT pid AS patient_id,
+           CASE WHEN p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') THEN 'YES' ELSE 'NO' END AS prev_gi
+    FROM cohort JOIN lineitem ON l_orderkey = eid JOIN part ON p_partkey = l_partkey
+    WHERE DATE '1997-12-20' + CAST(p_size * 10 AS INTEGER) BETWEEN adm - INTERVAL 367 DAY AND adm
+    """,
+)
+def procedures(r):
+    """Lines as procedures of their order, parts with a date of their own."""
+    contact = F.date_add(F.lit(date(1997, 12, 20)), F.col("p_size") * 10)
+    tables = clinical_tables(r) | {
+        "lab_orders": r.lineitem.select(
+            F.col("l_orderkey").alias("encounter_id"), F.col("l_partkey").alias("procedure_id")
+        ),
+        "procedures": r.part.select(
+            F.col("p_partkey").alias("procedure_id"), F.col("p_brand").alias("procedure_code")
+        ),
+        "procedure_dates": r.part.select(
+            F.col("p_partkey").alias("procedure_id"), contact.alias("contact_on")
+        ),
+    }
+    cohort = r.stage.keep(cohort_encounters(tables, OPTIONS), "cohort")
+    codes = code_table(r.spark, PROCEDURE_CODES, "procedure_code")
+    return procedure_feature(tables, cohort, codes, OPTIONS)

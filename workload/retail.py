@@ -68,23 +68,6 @@ class Retail:
             self.tables[name] = parquet_table(self.spark, self.folder, name, SCHEMAS[name])
         return self.tables[name]
 
-    def staged(self) -> Retail:
-        """The same tables, orders and lines cut down to the cohort's customers.
-
-        Every feature of the cohort gives the same rows on them, and the large tables
-        are read once however many features follow.
-        """
-        cut = Retail(self.spark, self.folder, **self.tables)
-        cut.stage = self.stage
-        cut.cohort = self.stage.keep(self.cohort, "cohort")
-        cut.copies = self.stage.keep(copies_per_key(cut.cohort, "o_custkey"), "copies")
-        orders = self.orders.join(cut.copies.select("o_custkey"), "o_custkey", "left_semi")
-        cut.tables["orders"] = self.stage.keep(orders, "orders")
-        keys = cut.orders.select(F.col("o_orderkey").alias("l_orderkey"))
-        lines = self.lineitem.join(keys, "l_orderkey", "left_semi")
-        cut.tables["lineitem"] = self.stage.keep(lines, "lineitem")
-        return cut
-
     @cached_property
     def stage(self) -> Stage:
         return Stage(self.spark)

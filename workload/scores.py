@@ -52,7 +52,6 @@ LEFT JOIN ({ORACLES["q24_weighted_index"]}) idx USING (o_custkey)
 
 @query("q27_assemble", FEATURES_SQL)
 def features(r):
-    r = r.staged()
     copies = r.copies
     ages = r.customer.select(
         F.col("c_custkey").alias("o_custkey"),
