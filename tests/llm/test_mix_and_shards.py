@@ -1,0 +1,121 @@
+"""Mixing and sharding against plain Python and SQL."""
+
+import math
+import re
+import zlib
+
+import pytest
+from llm_documents import FOLDER, TEXTS, by_id, documents
+
+from wardlens.llm import mixing, queries, sharding
+from workload.compare import oracle_rows, spark_rows
+
+FOLDER_2 = "/root/testdata/sf0.01"
+
+
+def water_filling(sizes, weights=(3, 1, 2), total=1.5, most=2):
+    """Targets by sharing the excess again until none is above its limit."""
+    names = sorted(sizes, key=lambda n: (n is None, n or ""))
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    open_, left, target = set(names), total * sum(sizes.values()), {}
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        over = {n for n in open_ if weight[n] * level >= most * sizes[n]}
+        if not over:
+            return target | {n: weight[n] * level for n in open_}
+        for n in over:
+            target[n] = most * sizes[n]
+            left -= target[n]
+        open_ -= over
+    return target
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def check_mix(rows, docs):
+    """``docs``: (doc_id, source, text) of all rows."""
+    sizes = {}
+    for _, source, text in docs:
+        sizes[source] = sizes.get(source, 0) + words(text)
+    targets, taken, largest = water_filling(sizes), {}, {}
+    for doc_id, source, text in docs:
+        row, size = rows[doc_id], words(text)
+        assert (row.size, row.source_size) == (size, sizes[source])
+        assert math.isclose(row.target, targets[source], rel_tol=1e-9, abs_tol=1e-9)
+        assert 0 <= row.taken <= 2 * size and row.taken == row.copies * size
+        taken[source] = taken.get(source, 0) + row.taken
+        largest[source] = max(largest.get(source, 0), size)
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= max(largest[source], 0.02 * target)
+
+
+@pytest.mark.parametrize("folder", [FOLDER, FOLDER_2])
+def test_mix_of_the_table(spark, folder):
+    query = queries.QUERIES["op7_entropy_mixing"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    rows = by_id(query(spark, folder))
+    check_mix(rows, [(d.doc_id, d.source, d.text) for d in docs])
+    assert by_id(query(spark, folder)) == rows
+
+
+def test_mix_of_awkward_documents(spark):
+    given = [(i or None, None if i % 5 == 0 else f"s{i % 3}", t) for i, t in enumerate(TEXTS)]
+    check_mix(by_id(mixing.mix_report(documents(spark, repeats=0))), given)
+    docs = documents(spark)
+    rows = mixing.mix_report(docs)
+    assert rows.count() == len(TEXTS) + 1
+    found = by_id(rows)
+    repeated = mixing.mix(docs)
+    assert repeated.columns == docs.columns
+    counts = {r.doc_id: r["count"] for r in repeated.groupBy("doc_id").count().collect()}
+    for i in range(1, len(TEXTS) - 1):
+        assert counts.get(i, 0) == found[i].copies
+    assert mixing.mix_report(docs.limit(0)).count() == mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mix_of_blank_documents_only(spark):
+    docs = documents(spark, [None, "", " "], repeats=0)
+    rows = mixing.mix_report(docs).collect()
+    assert [(r.size, r.target, r.taken, r.copies) for r in rows] == [(0, 0.0, 0, 1)] * 3
+
+
+def test_hash_borders_split_large_cells(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TOGETHER", 10)
+    rows = by_id(queries.QUERIES["op7_entropy_mixing"](spark, FOLDER_2))
+    monkeypatch.undo()
+    assert by_id(queries.QUERIES["op7_entropy_mixing"](spark, FOLDER_2)) == rows
+
+
+@pytest.mark.parametrize("together", [50_000, 7])
+def test_shards_like_sql(spark, monkeypatch, together):
+    monkeypatch.setattr(sharding, "TOGETHER", together)
+    found = spark_rows(queries.QUERIES["op8_interleaved_shards"](spark, FOLDER))
+    assert found == oracle_rows(FOLDER, queries.ORACLES["op8_interleaved_shards"])
+
+
+def test_shards_of_awkward_documents(spark):
+    docs = documents(spark)
+    rows = sharding.shard(docs, shards=3).collect()
+    assert len(rows) == len(TEXTS) + 1
+    by_shard = {}
+    for row in rows:
+        text = (TEXTS[row.doc_id or 0] or "").encode()
+        assert (row.size, row.text_crc32) == (len(text) + 1, zlib.crc32(text))
+        assert row.law == "rows" and row.grown_shard is None
+        by_shard.setdefault(row.shard, []).append(row.slot)
+    assert sorted(by_shard) == [0, 1, 2]
+    assert all(sorted(slots) == list(range(len(slots))) for slots in by_shard.values())
+    sizes = [len(slots) for slots in by_shard.values()]
+    assert max(sizes) - min(sizes) <= 1
+    assert sharding.shard(docs.limit(0)).count() == 0
+
+
+def test_shards_hold_the_mixture(spark):
+    docs = spark.read.parquet(f"{FOLDER_2}/documents.parquet").select("doc_id", "source")
+    rows = queries.QUERIES["op8_interleaved_shards"](spark, FOLDER_2).join(docs, "doc_id")
+    counts = {(r.shard, r.source): r["count"] for r in rows.groupBy("shard", "source").count().collect()}
+    for source in {s for _, s in counts}:
+        of = [counts.get((k, source), 0) for k in range(8)]
+        assert max(of) - min(of) <= 2

@@ -35,7 +35,7 @@ CONDITIONS = 4
 RULES = 16
 #: What a rule must reach on the rows it was not grown on.
 PRECISION = 0.95
-COVERED = 8
+COVERED = 5
 
 COUNTS = (
     "n_words",
