@@ -9,15 +9,43 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Most words remembered by a Python worker; beyond it the memory starts anew.
-REMEMBERED = 500_000
+#: Most words remembered by a Python worker; beyond it the older ones go.
+REMEMBERED = 800_000
 #: Longer words are not remembered.
-LONGEST = 200
+LONGEST = 100
+#: Tables of remembered words before they become one.
+TABLES = 5
+
+
+@dataclass
+class Table:
+    """Words with their bytes, in the order of the words' hashes."""
+
+    hashes: np.ndarray
+    words: pa.StringArray
+    values: pa.BinaryArray
+
+    def places(self, hashes: np.ndarray, words: pa.StringArray) -> np.ndarray:
+        """Where the words are, -1 for words that are not here."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        same = np.flatnonzero(self.hashes[at] == hashes)
+        # Equal hashes are not enough: the words themselves decide.
+        equal = pc.equal(self.words.take(pa.array(at[same])), words.take(pa.array(same)))
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        sure = same[equal.to_numpy(zero_copy_only=False)]
+        found[sure] = at[sure]
+        return found
+
+
+def table_of(hashes: np.ndarray, words: pa.StringArray, values: pa.BinaryArray) -> Table:
+    order = np.argsort(hashes, kind="stable")
+    return Table(hashes[order], words.take(pa.array(order)), values.take(pa.array(order)))
 
 
 class ChunkMemory:
@@ -39,7 +67,7 @@ class ChunkMemory:
         feeds: bool,
     ):
         self.work, self.plain, self.chunk, self.whole, self.feeds = work, plain, chunk, whole, feeds
-        self.known: dict[str, bytes | None] = {}
+        self.tables: list[Table] = []
 
     def join(
         self, texts: pa.StringArray, before: bytes = b"", otherwise: Callable[[str], bytes] | None = None
@@ -49,6 +77,8 @@ class ChunkMemory:
         ``otherwise`` gives the bytes (with what stands before) of a text that has a chunk
         for which ``work`` has none.
         """
+        from pandas.util import hash_array
+
         spaced = pc.replace_substring(texts, "\n", " \n") if self.feeds else texts
         split = pc.split_pattern(spaced, " ")
         places = split.offsets.to_numpy().astype(np.int64)
@@ -56,27 +86,47 @@ class ChunkMemory:
         places -= places[0]
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         heads = places[:-1]
-        words: list[str] = coded.dictionary.to_pylist()
-        known = self.known
-        fresh = [word for word in words if word not in known]
-        odd = {word for word in fresh if not self.plain(word)}
-        # A text is odd for any odd word, its head included.
-        strange = np.fromiter((word in odd for word in words), bool, len(words)) if odd else np.zeros(len(words), bool)
-        odd_texts = np.flatnonzero(np.add.reduceat(strange[index], heads)) if odd else np.array([], int)
-        head_words = [words[i] for i in index[heads].tolist()]
-        for i in np.flatnonzero([word[:1].isspace() for word in head_words]).tolist():
-            odd_texts = np.union1d(odd_texts, [i])
-        wholes = {i: self.whole(texts[i].as_py()) for i in odd_texts.tolist()}
-        fresh = [word for word in fresh if word not in odd]
-        chunks = {self.chunk(word, False) for word in fresh}
+        words = coded.dictionary
+        hashes = hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
+
+        # What is known comes first into the bank of bytes, table by table.
+        slot = np.full(len(words), -1, dtype=np.int64)
+        bank, size = [], 0
+        for table in self.tables:
+            open_ = np.flatnonzero(slot < 0)
+            at = table.places(hashes[open_], words.take(pa.array(open_)))
+            hit = at >= 0
+            slot[open_[hit]] = size + np.arange(hit.sum())
+            bank.append(table.values.take(pa.array(at[hit])))
+            size += int(hit.sum())
+        new = np.flatnonzero(slot < 0)
+        fresh = words.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist()
+
+        odd = np.array([not self.plain(word) for word in fresh], dtype=bool)
+        head_words = words.take(pa.array(index[heads])).to_numpy(zero_copy_only=False).tolist()
+        strange = np.zeros(len(words), dtype=bool)
+        strange[new[odd]] = True
+        in_text = np.add.reduceat(strange[index], heads) > 0
+        in_text |= np.array([word[:1].isspace() for word in head_words], dtype=bool)
+        wholes = {i: self.whole(texts[i].as_py()) for i in np.flatnonzero(in_text).tolist()}
+
+        names = [None if bad else self.chunk(word, False) for word, bad in zip(fresh, odd.tolist(), strict=True)]
+        chunks = set(names)
+        chunks.discard(None)
         for i, word in enumerate(head_words):
             chunks.update(wholes[i] if i in wholes else (self.chunk(word, True),))
         order = sorted(chunks)
         found = dict(zip(order, self.work(order), strict=True))
-        now = {word: found[self.chunk(word, False)] for word in fresh}
-        values = [now[word] if word in now else known.get(word) for word in words]
-        lost = np.fromiter((value is None for value in values), bool, len(values))
-        lost_texts = set(np.flatnonzero(np.add.reduceat(lost[index], heads)).tolist()) - wholes.keys() if lost.any() else set()
+        values = [found.get(name) if name is not None else b"" for name in names]
+        slot[new] = size + np.arange(len(new))
+        bank.append(pa.array([value or b"" for value in values], pa.binary()))
+        size += len(new)
+
+        lost_texts: set[int] = set()
+        if None in values:
+            lost = np.zeros(len(words), dtype=bool)
+            lost[new] = [value is None for value in values]
+            lost_texts = set(np.flatnonzero(np.add.reduceat(lost[index], heads)).tolist()) - wholes.keys()
         starts: list[bytes] = []
         for i, word in enumerate(head_words):
             parts = [found[c] for c in wholes[i]] if i in wholes else [found[self.chunk(word, True)]]
@@ -85,21 +135,37 @@ class ChunkMemory:
                 starts.append(otherwise(texts[i].as_py()))
             else:
                 starts.append(before + b"".join(parts))
+        bank.append(pa.array([b"", *starts], pa.binary()))
         # Whole texts stand at their head; the other words of these add nothing.
-        nothing = len(values)
-        index[heads] = nothing + 1 + np.arange(len(heads))
+        of = slot[index]
+        of[heads] = size + 1 + np.arange(len(heads))
         for i in (*wholes, *lost_texts):
-            index[places[i] + 1 : places[i + 1]] = nothing
-        bank = pa.array([*(value or b"" for value in values), b"", *starts], pa.binary())
-        joined = bank.take(pa.array(index))
+            of[places[i] + 1 : places[i + 1]] = size
+        joined = pa.concat_arrays(bank).take(pa.array(of))
         ends = np.frombuffer(joined.buffers()[1], dtype=np.int32, count=len(joined) + 1).astype(np.int64)
-        if len(known) + len(now) > REMEMBERED:
-            self.known = {word: known[word] for word in words if word in known}
-        self.known.update((word, value) for word, value in now.items() if len(word) <= LONGEST)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        data = memoryview(joined.buffers()[2] or b"")
-        return ends[places], data
+        good = [
+            i
+            for i, (word, name, value) in enumerate(zip(fresh, names, values, strict=True))
+            if name is not None and value is not None and len(word) <= LONGEST
+        ]
+        self.remember(hashes[new[good]], words.take(pa.array(new[good])), bank[-2].take(pa.array(good, pa.int64())))
+        return ends[places], memoryview(joined.buffers()[2] or b"")
+
+    def remember(self, hashes: np.ndarray, words: pa.StringArray, values: pa.BinaryArray) -> None:
+        if not len(hashes):
+            return
+        self.tables.append(table_of(hashes, words, values))
+        if sum(len(table.hashes) for table in self.tables) > REMEMBERED:
+            del self.tables[0]
+        if len(self.tables) > TABLES:
+            parts = self.tables
+            self.tables = [
+                table_of(
+                    np.concatenate([table.hashes for table in parts]),
+                    pa.concat_arrays([table.words for table in parts]),
+                    pa.concat_arrays([table.values for table in parts]),
+                )
+            ]
 
 
 #: A chunk border that no byte-level piece reaches over, in the text or any prefix of it.

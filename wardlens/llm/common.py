@@ -20,7 +20,7 @@ from wardlens.sources.staging import Stage
 #: Fixed value: what separates words, as a class of Java and Python patterns.
 BLANKS = r"[\x20\x09-\x0D]"
 #: Text handled at once by a Python task, in bytes (a longer text alone).
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 4_000_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -56,6 +56,7 @@ def slices(
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
         for start, end in itertools.pairwise([0, *cuts.tolist(), len(texts)]):
             yield batch.slice(start, end - start), texts.slice(start, end - start)
+            pa.default_memory_pool().release_unused()
 
 
 def stage(spark: SparkSession) -> Stage:

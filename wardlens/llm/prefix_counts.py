@@ -232,12 +232,10 @@ def count_tokens(
         coder = _coder(tokenizer)
         for batch, texts in slices(batches):
             places, data = coder.stores(texts)
-            tokens = np.zeros(len(texts), dtype=np.int64)
             fits = pc.utf8_length(texts).to_numpy().astype(np.int64)
             steps = np.frombuffer(data, dtype=np.int8)
-            sums = np.concatenate([[0], np.cumsum(steps, dtype=np.int64)])
             # The width itself, 1, stands before the steps.
-            tokens = sums[places[1:]] - sums[places[:-1]] - 1
+            tokens = np.add.reduceat(steps, places[:-1], dtype=np.int64) - 1
             for i in np.flatnonzero((steps[places[:-1]] != 1) | (tokens > limit)).tolist():
                 counts = prefix_counts(data[places[i] : places[i + 1]])
                 tokens[i] = counts[-1]
@@ -257,7 +255,7 @@ def count_tokens(
             )
 
     return by_arrow(
-        docs.select("doc_id", "text"),
+        docs.select(F.col("doc_id").cast("long"), "text"),
         work,
         "doc_id long, n_bytes long, n_tokens long, over_limit boolean, fit_chars long, "
         "token_steps binary",

@@ -12,6 +12,7 @@ follow each other in the order of their texts. An empty table gives files withou
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -65,30 +66,50 @@ class LibraryEncoder:
         self.memory = byte_level_memory(self.work)
 
     def work(self, chunks: list[str]) -> list[bytes]:
-        lines: list[int] = []
-        alone: list[int] = []
-        for i, chunk in enumerate(chunks):
-            body = chunk[1:] if chunk[0] in " \n" else chunk
-            (lines if body.isalpha() else alone).append(i)
-        found: list[bytes] = [b""] * len(chunks)
-        feed = np.array(self.feed, dtype="<u4")
-        if lines:
-            text = "\n".join([chunks[i].removeprefix("\n") for i in lines])
-            ids = np.array(self.lines.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            stops = np.append(np.flatnonzero(ids == feed[0]), len(ids))
-            if len(stops) != len(lines) or len(feed) != 1:
-                raise ValueError("the tokenizer joins line feeds with other text")
-            raw, start, head = ids.tobytes(), 0, feed.tobytes()
-            for i, stop in zip(lines, (stops * 4).tolist(), strict=True):
-                found[i] = head + raw[start:stop] if chunks[i][0] == "\n" else raw[start:stop]
-                start = stop + 4
+        """The ids of chunks; words and the marks behind them are pieces of their own."""
+        feed = np.array(self.feed, dtype="<u4").tobytes()
+        cores: dict[str, bytes] = {}
+        plan: list[tuple[bool, str, str] | None] = []
+        alone: list[str] = []
+        for chunk in chunks:
+            fed = chunk[0] == "\n"
+            bare = chunk[1:] if fed else chunk
+            core = bare.rstrip(string.punctuation)
+            if (core[1:] if core[:1] == " " else core).isalpha():
+                cores[core] = b""
+                plan.append((fed, core, bare[len(core) :]))
+            else:
+                alone.append(chunk)
+                plan.append(None)
+        self.fill(cores)
+        rest = iter(self.one_by_one(alone))
+        marks = {part[2] for part in plan if part}
+        known = dict(zip(marks, self.one_by_one(list(marks)), strict=True))
+        return [
+            next(rest) if part is None else (feed if part[0] else b"") + cores[part[1]] + known[part[2]]
+            for part in plan
+        ]
+
+    def fill(self, cores: dict[str, bytes]) -> None:
+        """Set the ids of words, with or without a blank before them: lines of one text."""
+        if not cores:
+            return
+        coded = self.lines.encode_batch_fast(["\n".join(cores)], add_special_tokens=False)
+        ids = np.array(coded[0].ids, dtype="<u4")
+        stops = np.append(np.flatnonzero(ids == self.feed[0]), len(ids))
+        if len(stops) != len(cores) or len(self.feed) != 1:
+            raise ValueError("the tokenizer joins line feeds with other text")
+        raw, start = ids.tobytes(), 0
+        for core, stop in zip(cores, (stops * 4).tolist(), strict=True):
+            cores[core] = raw[start:stop]
+            start = stop + 4
+
+    def one_by_one(self, chunks: list[str]) -> Iterator[bytes]:
         # Not joined: what stands at the end of a text is not split as inside it.
-        for start in range(0, len(alone), 10_000):
-            part = alone[start : start + 10_000]
-            coded = self.library.encode_batch_fast([chunks[i] for i in part], add_special_tokens=False)
-            for i, code in zip(part, coded, strict=True):
-                found[i] = np.array(code.ids, dtype="<u4").tobytes()
-        return found
+        for start in range(0, len(chunks), 10_000):
+            part = chunks[start : start + 10_000]
+            for code in self.library.encode_batch_fast(part, add_special_tokens=False):
+                yield np.array(code.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: pa.StringArray, end: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Where each text's ids start and end in all ids; ``end`` follows each text."""
