@@ -14,6 +14,10 @@ from collections.abc import Callable, Sequence
 import numpy as np
 
 
+#: Most answers about pairs of tokens that are remembered.
+ANSWERS = 300_000
+
+
 def merged(units: Sequence[str], rank: Callable[[str], float | None]) -> list[str]:
     """Join neighbours, lowest rank first and then leftmost, until none has a rank."""
     if len(units) <= 24:
@@ -115,7 +119,7 @@ class PrefixBpe:
     def keeps_apart(self, left: str, right: str) -> bool:
         found = self.apart.get((left, right))
         if found is None:
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) > ANSWERS:
                 self.apart.clear()
             found = self.apart[left, right] = self.encode(left + right) == [left, right]
         return found

@@ -19,7 +19,7 @@ import codecs
 import re
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +76,7 @@ class PieceCoder:
             raise ValueError(f"{model} has pieces that reach over words")
         self.marked = {i for piece, i in self.ids.items() if piece[0] == MARK}
         self.silent = {i for i, value in enumerate(self.bytes_of) if not value}
-        self.bpe = PrefixBpe(ranks)
+        self.ranks = ranks
         self.memory = ChunkMemory(
             self.work,
             plain=lambda word: word != "" and MARK not in word,
@@ -85,6 +85,11 @@ class PieceCoder:
             feeds=False,
         )
 
+    @cached_property
+    def bpe(self) -> PrefixBpe:
+        """Only workers that encode need it."""
+        return PrefixBpe(self.ranks)
+
     def coded(self, pieces: Sequence[str]) -> bytes:
         found = array("i")
         for piece in pieces:
@@ -167,8 +172,8 @@ def decode(
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
-        for batch in batches:
-            texts = [coder.decode(ids or []) for ids in _lists(batch.column("ids"))]
+        for batch in _few_rows(batches):
+            texts = [coder.decode(ids) for ids in _lists(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in names), pa.array(texts, pa.string())],
                 names=[*names, "decoded"],
@@ -179,6 +184,13 @@ def decode(
     return by_arrow(tokens.select(*columns), work, f"{fields}, decoded string")
 
 
+def _few_rows(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def _lists(column: pa.ListArray) -> Iterator[list[int]]:
     values = column.values.to_numpy(zero_copy_only=False)
     places = column.offsets.to_pylist()
