@@ -10,6 +10,7 @@ from llm_documents import FOLDER, LONG, TEXTS, by_id, documents, labels, random_
 from pyspark.sql import functions as F
 
 from wardlens.llm import decision_list, ordinal, queries
+from wardlens.llm.common import smallest_chances
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -136,3 +137,10 @@ def test_ordinal_query(spark):
     rows = queries.QUERIES["op1_ordinal_quality"](spark, FOLDER)
     assert rows.columns == ["doc_id", "expected_grade", "p_top", "kept"]
     assert rows.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_smallest_chances(spark):
+    df = spark.range(9000).select("id", F.xxhash64("id").alias("chance"))
+    found = smallest_chances(df, F.col("chance"), 700, "id")
+    least = sorted((r.chance & ((1 << 63) - 1), r.id) for r in df.collect())[:700]
+    assert sorted(r.id for r in found.collect()) == sorted(i for _, i in least)

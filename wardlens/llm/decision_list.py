@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.llm.common import by_arrow, free_name, slices, stage
+from wardlens.llm.common import by_arrow, free_name, slices, smallest_chances, stage
 
 #: Most labelled rows the list is fitted on.
 SAMPLE = 20_000
@@ -245,14 +245,12 @@ def fit(counted: DataFrame, labels: DataFrame, names: dict[str, str], sample: in
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", (F.col("quality") == 0).alias("bad"))
     chance = F.xxhash64(F.lit(5), "doc_id")
     found = features(names)
-    rows = (
+    rated = (
         counted.where(~base_failed(names))
         .join(known, "doc_id")
         .select(chance.alias("chance"), "bad", *(c.alias(k) for k, c in found.items()))
-        .orderBy("chance", "bad", *found)
-        .limit(sample)
-        .toPandas()
     )
+    rows = smallest_chances(rated, F.col("chance"), sample, "bad", *found).toPandas()
     if rows.empty:
         return []
     values = {name: rows[name].to_numpy(dtype=np.float64) for name in found}

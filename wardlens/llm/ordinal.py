@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import by_arrow, slices, stage
+from wardlens.llm.common import by_arrow, slices, smallest_chances, stage
 
 #: Most rated documents the model is fitted on.
 SAMPLE = 20_000
@@ -165,7 +165,7 @@ def fit_model(starts: np.ndarray, places: np.ndarray, grades: np.ndarray, top: i
 def fit(docs: DataFrame, ratings: DataFrame, top: int, sample: int = SAMPLE) -> Model:
     """A model from ``ratings`` (doc_id, grade from 0 to ``top``) of ``docs``."""
     rated = ratings.where("doc_id is not null and grade is not null")
-    chosen = rated.orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id", "grade").limit(sample)
+    chosen = smallest_chances(rated, F.xxhash64(F.lit(3), "doc_id"), sample, "doc_id", "grade")
     chosen = stage(docs.sparkSession).keep(chosen, "rated")
     # At most ``sample`` rows, a bound that holds for any table.
     few = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
