@@ -5,7 +5,7 @@ import pytest
 from clinical_fixture import AS_OF, clinical_tables
 from pyspark.sql import functions as F
 
-from wardlens.operators import exposure, flags, lookback
+from wardlens.operators import exposure, lookback
 from wardlens.plans.risk_report import (
     ReportOptions,
     cohort_encounters,
