@@ -118,3 +118,41 @@ def test_running_totals_over_blocks(spark):
     )
     for row in add_running_total(df, "v", "t").collect():
         assert row.t == [sum(row.v[:i]) for i in range(len(row.v))]
+
+
+def pieces_of(row, text):
+    """What the spans of a report's row cover."""
+    return [text[int(a) : int(b)] for _, a, b in (span.split(":") for span in row.spans.split(",") if span)]
+
+
+ENTRIES = [f"555-{2000 + i}" for i in range(40)]
+
+
+def test_identifiers_of_many_groups_and_long_lists(spark):
+    iban = "FR14 2004 1010 0505 0001 3M02 606"
+    texts = [f"please call me at {iban} now"]
+    texts += [f"please call me at {blank.join(ENTRIES)} now 1234 so" for blank in (" ", "\n", "\t", "  ", "\r\n\r\n")]
+    rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
+    assert pieces_of(rows[20], texts[0]) == [iban] and rows[20].n_added == 1
+    assert pieces_of(rows[21], texts[1]) == [" ".join(ENTRIES)]
+    for i, text in enumerate(texts[2:], 22):
+        assert pieces_of(rows[i], text) == ENTRIES and rows[i].n_added == len(ENTRIES), text
+
+
+def test_lists_with_seeds_among_their_entries(spark):
+    mixed = " ".join([*ENTRIES[:9], "10.0.0.1", "x10.0.0.2", *ENTRIES[9:12], "a1@b.c"])
+    texts = [f"please call me at {mixed} now", "please call me at 10.0.0.3 FR14 2004 12 now", "10.0.0.4 5555 no words"]
+    rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
+    expected = {"10.0.0.1", "10.0.0.2", "a1@b.c", " ".join(ENTRIES[:9]), " ".join(ENTRIES[9:12])}
+    assert set(pieces_of(rows[20], texts[0])) == expected and rows[20].n_added == 2
+    assert set(pieces_of(rows[21], texts[1])) == {"10.0.0.3", "FR14 2004 12"}
+    assert pieces_of(rows[22], texts[2]) == ["10.0.0.4"]
+
+
+def test_long_lists_leave_their_pattern_sure(spark):
+    """A list is one occurrence of its pattern; what cannot be an identifier in it is none."""
+    texts = ["please call me at " + "\n".join(f"555-{1000 + i}" for i in range(600)), "please call me at 555-7777 today"]
+    texts += [f"please call me at +1 (441) 555-{3000 + i}\n{i}. next" for i in range(20)]
+    rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
+    assert rows[20].n_added == 600 and rows[21].spans == "phone:18:26"
+    assert all(rows[22 + i].n_added == 0 for i in range(20))

@@ -1,7 +1,9 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four kinds of identifiers with a form of their own are found by pattern; they are the seeds.
-Every token with digits or an at sign is an instance and the two words before it a pattern.
+Every run of tokens with digits or an at sign, however long, is an instance and the two words
+before it a pattern; runs with nothing but blanks between them, as in lists, share the pattern
+before the first. What a run has besides a seed is looked at by itself.
 Patterns and instances make a graph over the whole corpus: a pattern scores by the share of
 its occurrences that lead to well-scored instances, an instance by the scores of the
 patterns that lead to it, seeds staying at 1; a few rounds settle the scores. What follows a
@@ -33,10 +35,13 @@ FORMS = {
 #: What a text must have for a form to be looked for.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-#: A token with a digit or at sign, and up to five tokens with digits right behind it.
+#: A token with a digit or at sign and all tokens with digits right behind it make a run, runs
+#: with nothing but blanks between them a chain.
 WORD = r"[^\x20\x09-\x0D0-9@]*+"
 REST = r"[^\x20\x09-\x0D]*+"
-CANDIDATE = rf"(?<![^\x20\x09-\x0D]){WORD}[0-9@]{REST}(?:\x20{WORD}[0-9]{REST}){{0,5}}+"
+FIRST = rf"(?<![^\x20\x09-\x0D]){WORD}[0-9@]{REST}"
+RUN = rf"{FIRST}(?:\x20{WORD}[0-9]{REST})*+"
+CHAIN = rf"{FIRST}(?:[\x20\x09-\x0D]++{WORD}[0-9@]{REST})*+"
 #: Words of context, and the characters they are looked for in.
 CONTEXT_WORDS = 2
 CONTEXT_CHARS = 80
@@ -124,36 +129,90 @@ def _valid_spans(matches: str, place: int, kind: str) -> Column:
     )
 
 
-def add_candidates(df: DataFrame, text: str, spans: str, to: str) -> DataFrame:
-    """``df`` with ``to``: structs of start, stop, pattern, instance, seed and fit.
-
-    ``seed`` is the kind of a base span the candidate touches, ``fit`` tells whether it could
-    be an identifier by itself.
-    """
+def add_chains(df: DataFrame, text: str, to: str) -> DataFrame:
+    """``df`` with ``to``: structs of found, start and pattern of all chains with words before them."""
     raw = f"{to}_raw"
-    df = add_matches(df, text, CANDIDATE, "[0-9@]", raw)
+    df = add_matches(df, text, CHAIN, "[0-9@]", raw)
 
-    def candidate(m: Column) -> Column:
-        core = F.regexp_replace(m["found"], r"^[^A-Za-z0-9+(]++|[^A-Za-z0-9)]++$", "")
-        start = m["start"] + F.length(F.regexp_extract(m["found"], r"^[^A-Za-z0-9+(]*+", 0))
+    def chain(m: Column) -> Column:
         tail = F.lower(F.right(m["before"], F.lit(CONTEXT_CHARS)))
         words = F.filter(F.split(tail, r"[\x20\x09-\x0D]+"), lambda w: w != "")
         pattern = F.array_join(F.slice(words, F.greatest(F.size(words) - (CONTEXT_WORDS - 1), F.lit(1)), CONTEXT_WORDS), " ")
-        touching = F.filter(spans, lambda s: (s["start"] < m["stop"]) & (s["stop"] > m["start"]))
-        fit = (F.length(digits_of(core)) >= DIGITS) | core.contains("@")
-        return F.struct(
-            start.alias("start"),
-            (start + F.length(core)).alias("stop"),
-            pattern.alias("pattern"),
-            F.xxhash64(F.lower(core)).alias("instance"),
-            F.get(touching, F.lit(0))["kind"].alias("seed"),
-            fit.alias("fit"),
-        )
+        return F.struct(m["found"].alias("found"), m["start"].alias("start"), pattern.alias("pattern"))
 
-    made = F.transform(raw, candidate)
+    made = F.transform(raw, chain)
     return df.withColumn(to, F.filter(made, lambda c: c["pattern"] != "")).drop(raw)
 
 
+def others(run: Column, spans: Column) -> Column:
+    """Structs of found and start: the parts of a run whose tokens touch none of ``spans``."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
+    ends = F.concat(ordered, F.array(F.struct(run["stop"].alias("start"), run["stop"].alias("stop"))))
+
+    def part(s: Column, i: Column) -> Column:
+        start = F.when(i == 0, run["start"]).otherwise(
+            F.array_max(F.transform(F.slice(ordered, F.lit(1), i), lambda t: t["stop"]))
+        )
+        between = F.substring(
+            run["found"], (start - run["start"]).cast("int") + 1, F.greatest(s["start"] - start, F.lit(0)).cast("int")
+        )
+        # What is left of tokens that touch a span is no token.
+        front = F.when(i == 0, "").otherwise(F.regexp_extract(between, r"^[^\x20]++", 0))
+        behind = F.when(i == F.size(ordered), "").otherwise(F.regexp_extract(between, r"(?<![^\x20])[^\x20]++$", 0))
+        kept = F.substring(
+            between, F.length(front) + 1, F.greatest(F.length(between) - F.length(front) - F.length(behind), F.lit(0))
+        )
+        return F.struct(kept.alias("found"), (start + F.length(front)).alias("start"))
+
+    return F.transform(ends, part)
+
+
+def candidates(rows: DataFrame, *names: str) -> DataFrame:
+    """``names``, start, stop, pattern, instance, seed, fit and counts of all candidates.
+
+    ``rows`` have chains and base spans. Every run has the pattern before its chain. ``seed``
+    is the kind of a base span the run touches; what such a run has besides is a candidate of
+    its own. ``fit`` tells whether it could be an identifier by itself. ``counts`` tells
+    whether it is an occurrence of its pattern: a chain's first run is one, and any seed.
+    """
+    chains = rows.select(*names, "base", F.explode("chains").alias("chain"))
+    runs = add_matches(chains.withColumn("body", F.col("chain.found")), "body", RUN, "[0-9@]", "runs")
+    runs = runs.select(
+        *names, "base", F.col("chain.pattern").alias("pattern"), F.col("chain.start").alias("from"), F.posexplode("runs").alias("place", "m")
+    )
+    start, stop = F.col("from") + F.col("m.start"), F.col("from") + F.col("m.stop")
+    runs = runs.withColumn("run", F.struct(F.col("m.found").alias("found"), start.alias("start"), stop.alias("stop")))
+    run = F.col("run")
+    touching = F.filter("base", lambda s: (s["start"] < run["stop"]) & (s["stop"] > run["start"]))
+    runs = runs.withColumn("touching", touching).drop("base", "m", "from")
+    seed = F.get("touching", F.lit(0))["kind"]
+    whole = F.array(
+        F.struct(run["found"].alias("found"), run["start"].alias("start"), seed.alias("seed"), ((F.col("place") == 0) | seed.isNotNull()).alias("counts"))
+    )
+    rest = F.transform(
+        others(run, F.col("touching")),
+        lambda o: F.struct(o["found"].alias("found"), o["start"].alias("start"), F.lit(None).cast("int").alias("seed"), F.lit(False).alias("counts")),
+    )
+    parts = F.when(seed.isNull() | ~run["found"].contains(" "), whole).otherwise(F.concat(whole, rest))
+    made = runs.select(*names, "pattern", F.explode(parts).alias("c"))
+    core = F.regexp_replace("c.found", r"^[^A-Za-z0-9+(]++|[^A-Za-z0-9)]++$", "")
+    made = made.withColumns(
+        {"core": core, "start": F.col("c.start") + F.length(F.regexp_extract("c.found", r"^[^A-Za-z0-9+(]*+", 0))}
+    )
+    made = made.select(
+        *names,
+        "start",
+        (F.col("start") + F.length("core")).alias("stop"),
+        "pattern",
+        F.xxhash64(F.lower("core")).alias("instance"),
+        "c.seed",
+        ((F.length(digits_of(F.col("core"))) >= DIGITS) | F.col("core").contains("@")).alias("fit"),
+        "c.counts",
+    )
+    # What follows in a chain and cannot be an identifier says nothing.
+    return made.where("counts or fit")
+
+
 def row_key(docs: DataFrame) -> dict[str, Column]:
     """What tells rows of different id or text apart, without nulls."""
     return {
@@ -163,22 +222,29 @@ def row_key(docs: DataFrame) -> dict[str, Column]:
     }
 
 
-def sure_patterns(candidates: DataFrame, keep) -> DataFrame:
-    """pattern and kind of the patterns that extract, after the rounds of scoring."""
+def sure_patterns(candidates: DataFrame, keep, counts: Column | None = None) -> DataFrame:
+    """pattern and kind of the patterns that extract, after the rounds of scoring.
+
+    Candidates for which ``counts`` does not hold get scores, but patterns none from them.
+    """
+    counts = F.lit(True) if counts is None else counts
     edges = keep(
-        candidates.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.min("seed").alias("seed")), "edges"
+        candidates.groupBy("pattern", "instance").agg(
+            F.count("*").alias("n"), F.sum(counts.cast("long")).alias("own"), F.min("seed").alias("seed")
+        ),
+        "edges",
     )
     seeds = keep(
         edges.where("seed is not null").groupBy("instance").agg(F.min("seed").alias("kind")), "seeds"
     )
-    of_pattern = keep(edges.groupBy("pattern").agg(F.sum("n").alias("of")), "of-pattern")
+    of_pattern = keep(edges.groupBy("pattern").agg(F.sum("own").alias("of")), "of-pattern")
     of_instance = keep(edges.groupBy("instance").agg(F.sum("n").alias("of")), "of-instance")
-    edges = edges.select("pattern", "instance", "n")
+    edges = edges.select("pattern", "instance", "n", "own")
     scored = seeds.select("instance", "kind", F.lit(1.0).alias("score"))
     patterns = None
     for step in range(1, ROUNDS + 1):
-        sums = edges.join(scored, "instance").groupBy("pattern", "kind").agg(
-            F.sum(F.col("n") * F.col("score")).alias("good"),
+        sums = edges.where("own > 0").join(scored, "instance").groupBy("pattern", "kind").agg(
+            F.sum(F.col("own") * F.col("score")).alias("good"),
             F.sum((F.col("score") >= SURE).cast("int")).alias("support"),
         )
         rated = sums.join(of_pattern, "pattern").select(
@@ -203,18 +269,18 @@ def found_spans(docs: DataFrame, keep) -> DataFrame:
     """doc_id, the row key, base spans and added spans of every row of ``docs``."""
     key = row_key(docs)
     rows = docs.select("doc_id", *(c.alias(k) for k, c in key.items()), F.coalesce("text", F.lit("")).alias("body"))
-    rows = add_candidates(add_base_spans(rows, "body", "base"), "body", "base", "candidates")
+    rows = add_chains(add_base_spans(rows, "body", "base"), "body", "chains")
     rows = keep(rows.drop("body"), "found")
     names = list(key)
-    loose = rows.select(*names, F.explode("candidates").alias("c")).select(*names, "c.*")
-    sure = sure_patterns(loose, keep)
+    loose = keep(candidates(rows, *names), "candidates")
+    sure = sure_patterns(loose, keep, F.col("counts"))
     added = loose.where("seed is null and fit").join(sure, "pattern")
     added = added.groupBy(*names).agg(
         F.array_sort(F.collect_set(F.struct("kind", "start", "stop"))).alias("added")
     )
     added = keep(added, "added")
     none = F.array().cast(added.schema["added"].dataType)
-    joined = rows.drop("candidates").join(added, names, "left")
+    joined = rows.drop("chains").join(added, names, "left")
     return joined.withColumn("added", F.coalesce("added", none))
 
 
