@@ -144,3 +144,12 @@ def test_smallest_chances(spark):
     found = smallest_chances(df, F.col("chance"), 700, "id")
     least = sorted((r.chance & ((1 << 63) - 1), r.id) for r in df.collect())[:700]
     assert sorted(r.id for r in found.collect()) == sorted(i for _, i in least)
+
+
+def test_smallest_chances_of_repeated_ids(spark):
+    """Few ids with very many rows: as many rows as there are are found."""
+    df = spark.range(9000).select(F.col("id"), (F.col("id") % 3).alias("doc_id"))
+    df = df.withColumn("chance", F.lit(1 << 62) + F.col("doc_id"))
+    for size in (700, 3500):
+        found = [r.id for r in smallest_chances(df, F.col("chance"), size, "id").collect()]
+        assert found == sorted(range(9000), key=lambda i: (i % 3, i))[:size]

@@ -63,12 +63,17 @@ def smallest_chances(df: DataFrame, chance: Column, size: int, *ties: str) -> Da
     """At most ``size`` rows, those with the smallest ``chance`` (a 64-bit hash).
 
     Rows that are far from being among them are left out before any are put in order, so
-    that about twice as many meet, whatever the table's size.
+    that about twice as many meet, whatever the table's size. Where chances repeat, too few
+    may pass; then the bound is doubled until enough do.
     """
     least = chance.bitwiseAND(F.lit((1 << 63) - 1))
-    total = df.count()
-    if total > 2 * size + 1000:
-        df = df.where(least <= F.lit(int((1 << 63) * ((2 * size + 1000) / total))))
+    share = (2 * size + 1000) / max(df.count(), 1)
+    while share < 1:
+        near = df.where(least <= F.lit(int((1 << 63) * share)))
+        if near.count() >= size:
+            df = near
+            break
+        share *= 2
     return df.orderBy(least, *ties).limit(size)
 
 
