@@ -119,3 +119,11 @@ def test_shards_hold_the_mixture(spark):
     for source in {s for _, s in counts}:
         of = [counts.get((k, source), 0) for k in range(8)]
         assert max(of) - min(of) <= 2
+
+
+def test_unsettled_tilts_are_an_error(spark, monkeypatch):
+    docs = documents(spark, [f"word{'s and' * (i % 7)} more" + " x" * (i % 11) for i in range(60)])
+    assert mixing.mix_report(docs).count() == 61
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.raises(RuntimeError, match="step 1"):
+        mixing.mix_report(docs)

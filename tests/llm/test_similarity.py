@@ -5,6 +5,7 @@ import re
 import struct
 
 import numpy as np
+import pytest
 import xxhash
 from llm_documents import CLASHING, FOLDER, LONG, TEXTS, by_id, documents
 from pyspark.sql import functions as F
@@ -201,3 +202,9 @@ def test_native_operators_run_no_python(spark):
     plan = minhash.fingerprint_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert docs.select(F.col("doc_id")).count()
+
+
+def test_unfinished_components_are_an_error(spark):
+    chain = spark.range(1, 40).selectExpr("id AS a", "id + 1 AS b")
+    with pytest.raises(RuntimeError, match="round 2"):
+        simhash_trie.components(chain, stage(spark).keep, rounds=2)

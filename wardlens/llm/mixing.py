@@ -31,6 +31,8 @@ TOGETHER = 50_000
 #: Newton ends when no source's words are off by more than this share, or after STEPS.
 CLOSE = 1e-4
 STEPS = 60
+#: Bounds of a tilt that are no further apart have met.
+FINEST = 2e-9
 
 
 def word_count(text: Column) -> Column:
@@ -72,7 +74,10 @@ def source_targets(
 
 
 def tilts(cells: DataFrame, targets: DataFrame, most: float, keep) -> DataFrame:
-    """``targets`` with tilt (null: every document at the cap) and mean size."""
+    """``targets`` with tilt (null: every document at the cap) and mean size.
+
+    It is an error if a tilt is neither close nor settled after STEPS.
+    """
     group = ["unnamed", "name"]
     means = cells.groupBy(*group).agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
     ratio = F.col("target") / F.col("source_size")
@@ -122,6 +127,11 @@ def tilts(cells: DataFrame, targets: DataFrame, most: float, keep) -> DataFrame:
         worst = now.agg(F.max("off")).first()[0]
         if worst is None or worst <= CLOSE:
             break
+    else:
+        # Tilts are rounded: where the bounds meet, no closer one is to be had.
+        open_ones = (F.col("off") > CLOSE) & F.coalesce(F.col("high") - F.col("low") > FINEST, F.lit(True))
+        if not now.where(open_ones).isEmpty():
+            raise RuntimeError(f"tilts still changed in step {STEPS}")
     return now
 
 

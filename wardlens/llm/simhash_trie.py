@@ -259,7 +259,8 @@ def components(edges: DataFrame, keep, rounds: int = 100) -> DataFrame:
 
     Large stars tie a node's larger neighbours to its smallest one, small stars its smaller
     ones; when nothing changes, every node hangs on its root. The smallest neighbours are
-    grouped sums joined back, so that a node with very many edges can be split.
+    grouped sums joined back, so that a node with very many edges can be split. It is an error
+    if something may still change after ``rounds``.
     """
     u, v = F.col("u"), F.col("v")
     now = keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges-0")
@@ -278,6 +279,8 @@ def components(edges: DataFrame, keep, rounds: int = 100) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components still changed in round {rounds}")
     return now.select(u.alias("node"), v.alias("root"))
 
 
