@@ -153,3 +153,17 @@ def test_smallest_chances_of_repeated_ids(spark):
     for size in (700, 3500):
         found = [r.id for r in smallest_chances(df, F.col("chance"), size, "id").collect()]
         assert found == sorted(range(9000), key=lambda i: (i % 3, i))[:size]
+
+
+def test_ordinal_sample_is_of_rated_documents(spark, monkeypatch):
+    """Ratings without a document take no place; repeated ids fill the sample, always alike."""
+    docs = spark.range(400).selectExpr("id % 40 AS doc_id", "concat('word ', id, ' and more') AS text")
+    ratings = spark.range(5000).selectExpr("id AS doc_id", "cast(id % 3 AS int) AS grade")
+    seen = []
+    monkeypatch.setattr(ordinal, "fit_model", lambda *found: seen.append(found))
+    for parts in (1, 7):
+        ordinal.fit(docs.repartition(parts), ratings, 2, 30)
+    ordinal.fit(docs.unionByName(docs), ratings.where("doc_id < 40").unionByName(ratings.where("doc_id = 3")), 2, 10_000)
+    assert [len(found[2]) for found in seen] == [30, 30, 820]
+    for left, right in zip(seen[0], seen[1], strict=True):
+        assert np.array_equal(left, right)

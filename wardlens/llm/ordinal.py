@@ -6,8 +6,8 @@ thresholds cut the scores into grades: P(grade > k) = logistic(score - threshold
 grade between others is learned from both sides, and expected grade and tail probability
 come from the same score.
 
-The model is fitted on at most ``SAMPLE`` rated documents (those with the smallest hashes of
-their ids) by full-batch steps; the scores cover all documents and whole texts.
+The model is fitted on at most ``SAMPLE`` pairs of a document and its rating (those with the
+smallest hashes of their ids, then of smallest grade and text hash) by full-batch steps; the scores cover all documents and whole texts.
 
 Cases: null text is the empty text. Ratings that are null count for nothing; a document
 rated several times counts as often. Without ratings of two grades every document gets the
@@ -164,20 +164,34 @@ def fit_model(starts: np.ndarray, places: np.ndarray, grades: np.ndarray, top: i
 
 def fit(docs: DataFrame, ratings: DataFrame, top: int, sample: int = SAMPLE) -> Model:
     """A model from ``ratings`` (doc_id, grade from 0 to ``top``) of ``docs``."""
+    keep = stage(docs.sparkSession).keep
+    ids = keep(docs.where("doc_id is not null").select("doc_id").distinct(), "ids")
     rated = ratings.where("doc_id is not null and grade is not null")
-    chosen = smallest_chances(rated, F.xxhash64(F.lit(3), "doc_id"), sample, "doc_id", "grade")
-    chosen = stage(docs.sparkSession).keep(chosen, "rated")
-    # At most ``sample`` rows, a bound that holds for any table.
-    few = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rated = keep(rated.join(ids, "doc_id", "left_semi").select("doc_id", "grade"), "rated")
+    chance = F.xxhash64(F.lit(3), "doc_id")
+    chosen = keep(smallest_chances(rated, chance, sample, "doc_id", "grade"), "chosen")
+    # At most ``sample`` rows, a bound that holds for any table. Each has a document at least,
+    # so the documents of no other rating can be in the sample.
+    hashed_docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    pairs = keep(hashed_docs.drop("text").join(F.broadcast(chosen), "doc_id"), "pairs")
+    pairs = keep(smallest_chances(pairs, chance, sample, "doc_id", "grade", "text_hash"), "sample")
+    texts = pairs.groupBy("doc_id", "text_hash").agg(F.collect_list("grade").alias("grades"))
+    texts = keep(texts, "texts")
+    few = hashed_docs.join(F.broadcast(texts.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi")
+    few = few.groupBy("doc_id", "text_hash").agg(F.min("text").alias("text")).join(texts, ["doc_id", "text_hash"])
+    few = few.withColumn("grade", F.explode("grades"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             starts, places = hashed(texts)
             lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(places))
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), lists], names=["grade", "places"])
+            columns = [batch.column(name) for name in ("key", "text_hash", "grade")]
+            yield pa.RecordBatch.from_arrays([*columns, lists], names=["key", "text_hash", "grade", "places"])
 
-    found = by_arrow(few.select("grade", "text"), work, "grade int, places array<int>")
-    rows = found.limit(2 * sample).toArrow()
+    few = few.select(F.col("doc_id").cast("string").alias("key"), "text_hash", F.col("grade").cast("int"), "text")
+    rows = by_arrow(few, work, "key string, text_hash long, grade int, places array<int>").toArrow()
+    # In one order, so that sums are the same in every run.
+    rows = rows.sort_by([(name, "ascending") for name in ("key", "text_hash", "grade")])
     grades = rows.column("grade").to_numpy().astype(np.int64)
     if not len(grades) or len(np.unique(grades)) < 2:
         return Model(np.zeros(PLACES), np.arange(top, dtype=np.float64))
