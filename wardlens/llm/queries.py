@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardlens.llm import (
     decision_list,
+    hard_negatives,
     minhash,
     mixing,
     ordinal,
@@ -99,3 +101,13 @@ def op1_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Expected grade of every document, and whether it is likely of the best grade."""
     labels = parquet_table(spark, folder, "labels")
     return ordinal.quality_report(documents(spark, folder), labels)
+
+
+@query
+def op11_kronecker_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its positives."""
+    embeddings = hard_negatives.moved_labels(parquet_table(spark, folder, "embeddings"))
+    return hard_negatives.hard_negatives(embeddings, anchor=F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_kronecker_negatives"] = hard_negatives.HARD_NEGATIVE_SQL
