@@ -18,6 +18,7 @@ from wardlens.llm import (
     prefix_counts,
     sharding,
     simhash_trie,
+    spelling,
     token_orc,
 )
 from wardlens.llm.common import stage
@@ -111,3 +112,12 @@ def op11_kronecker_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_kronecker_negatives"] = hard_negatives.HARD_NEGATIVE_SQL
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words, their near words, and the forms and roots of variants."""
+    return spelling.variant_report(documents(spark, folder))
+
+
+ORACLES["op12_spelling_variants"] = spelling.VARIANT_SQL
