@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardlens.llm import (
     decision_list,
     hard_negatives,
+    lexicon_bpe,
     minhash,
     mixing,
     ordinal,
@@ -121,3 +122,9 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_spelling_variants"] = spelling.VARIANT_SQL
+
+
+@query
+def op13_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document through a lexicon of frequent words, and decoded again."""
+    return lexicon_bpe.code_report(documents(spark, folder))
