@@ -1,11 +1,17 @@
 """Personal data against Python's regular expressions, and the learned contexts."""
 
 import hashlib
+import random
 import re
+import time
 
+import numpy as np
+import pytest
 from llm_documents import CLASHING, FOLDER, LONG, TEXTS, by_id, documents, random_texts
+from pyspark.sql import functions as F
 
 from wardlens.llm import pii, queries
+from wardlens.llm.common import stage
 
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -87,8 +93,6 @@ def test_scores_follow_the_graph(spark):
     """By hand: a pattern's share of good occurrences, and what its instances then get."""
     rows = [("p", i, 0) for i in range(4)] + [("p", 9, None), ("q", 9, None), ("q", 5, None), ("r", 6, None)]
     candidates = spark.createDataFrame(rows, "pattern string, instance long, seed int")
-    from wardlens.llm.common import stage
-
     sure = {r.pattern: r.kind for r in pii.sure_patterns(candidates, stage(spark).keep).collect()}
     assert sure == {"p": 0}
 
@@ -156,3 +160,99 @@ def test_long_lists_leave_their_pattern_sure(spark):
     rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
     assert rows[20].n_added == 600 and rows[21].spans == "phone:18:26"
     assert all(rows[22 + i].n_added == 0 for i in range(20))
+
+
+@pytest.mark.parametrize(("entry", "blank", "count"), [("555-{}", "\n", 2000), ("a{}@b.c", " ", 400)])
+def test_a_long_list_takes_no_longer_than_its_length(spark, entry, blank, count):
+    texts = ["please call me at " + blank.join(entry.format(1000 + i) for i in range(count))]
+    start = time.time()
+    rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
+    assert time.time() - start < 100
+    check(rows[20], texts[0])
+
+
+def test_no_filter_splits_texts_again(spark):
+    df = documents(spark, CONTEXTS)
+    rows = df.select(*(c.alias(k) for k, c in pii.row_key(df).items()), F.col("text").alias("body"))
+    rows = pii.add_chains(pii.add_base_spans(rows, "body", "base"), "body", "chains")
+    rows = stage(spark).keep(rows.drop("body"), "rows")
+    plan = pii.candidates(rows, "key_id", "key_null", "key_text")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.split("\n") if re.match(r"[\s:+-]*Filter", line)]
+    assert filters and not any("split(" in line for line in filters)
+
+
+def test_any_number_of_blanks_before_an_identifier(spark):
+    blanks = [1, 2, 78, 79, 80, 100, 1000]
+    texts = [f"please call me at{' ' * n}555-7777 today" for n in blanks] + ["please call me" + "\n" * 500 + "at\t555-7777"]
+    rows = by_id(pii.pii_report(documents(spark, CONTEXTS[:20] + texts, repeats=0)))
+    for i, text in enumerate(texts, 20):
+        assert pieces_of(rows[i], text) == ["555-7777"]
+
+
+def brute_scores(rows):
+    """Scores of (pattern, kind) by solving the equations, and each pattern's support."""
+    patterns = sorted({p for p, _, _ in rows})
+    seeds = {}
+    for _, i, kind in rows:
+        if kind is not None:
+            seeds[i] = min(kind, seeds.get(i, 9))
+    found = {}
+    for kind in range(4):
+        a, b = np.eye(len(patterns)), np.zeros(len(patterns))
+        for at, p in enumerate(patterns):
+            own = [i for q, i, _ in rows if q == p]
+            for i in own:
+                if i in seeds:
+                    b[at] += (seeds[i] == kind) / (len(own) + 1)
+                    continue
+                all_of = [q for q, j, _ in rows if j == i]
+                for q in all_of:
+                    a[at, patterns.index(q)] -= pii.DAMPING / len(all_of) / (len(own) + 1)
+        found |= {(p, kind): x for p, x in zip(patterns, np.linalg.solve(a, b), strict=True)}
+    support = {(p, k): len({i for q, i, _ in rows if q == p and seeds.get(i) == k}) for p, k in found}
+    return found, support
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_settled_scores_solve_the_equations(spark, seed):
+    draw = random.Random(seed)
+    rows = []
+    for p in "abcdefgh":
+        for _ in range(draw.randint(3, 14)):
+            i = draw.randrange(40)
+            rows.append((p, i, i % 3 if i < 18 else None))
+    # A chain that scores reach one round after the other.
+    chain = [("k0", 100 + i, 0) for i in range(9)]
+    chain += [(f"k{step + side}", 200 + 9 * step + i, None) for step in range(6) for side in (0, 1) for i in range(9)]
+    rows += chain
+    steps = []
+
+    def keep(df, name, keep=stage(spark).keep):
+        kept = keep(df, name)
+        steps.append((name, kept))
+        return kept
+
+    candidates = spark.createDataFrame(rows, "pattern string, instance long, seed int")
+    sure = {(r.pattern, r.kind) for r in pii.sure_patterns(candidates, keep).collect()}
+    last = [kept for name, kept in steps if name.startswith("patterns-")][-1]
+    want, support = brute_scores(rows)
+    got = {(r.pattern, r.kind): r.score for r in last.collect()}
+    assert sum(name.startswith("patterns-") for name, _ in steps) > 4
+    for key, score in want.items():
+        assert abs(got.get(key, 0.0) - score) < 0.02, key
+    assert got["k6", 0] > 0
+    sure_ones = {k for k, score in want.items() if score >= pii.SURE + 0.02 and support[k] >= pii.SUPPORT}
+    assert sure_ones <= sure
+
+
+def test_scores_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 1)
+    rows = [("p", i, 0) for i in range(4)] + [("p", 9, None), ("q", 9, None), ("q", 8, None), ("r", 8, None)]
+    candidates = spark.createDataFrame(rows, "pattern string, instance long, seed int")
+    with pytest.raises(RuntimeError, match="still changed"):
+        pii.sure_patterns(candidates, stage(spark).keep)
+
+
+def test_no_python_on_the_main_path(spark):
+    plan = pii.pii_report(documents(spark, CONTEXTS))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

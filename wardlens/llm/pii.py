@@ -6,9 +6,10 @@ before it a pattern; runs with nothing but blanks between them, as in lists, sha
 before the first. What a run has besides a seed is looked at by itself.
 Patterns and instances make a graph over the whole corpus: a pattern scores by the share of
 its occurrences that lead to well-scored instances, an instance by the scores of the
-patterns that lead to it, seeds staying at 1; a few rounds settle the scores. What follows a
-pattern that scores high and was seen with several identifiers is personal data, too, of the
-pattern's kind.
+patterns that lead to it, seeds staying at 1 and others counting DAMPING times their score.
+Rounds go on until no score changes by more than SETTLED; that they do not is an error. What
+follows a pattern that scores high and was seen with several identifiers is personal data,
+too, of the pattern's kind.
 
 All of it is built-in functions. Patterns match in linear time: runs are taken whole, and
 start where a run starts or the match before ended.
@@ -42,10 +43,13 @@ REST = r"[^\x20\x09-\x0D]*+"
 FIRST = rf"(?<![^\x20\x09-\x0D]){WORD}[0-9@]{REST}"
 RUN = rf"{FIRST}(?:\x20{WORD}[0-9]{REST})*+"
 CHAIN = rf"{FIRST}(?:[\x20\x09-\x0D]++{WORD}[0-9@]{REST})*+"
-#: Words of context, and the characters they are looked for in.
-CONTEXT_WORDS = 2
-CONTEXT_CHARS = 80
-ROUNDS = 3
+#: The two words before a chain, in a text read backwards.
+CONTEXT = r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++(?:[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)?)"
+#: What a score that is no seed's counts; the largest change of settled scores; rounds that
+#: are enough for it by far, as each leaves at most DAMPING of what was missing.
+DAMPING = 0.75
+SETTLED = 0.001
+MOST_ROUNDS = 60
 #: A pattern extracts if it scores so high and led to so many different good instances.
 SURE = 0.6
 SUPPORT = 3
@@ -135,9 +139,8 @@ def add_chains(df: DataFrame, text: str, to: str) -> DataFrame:
     df = add_matches(df, text, CHAIN, "[0-9@]", raw)
 
     def chain(m: Column) -> Column:
-        tail = F.lower(F.right(m["before"], F.lit(CONTEXT_CHARS)))
-        words = F.filter(F.split(tail, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        pattern = F.array_join(F.slice(words, F.greatest(F.size(words) - (CONTEXT_WORDS - 1), F.lit(1)), CONTEXT_WORDS), " ")
+        context = F.reverse(F.regexp_extract(F.reverse(m["before"]), CONTEXT, 1))
+        pattern = F.regexp_replace(F.lower(context), r"[\x20\x09-\x0D]++", " ")
         return F.struct(m["found"].alias("found"), m["start"].alias("start"), pattern.alias("pattern"))
 
     made = F.transform(raw, chain)
@@ -175,11 +178,13 @@ def candidates(rows: DataFrame, *names: str) -> DataFrame:
     its own. ``fit`` tells whether it could be an identifier by itself. ``counts`` tells
     whether it is an occurrence of its pattern: a chain's first run is one, and any seed.
     """
-    chains = rows.select(*names, "base", F.explode("chains").alias("chain"))
+    # Outer explodes: from others Spark would infer filters on the arrays, move them below all
+    # that makes the arrays, and work out one row's arrays again and again.
+    chains = rows.select(*names, "base", F.explode_outer("chains").alias("chain")).where("chain is not null")
     runs = add_matches(chains.withColumn("body", F.col("chain.found")), "body", RUN, "[0-9@]", "runs")
     runs = runs.select(
-        *names, "base", F.col("chain.pattern").alias("pattern"), F.col("chain.start").alias("from"), F.posexplode("runs").alias("place", "m")
-    )
+        *names, "base", F.col("chain.pattern").alias("pattern"), F.col("chain.start").alias("from"), F.posexplode_outer("runs").alias("place", "m")
+    ).where("m is not null")
     start, stop = F.col("from") + F.col("m.start"), F.col("from") + F.col("m.stop")
     runs = runs.withColumn("run", F.struct(F.col("m.found").alias("found"), start.alias("start"), stop.alias("stop")))
     run = F.col("run")
@@ -194,7 +199,7 @@ def candidates(rows: DataFrame, *names: str) -> DataFrame:
         lambda o: F.struct(o["found"].alias("found"), o["start"].alias("start"), F.lit(None).cast("int").alias("seed"), F.lit(False).alias("counts")),
     )
     parts = F.when(seed.isNull() | ~run["found"].contains(" "), whole).otherwise(F.concat(whole, rest))
-    made = runs.select(*names, "pattern", F.explode(parts).alias("c"))
+    made = runs.select(*names, "pattern", F.explode_outer(parts).alias("c")).where("c is not null")
     core = F.regexp_replace("c.found", r"^[^A-Za-z0-9+(]++|[^A-Za-z0-9)]++$", "")
     made = made.withColumns(
         {"core": core, "start": F.col("c.start") + F.length(F.regexp_extract("c.found", r"^[^A-Za-z0-9+(]*+", 0))}
@@ -222,10 +227,22 @@ def row_key(docs: DataFrame) -> dict[str, Column]:
     }
 
 
+def rated(parts: DataFrame, weights: DataFrame) -> DataFrame:
+    """pattern, kind, support, score and the old score, from what adds up to scores."""
+    sums = parts.groupBy("pattern", "kind").agg(
+        F.sum("good").alias("good"), F.sum("support").alias("support"), F.max("old").alias("old")
+    )
+    # Sums may differ in the last places from run to run; rounded scores do not.
+    score = F.round(F.col("good") / F.col("weight"), 9)
+    return sums.join(weights, "pattern").select("pattern", "kind", "support", "old", score.alias("score"))
+
+
 def sure_patterns(candidates: DataFrame, keep, counts: Column | None = None) -> DataFrame:
-    """pattern and kind of the patterns that extract, after the rounds of scoring.
+    """pattern and kind of the patterns that extract, by settled scores.
 
-    Candidates for which ``counts`` does not hold get scores, but patterns none from them.
+    With n and own the occurrences of an instance behind a pattern, all and those that count,
+    the scores solve: pattern = sum(own * instance) / (sum(own) + 1), instance = 1 for seeds
+    and DAMPING * sum(n * pattern) / sum(n) for others, kind by kind. Candidates for which ``counts`` does not hold get scores, but patterns none from them.
     """
     counts = F.lit(True) if counts is None else counts
     edges = keep(
@@ -239,27 +256,39 @@ def sure_patterns(candidates: DataFrame, keep, counts: Column | None = None) ->
     )
     of_pattern = keep(edges.groupBy("pattern").agg(F.sum("own").alias("of")), "of-pattern")
     of_instance = keep(edges.groupBy("instance").agg(F.sum("n").alias("of")), "of-instance")
-    edges = edges.select("pattern", "instance", "n", "own")
-    scored = seeds.select("instance", "kind", F.lit(1.0).alias("score"))
-    patterns = None
-    for step in range(1, ROUNDS + 1):
-        sums = edges.where("own > 0").join(scored, "instance").groupBy("pattern", "kind").agg(
-            F.sum(F.col("own") * F.col("score")).alias("good"),
+    seeded = edges.join(seeds, "instance").groupBy("pattern", "kind").agg(
+        F.sum("own").cast("double").alias("good"), F.sum((F.col("own") > 0).cast("int")).alias("support")
+    )
+    open_ones = edges.join(seeds.select("instance"), "instance", "left_anti").join(of_instance, "instance")
+    links = keep(open_ones.select("pattern", "instance", "own", (F.col("n") / F.col("of")).alias("part")), "links")
+    # What a pattern gets back from its own instances is put on the other side of the equation.
+    own = links.groupBy("pattern").agg((DAMPING * F.sum(F.col("own") * F.col("part"))).alias("back"))
+    weights = of_pattern.join(own, "pattern", "left").select(
+        "pattern", F.coalesce("back", F.lit(0.0)).alias("back"), (F.col("of") + 1 - F.coalesce("back", F.lit(0.0))).alias("weight")
+    )
+    weights = keep(weights, "weights")
+    none = F.lit(0.0)
+    base = keep(seeded.withColumn("old", none), "seeded")
+    patterns = keep(rated(base, weights), "patterns-0")
+    for step in range(1, MOST_ROUNDS + 1):
+        scores = patterns.select("pattern", "kind", "score")
+        given = links.join(scores, "pattern").groupBy("instance", "kind").agg(
+            F.sum(F.col("part") * F.col("score")).alias("score")
+        )
+        got = links.where("own > 0").join(given, "instance").groupBy("pattern", "kind").agg(
+            (DAMPING * F.sum(F.col("own") * F.col("score"))).alias("good"),
             F.sum((F.col("score") >= SURE).cast("int")).alias("support"),
         )
-        rated = sums.join(of_pattern, "pattern").select(
-            "pattern", "kind", "support", F.round(F.col("good") / (F.col("of") + 1), 9).alias("score")
+        before = scores.join(weights, "pattern").select(
+            "pattern", "kind", (-F.col("back") * F.col("score")).alias("good"), F.lit(0).alias("support"), F.col("score").alias("old")
         )
-        patterns = keep(rated, f"patterns-{step}")
-        if step == ROUNDS:
+        parts = base.unionByName(got.withColumn("old", none)).unionByName(before)
+        patterns = keep(rated(parts, weights), f"patterns-{step}")
+        change = patterns.agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0]
+        if change is None or change <= SETTLED:
             break
-        weighed = patterns.select("pattern", "kind", "score")
-        sums = edges.join(weighed, "pattern").groupBy("instance", "kind").agg(
-            F.sum(F.col("n") * F.col("score")).alias("good")
-        )
-        unseen = sums.join(of_instance, "instance").join(seeds.select("instance"), "instance", "left_anti")
-        unseen = unseen.select("instance", "kind", F.round(F.col("good") / F.col("of"), 9).alias("score"))
-        scored = keep(scored.where("score = 1.0").unionByName(unseen.where("score < 1.0")), f"instances-{step}")
+    else:
+        raise RuntimeError(f"scores of patterns still changed in round {MOST_ROUNDS}")
     best = F.max_by("kind", F.struct("score", -F.col("kind")))
     sure = patterns.where((F.col("score") >= SURE) & (F.col("support") >= SUPPORT))
     return keep(sure.groupBy("pattern").agg(best.alias("kind")), "sure")
