@@ -19,11 +19,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +40,17 @@ from wardlens.llm.transducer import Transducer, compiled
 LEXICON = 1 << 16
 #: Classes of counts: so many for each doubling.
 CLASSES = 8
-#: Fixed value: what most pieces look like, as a Java pattern; others are merged anyway.
-PIECES = r"\x20?\p{L}+|\x20?[^\s\p{L}\p{N}]+"
-#: Longer pieces are no words.
-LONGEST = 40
+#: Letters that any edition of Unicode has as letters, as a class of Arrow's patterns.
+SURE = r"A-Za-zÀ-ÖØ-öø-ɏЀ-ҁ"
+#: A word behind a blank: what the lexicon has. Longer ones are no words.
+FIRST_WORD = rf"^(?P<word>[{SURE}]{{1,40}})(?:[^{SURE}]|$)"
+#: A chunk that is one word: a line feed or blank before it, marks behind it.
+ONE_WORD = rf"^(?P<feed>\n?)(?P<word> ?[{SURE}]+)(?P<marks>[!-/:-@\[-`{{-~]*)$"
+#: Pieces of up to so many bytes are merged together, so many at a time.
+SHORT = 32
+TOGETHER = 8_000
+#: No pair of these tokens merges.
+NEVER = 1 << 30
 
 
 class Tokens:
@@ -70,10 +79,18 @@ class Tokens:
         vocabulary = made["model"]["vocab"]
         self.ids = {token.translate(self.plain): i for token, i in vocabulary.items()}
         self.special = {token["content"]: token["id"] for token in made["added_tokens"]}
-        self.rank = {}
+        self.rank, pairs = {}, []
         for place, pair in enumerate(made["model"]["merges"]):
-            left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank[(left + right).translate(self.plain)] = place
+            left, right = (t.translate(self.plain) for t in (pair if isinstance(pair, list) else pair.split(" ")))
+            self.rank[left + right] = place
+            pairs.append((self.ids[left] << 32 | self.ids[right], place, self.ids[left + right]))
+        pairs.sort()
+        # Pairs of tokens in order, their ranks, and what the pair of a rank becomes.
+        self.pair, rank, made_of = np.array(pairs, dtype=np.int64).reshape(-1, 3).T.copy()
+        self.pair_rank = rank.astype(np.int32)
+        self.becomes = np.empty(len(pairs), dtype=np.int32)
+        self.becomes[rank] = made_of
+        self.unit = np.array([self.ids[chr(byte)] for byte in range(256)], dtype=np.int32)
         count = 1 + max([*vocabulary.values(), *self.special.values()])
         self.bytes = [b""] * count
         for token, i in self.ids.items():
@@ -86,6 +103,58 @@ class Tokens:
         ids = [self.ids[part] for part in merged(piece, self.rank.get)]
         return np.array(ids, dtype="<u4").tobytes()
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.pair_rank[at], np.int32(NEVER))
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces: one merge of every piece at a time, the long ones alone."""
+        done: list[bytes] = [b""] * len(pieces)
+        order = sorted((i for i, piece in enumerate(pieces) if piece), key=lambda i: len(pieces[i]))
+        while order and len(pieces[order[-1]]) > SHORT:
+            i = order.pop()
+            done[i] = self.merge(pieces[i].decode("latin-1"))
+        for start in range(0, len(order), TOGETHER):
+            some = order[start : start + TOGETHER]
+            for i, ids in zip(some, self.merge_short([pieces[i] for i in some]), strict=True):
+                done[i] = ids
+        return done
+
+    def merge_short(self, pieces: list[bytes]) -> list[bytes]:
+        most = max(map(len, pieces))
+        size = np.array([len(piece) for piece in pieces])
+        units = np.frombuffer(b"".join(piece.ljust(most, b"\0") for piece in pieces), dtype=np.uint8)
+        tokens = self.unit[units.reshape(-1, most)]
+        place = np.arange(most)
+        rank = np.full(tokens.shape, NEVER, dtype=np.int32)
+        rank[:, :-1] = self.ranks(tokens[:, :-1], tokens[:, 1:])
+        rank[place >= size[:, None] - 1] = NEVER
+        left = np.arange(len(pieces))
+        now, ends = tokens.copy(), size.copy()
+        while len(left):
+            at = rank.argmin(axis=1)
+            least = rank[np.arange(len(at)), at]
+            some = least < NEVER
+            # What has no pair left is done; the others merge their first pair of least rank.
+            tokens[left[~some]], size[left[~some]] = now[~some], ends[~some]
+            left, now, ends, rank, at, least = (x[some] for x in (left, now, ends, rank, at, least))
+            row = np.arange(len(left))
+            shift = np.minimum(place + (place > at[:, None]), most - 1)
+            now = np.take_along_axis(now, shift, axis=1)
+            now[row, at] = self.becomes[least]
+            rank = np.take_along_axis(rank, np.minimum(place + (place >= at[:, None]), most - 1), axis=1)
+            ends = ends - 1
+            for first in (at - 1, at):
+                second = first + 1
+                there = (first >= 0) & (second < ends)
+                r, a, b = row[there], first[there], second[there]
+                rank[r, a] = self.ranks(now[r, a], now[r, b])
+            rank[row, ends - 1] = NEVER
+        kept = tokens[place < size[:, None]].astype("<u4").tobytes()
+        stops = (np.cumsum(size) * 4).tolist()
+        return [kept[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without special tokens, by the library's own pattern."""
         return [piece.translate(self.plain) for piece, _ in self.split.pre_tokenize_str(text)]
@@ -103,8 +172,16 @@ def frequent_words(docs: DataFrame, *, most: int = LEXICON) -> list[str]:
     rows; so only the words themselves come to the driver.
     """
     keep = stage(docs.sparkSession).keep
-    found = docs.select(F.explode(F.regexp_extract_all("text", F.lit(PIECES), F.lit(0))).alias("word"))
-    counts = found.where(F.octet_length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n"))
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches):
+            counted = pc.split_pattern(texts, " ").flatten().value_counts()
+            word = pc.struct_field(pc.extract_regex(counted.field("values"), FIRST_WORD), "word")
+            table = pa.table({"word": word, "n": counted.field("counts")})
+            yield from table.filter(pc.is_valid(word)).to_batches()
+
+    found = by_arrow(docs.select("text"), work, "word string, n long")
+    counts = found.groupBy(F.concat(F.lit(" "), "word").alias("word")).agg(F.sum("n").alias("n"))
     steps = F.floor(F.log2("n") * CLASSES).cast("int")
     counts = keep(counts.where("n > 1").withColumn("step", steps), "word-counts")
     total, least = 0, None
@@ -136,7 +213,7 @@ def ship_lexicon(docs: DataFrame, tokenizer: str, most: int) -> str:
     """
     spark = docs.sparkSession
     made = lexicon_file(frequent_words(docs, most=most), tokenizer)
-    name = f"lexicon-{hashlib.sha256(made).hexdigest()[:24]}.bin"
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = f"{stage(spark).folder}/{name}"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     place = jvm.org.apache.hadoop.fs.Path(path)
@@ -181,42 +258,53 @@ class Coder:
 
     def __init__(self, tokens: Tokens, lexicon: Transducer):
         import re
-        import string
 
         self.tokens, self.lexicon = tokens, lexicon
         special = map(re.escape, sorted(tokens.special, key=len, reverse=True))
         self.special = re.compile(f"({'|'.join(special) or '(?!)'})")
-        self.marks = string.punctuation
         self.memory = byte_level_memory(self.work)
 
-    def parts(self, chunk: str) -> list[str | bytes]:
-        """The pieces of a chunk (as bytes' code points), ids where a special token stands."""
-        body = chunk[1:] if chunk[0] in " \n" else chunk
-        core = body.rstrip(self.marks)
-        if core.isascii() and core.isalpha():
-            # One word, the marks behind it are a piece, and so is a line feed before it.
-            front = ["\n"] if chunk[0] == "\n" else []
-            word = chunk[0] + core if chunk[0] == " " else core
-            return [*front, word, *([body[len(core) :]] if len(core) < len(body) else [])]
-        found: list[str | bytes] = []
-        for i, part in enumerate(self.special.split(chunk)):
-            if i % 2:
-                found.append(np.array([self.tokens.special[part]], dtype="<u4").tobytes())
-            elif part:
-                found += self.tokens.pieces(part)
+    def odd(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks of any kind, special tokens among them."""
+        split, pieces = [], {}
+        for chunk in chunks:
+            parts: list[str | bytes] = []
+            for i, part in enumerate(self.special.split(chunk)):
+                if i % 2:
+                    parts.append(np.array([self.tokens.special[part]], dtype="<u4").tobytes())
+                elif part:
+                    parts += self.tokens.pieces(part)
+            split.append(parts)
+            pieces.update((part, None) for part in parts if isinstance(part, str))
+        known = dict(zip(pieces, self.of([piece.encode("latin-1") for piece in pieces]), strict=True))
+        return [b"".join(known[part] if isinstance(part, str) else part for part in parts) for parts in split]
+
+    def of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces: from the lexicon, or merged."""
+        found = self.lexicon.look_up(pieces)
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(missing, self.tokens.merge_all([pieces[i] for i in missing]), strict=True):
+            found[i] = ids
         return found
 
-    def work(self, chunks: list[str]) -> Iterator[bytes]:
-        """The ids of each chunk."""
-        split = [self.parts(chunk) for chunk in chunks]
-        pieces = list({part: None for parts in split for part in parts if isinstance(part, str)})
-        found = self.lexicon.look_up([piece.encode("latin-1") for piece in pieces])
-        known = {
-            piece: self.tokens.merge(piece) if ids is None else ids
-            for piece, ids in zip(pieces, found, strict=True)
-        }
-        for parts in split:
-            yield b"".join(known[part] if isinstance(part, str) else part for part in parts)
+    def work(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk; most are one word, with marks behind it as a piece of their own."""
+        split = pc.extract_regex(pa.array(chunks, pa.string()), ONE_WORD)
+        simple = np.flatnonzero(pc.is_valid(split).to_numpy(zero_copy_only=False))
+        split = split.take(pa.array(simple))
+        columns = []
+        for name in ("feed", "word", "marks"):
+            coded = pc.struct_field(split, name).dictionary_encode()
+            pieces = [piece.encode() for piece in coded.dictionary.to_pylist()]
+            columns.append(pa.array(self.of(pieces), pa.binary()).take(coded.indices))
+        made: list[bytes | None] = [None] * len(chunks)
+        joined = pc.binary_join_element_wise(*columns, b"").to_pylist() if len(simple) else []
+        for i, ids in zip(simple.tolist(), joined, strict=True):
+            made[i] = ids
+        odd = [i for i, ids in enumerate(made) if ids is None]
+        for i, ids in zip(odd, self.odd([chunks[i] for i in odd]), strict=True):
+            made[i] = ids
+        return made
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, memoryview]:
         """Where each text's ids start and end, in bytes, and all ids."""
