@@ -25,15 +25,17 @@ table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import os.path
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import by_arrow, stage
+from wardlens.llm.common import by_arrow, slices, stage
 
-#: Fixed value: what words are made of, as a class of Java and Python patterns.
+#: Fixed value: what words are made of, as a class of patterns.
 LETTERS = r"[A-Za-zÀ-ÿ]"
 #: Letters in the order of their code points; a place in it takes seven bits, 0 is no letter.
 ALPHABET = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(192, 256)]))
@@ -46,25 +48,101 @@ BELOW = 63 - STEM * BITS
 FORM_TIMES = 5
 
 
-def runs(docs: DataFrame) -> DataFrame:
-    """doc_id and run: every run of letters of every text, A-Z lower-cased."""
-    lower = F.translate("text", UPPER, UPPER.lower())
-    return docs.select("doc_id", F.explode(F.regexp_extract_all(lower, F.lit(f"{LETTERS}+"), F.lit(0))).alias("run"))
+def _steps() -> np.ndarray:
+    """The checksum's register after one byte, by the byte it is mixed with."""
+    register = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        register = np.where(register & 1, (register >> 1) ^ np.uint32(0xEDB88320), register >> 1)
+    return register
 
 
-def slipped(found: DataFrame, every: int = 199) -> DataFrame:
-    """``runs`` with one letter left out where the checksum of id and run is a multiple."""
-    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
-    slip = F.crc32(name.cast("binary"))
-    place = (slip % F.length("run")).cast("int")
-    short = F.concat(F.substring(F.col("run"), F.lit(1), place), F.substring(F.col("run"), place + 2, F.length("run")))
-    return found.select("doc_id", F.when(slip % every == 0, short).otherwise(F.col("run")).alias("run"))
+CRC_STEPS = _steps()
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
+SMALL = np.zeros(256, dtype=bool)
+SMALL[97:123] = True
 
 
-def word_counts(found: DataFrame, *, letters: int = 6, least: int = 5) -> DataFrame:
-    """word and n: the runs of enough letters that occur often enough."""
-    long_enough = found.where(F.length("run") >= letters)
-    counts = long_enough.groupBy(F.col("run").alias("word")).agg(F.count("*").alias("n"))
+class Runs:
+    """Where the runs of letters of some texts are, in the texts' lower-cased bytes.
+
+    In UTF-8 the letters past z are the byte 0xC3 and one more.
+    """
+
+    def __init__(self, texts: pa.StringArray):
+        _, offsets, data = texts.buffers()
+        cuts = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        self.bytes = LOWERED[np.frombuffer(data or b"", dtype=np.uint8)[cuts[0] : cuts[-1]]]
+        cuts = cuts - cuts[0]
+        wide = self.bytes == 0xC3
+        inside = SMALL[self.bytes] | wide
+        inside[1:] |= wide[:-1]
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        # A run ends with its text.
+        borders = cuts[(cuts > 0) & (cuts < len(inside))]
+        first[borders] = inside[borders]
+        last[borders - 1] = inside[borders - 1]
+        self.start, self.stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.text = np.searchsorted(cuts, self.start, side="right") - 1
+        wides = np.concatenate([[0], np.cumsum(wide)])
+        self.letters = self.stop - self.start - (wides[self.stop] - wides[self.start])
+
+    def checksums(self, heads: list[bytes]) -> np.ndarray:
+        """The checksum of each run behind its text's head, letter by letter for all runs."""
+        begun = np.array([zlib.crc32(head) ^ 0xFFFFFFFF for head in heads], dtype=np.uint32)
+        order = np.argsort(self.start - self.stop, kind="stable")
+        start, size = self.start[order], (self.stop - self.start)[order]
+        state = begun[self.text[order]]
+        for place in range(int(size[0]) if len(size) else 0):
+            n = np.searchsorted(-size, -place)
+            state[:n] = CRC_STEPS[(state[:n] ^ self.bytes[start[:n] + place]) & 255] ^ (state[:n] >> 8)
+        sums = np.empty(len(order), dtype=np.uint32)
+        sums[order] = state ^ np.uint32(0xFFFFFFFF)
+        return sums
+
+    def words(self, which: np.ndarray) -> pa.StringArray:
+        """The runs with the numbers ``which``."""
+        # Runs and what is between them, as one array over the bytes.
+        bounds = np.column_stack([self.start, self.stop]).astype(np.int32).reshape(-1)
+        if not len(bounds):
+            return pa.array([], pa.string())
+        parts = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(self.bytes))
+        return parts.take(pa.array(2 * which))
+
+
+def count_runs(texts: pa.StringArray, heads: list[bytes], letters: int, every: int) -> pa.Table:
+    """word and n: the runs of enough letters, one letter less where the checksum says so."""
+    runs = Runs(texts)
+    sums = runs.checksums(heads)
+    slips = sums % every == 0 if every else np.zeros(len(sums), dtype=bool)
+    counted = runs.words(np.flatnonzero(~slips & (runs.letters >= letters))).value_counts()
+    found, n = counted.field("values"), counted.field("counts")
+    short = []
+    slipped = np.flatnonzero(slips)
+    for word, h in zip(runs.words(slipped).to_pylist(), sums[slipped].tolist(), strict=True):
+        place = h % len(word)
+        short.append(word[:place] + word[place + 1 :])
+    short = [word for word in short if len(word) >= letters]
+    words = pa.concat_arrays([found, pa.array(short, pa.string())])
+    return pa.table({"word": words, "n": pa.concat_arrays([n, pa.array([1] * len(short), pa.int64())])})
+
+
+def word_counts(docs: DataFrame, *, letters: int = 6, least: int = 5, every: int = 0) -> DataFrame:
+    """word and n: the runs of enough letters that occur often enough, A-Z lower-cased.
+
+    With ``every``, a run is a letter shorter if the checksum of id and run is a multiple of
+    it: slips of the pen, put in at places that only depend on the document.
+    """
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            heads = [f"{'' if i is None else i}:".encode() for i in batch.column("id").to_pylist()]
+            yield from count_runs(texts, heads, letters, every).to_batches()
+
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    counts = by_arrow(rows, work, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return counts.where(F.col("n") >= least)
 
 
@@ -245,7 +323,7 @@ def spelling_variants(counts: DataFrame, *, times: int = FORM_TIMES) -> DataFram
 
 def variant_report(docs: DataFrame) -> DataFrame:
     """The spelling variants among the words of documents, slips of the pen put in."""
-    return spelling_variants(word_counts(slipped(runs(docs))))
+    return spelling_variants(word_counts(docs, every=199))
 
 
 #: The query in SQL (DuckDB); the checksum's polynomial is the fixed value 0xEDB88320.
