@@ -290,3 +290,110 @@ def test_missing_feature_gives_no_score(rows):
         feature_row(rows, patient_age_at_visit=None), models.CURRENT, score_name="s", pct_name="p"
     ).first()
     assert row.s is None and row.p is None
+
+
+TIMED = "key string, code int, noted timestamp_ntz, ended timestamp_ntz"
+
+
+def timed_flags(spark, conditions, cohort):
+    coded = spark.createDataFrame([(1, True)], "code int, first boolean")
+    admissions = spark.createDataFrame(cohort, "key string, admitted timestamp_ntz").distinct()
+    return flags.active_flags(
+        spark.createDataFrame(conditions, TIMED), coded, admissions,
+        key="key", code_id="code", noted="noted", ended="ended", flags=["first"], admissions=admissions,
+    )
+
+
+def test_timed_conditions_meet_the_next_admission(spark):
+    rng = random.Random(11)
+
+    def moment(days):
+        # Few different instants, so that many meet exactly.
+        return START + timedelta(hours=12 * rng.randrange(2 * days))
+
+    cohort = [(random_key(rng), moment(500)) for _ in range(40)] + [(None, START), ("k1", None)]
+    conditions = []
+    for _ in range(200):
+        noted = moment(500)
+        ended = noted + timedelta(hours=12 * rng.randrange(-900, 300)) if rng.random() < 0.9 else None
+        conditions.append((random_key(rng), rng.randrange(1, 3), noted, ended))
+    conditions += [("k2", 1, None, None), (None, 1, START, None), ("k9", 1, START, None)]
+    expected = set()
+    for key, admitted in cohort:
+        for other, code, noted, ended in conditions:
+            if key == other and key and code == 1 and noted and admitted and noted <= admitted - timedelta(days=2):
+                if ended is None or ended >= admitted - timedelta(days=367):
+                    expected.add(key)
+    assert as_dict(timed_flags(spark, conditions, cohort)) == {key: (1,) for key in expected}
+    assert expected
+
+
+def test_a_heavy_patient_s_timed_conditions_make_no_product(spark):
+    count = 20_000
+    minutes = F.expr("make_dt_interval(0, 0, cast(id * 7 AS int))")
+    start = F.lit("2020-01-01").cast("timestamp_ntz")
+    base = spark.range(count).withColumn("key", F.lit("hot"))
+    conditions = base.select(
+        "key", F.lit(1).alias("code"), (start + minutes).alias("noted"),
+        (start + minutes - F.expr("INTERVAL 400 DAYS")).alias("ended"),
+    )
+    admissions = base.select("key", (start + minutes).alias("admitted"))
+    coded = spark.createDataFrame([(1, True)], "code int, first boolean")
+    settings = {"key": "key", "code_id": "code", "noted": "noted", "ended": "ended", "flags": ["first"]}
+    found = flags.active_flags(conditions, coded, admissions, admissions=admissions, **settings)
+    assert found.collect() == []
+    spans = conditions.withColumn("due", F.col("noted")).select("key", "due")
+    plan = flags.next_admission(spans, admissions, "key", "due")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert flags.next_admission(spans, admissions, "key", "due").count() == count
+
+
+def test_many_code_ranges_are_searched(spark):
+    rng = random.Random(3)
+    ranges = []
+    for _ in range(5000):
+        low = f"{rng.choice('ABCDEFGH')}{rng.randrange(100_000):05d}"
+        ranges.append((low, low[:-1] + rng.choice("0459é")))
+    ranges += [("B2", "B1"), ("Z", "Z")]
+    codes = [f"{rng.choice('ABCDEFGHZ')}{rng.randrange(100_000):05d}"[: rng.choice([1, 4, 6, 6, 6])] for _ in range(3000)]
+    codes += ["Z", "Z1", "", "é", ranges[7][0], ranges[7][1], f"{ranges[9][1]}x"]
+    df = spark.createDataFrame([(c,) for c in codes] + [(None,)], "code string")
+    merged = flags.merged_ranges(ranges)
+    assert len(merged) >= flags.SEARCHED and all(a[1] < b[0] for a, b in zip(merged, merged[1:], strict=False))
+    got = sorted(row.code for row in df.where(flags.code_in(F.col("code"), ["A1"], ranges)).collect())
+    want = sorted(c for c in codes if c == "A1" or any(low <= c <= high for low, high in ranges))
+    assert got == want and 0 < len(got) < len(codes)
+
+
+@pytest.mark.parametrize("count", [16, 17, 31, 32, 33, 100])
+def test_every_place_of_a_range_table_is_found(spark, count):
+    ranges = [(f"{i:04d}b", f"{i:04d}d") for i in range(count)]
+    codes = [f"{i:04d}{end}" for i in range(count) for end in "abcde"] + ["", "~"]
+    df = spark.createDataFrame([(c,) for c in codes], "code string")
+    got = sorted(row.code for row in df.where(flags.code_in(F.col("code"), [], ranges)).collect())
+    assert got == sorted(c for c in codes if c[-1:] in ("b", "c", "d"))
+
+
+def test_few_merged_ranges_are_pushed_as_filters(rows):
+    assert flags.merged_ranges([("C", "D"), ("A", "B"), ("B", "BB"), ("CC", "CD"), ("X", "W")]) == [("A", "BB"), ("C", "D")]
+    none = rows("code string", [("A",), (None,)]).where(flags.code_in(F.col("code"), [], [("X", "W")]))
+    assert none.collect() == []
+
+
+def test_episodes_within_hours_meet_by_bins(spark):
+    rng = random.Random(2)
+    cohort = [(rng.randrange(5), START + timedelta(minutes=rng.randrange(4000))) for _ in range(30)]
+    # A third of all episodes are one encounter's; some sit exactly on the bounds.
+    episodes = [(0 if rng.random() < 1 / 3 else rng.randrange(7), START + timedelta(minutes=rng.randrange(9000))) for _ in range(300)]
+    episodes += [(key, at + timedelta(hours=h)) for key, at in cohort for h in (0, 24)] + [(1, None), (None, START)]
+    left = spark.createDataFrame(cohort, "visit int, admitted timestamp_ntz")
+    right = spark.createDataFrame(episodes, "visit int, entered timestamp_ntz")
+    found = lookback.within_hours(left, right, on="visit", anchor="admitted", start="entered")
+    want = [
+        (key, at, entered) for key, at in cohort for other, entered in episodes
+        if key == other and entered and at <= entered <= at + timedelta(hours=24)
+    ]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    assert found.columns == ["visit", "admitted", "entered"]
+    join = next(line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in line)
+    assert "bin" in join

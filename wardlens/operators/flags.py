@@ -2,24 +2,62 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OPEN_END = "9999-12-31"
 
 
+#: From so many ranges on, they are searched in a table instead of tested one by one.
+SEARCHED = 16
+
+
+def merged_ranges(ranges: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The same text ranges in order, those that overlap or touch as one, empty ones gone."""
+    merged: list[tuple[str, str]] = []
+    for low, high in sorted(pair for pair in ranges if pair[0] <= pair[1]):
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def range_holding(code: Column, ranges: Sequence[tuple[str, str]]) -> Column:
+    """True where ``code`` lies in one of ``ranges`` (in order and apart), by binary search.
+
+    The bounds are two constant arrays; the place of the last range that begins at or before
+    the code is found by halving, so an expression of fixed size does for any number.
+    """
+    lows, highs = (F.from_json(F.lit(json.dumps(list(side))), "array<string>") for side in zip(*ranges, strict=True))
+    halves = [1 << bit for bit in reversed(range((len(ranges) - 1).bit_length()))]
+
+    def step(place: Column, half: Column) -> Column:
+        ahead = place + half
+        return F.when((ahead < len(ranges)) & (F.get(lows, ahead) <= code), ahead).otherwise(place)
+
+    place = F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), step)
+    # The outermost bounds go to the scan as a filter.
+    return code.between(ranges[0][0], max(high for _, high in ranges)) & (code <= F.get(highs, place))
+
+
 def code_in(
     code: Column, codes: Sequence[str] = (), ranges: Sequence[tuple[str, str]] = ()
 ) -> Column:
     """True where ``code`` is listed or lies in a text range, both ends included."""
     tests = [code.isin(list(codes))] if codes else []
-    tests += [code.between(low, high) for low, high in ranges]
-    return reduce(or_, tests)
+    merged = merged_ranges(ranges)
+    if len(merged) >= SEARCHED:
+        tests.append(range_holding(code, merged))
+    else:
+        tests += [code.between(low, high) for low, high in merged]
+    return reduce(or_, tests, F.lit(False)) if len(tests) != 1 else tests[0]
 
 
 def stack_flags(sets: Mapping[str, DataFrame], *keys: str) -> DataFrame:
@@ -55,7 +93,7 @@ def active_flags(
 
     Columns with a time of day are compared as instants with ``admissions``, the distinct
     (key, admitted) of the cohort: the first admission late enough after the noted instant
-    decides. For calendar dates, per key and noted date the latest end decides, and per key and admission day the
+    decides (see :func:`next_admission`). For calendar dates, per key and noted date the latest end decides, and per key and admission day the
     first admission does: dates sit on midnights, so the first admission of a day
     meets both bounds whenever any of that day's does. Both sides of the join are
     thereby bounded by the calendar, however many rows one key has.
@@ -92,6 +130,33 @@ def active_flags(
     return found.where(reduce(or_, (F.col(flag) == 1 for flag in flags)))
 
 
+def next_admission(
+    spans: DataFrame, admissions: DataFrame, key: str, due: str, *columns: str
+) -> DataFrame:
+    """``key``, ``columns`` and ``next_admitted``: the first admission at or after ``due``, if any.
+
+    Spans and admissions of a key never meet as pairs: both are put in one order, by key and
+    day, and each span takes the admission carried along from behind it. What comes after a
+    day's end is worked out on one row per key and day, so the rows of one key are spread
+    over its days.
+    """
+    admitted = F.col("admitted").cast("timestamp_ntz")
+    none = F.lit(None).cast("timestamp_ntz")
+    asked = spans.select(key, F.col(due).alias("due_at"), none.alias("next_admitted"), F.lit(True).alias("is_span"), *columns)
+    blank = [F.lit(None).cast(spans.schema[name].dataType).alias(name) for name in columns]
+    given = admissions.select(key, admitted.alias("due_at"), admitted.alias("next_admitted"), F.lit(False).alias("is_span"), *blank)
+    both = asked.unionByName(given).where("due_at is not null").withColumn("due_day", F.to_date("due_at"))
+    days = both.groupBy(key, "due_day").agg(F.min("next_admitted").alias("next_admitted"))
+    later = Window.partitionBy(key).orderBy(F.col("due_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # A day's end stands for all admissions after it.
+    end = F.date_add("due_day", 1).cast("timestamp_ntz")
+    ends = days.select(key, end.alias("due_at"), F.min("next_admitted").over(later).alias("next_admitted"), F.lit(False).alias("is_span"), *blank, "due_day")
+    order = Window.partitionBy(key, "due_day").orderBy(F.col("due_at").desc(), "is_span")
+    carried = F.min("next_admitted").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = both.unionByName(ends.where("next_admitted is not null")).withColumn("next_admitted", carried)
+    return found.where("is_span and next_admitted is not null").select(key, *columns, "next_admitted")
+
+
 def _active_by_instant(
     conditions: DataFrame,
     coded: DataFrame,
@@ -112,18 +177,12 @@ def _active_by_instant(
         .agg(*[F.max(F.when(F.col(flag), end)).alias(flag) for flag in flags])
         .join(admissions.select(key).distinct(), key, "left_semi")
     )
-    admitted = F.col("admitted").cast("timestamp_ntz")
-    late_enough = admitted >= F.col("noted") + F.expr(f"INTERVAL {int(noted_days)} DAYS")
-    first = (
-        spans.join(admissions.select(key, "admitted"), key)
-        .where(late_enough)
-        .groupBy(key, "noted", *flags)
-        .agg(F.min(admitted).alias("first"))
-    )
+    due = F.col("noted") + F.expr(f"INTERVAL {int(noted_days)} DAYS")
+    first = next_admission(spans.withColumn("due", due), admissions, key, "due", *flags)
     reach = F.expr(f"INTERVAL {int(ended_days)} DAYS")
 
     def reaches(last: Column) -> Column:
-        return last.isNotNull() & ((last >= open_end) | (F.col("first") - reach <= last))
+        return last.isNotNull() & ((last >= open_end) | (F.col("next_admitted") - reach <= last))
 
     found = first.groupBy(key).agg(
         *[F.max(F.when(reaches(F.col(flag)), 1)).alias(flag) for flag in flags]

@@ -167,7 +167,19 @@ def within_hours(
 ) -> DataFrame:
     """Episodes entered from the anchor instant up to ``hours`` later, both ends included.
 
-    ``on`` is the encounter: one cohort row meets its own episodes only.
+    ``on`` is the encounter: one cohort row meets its own episodes only. They meet by bins of
+    ``hours``: an episode is in one bin, an anchor reaches at most two, and the episodes of an
+    encounter with very many of them are spread over their bins.
     """
     limit = F.col(anchor) + F.expr(f"INTERVAL {int(hours)} HOURS")
-    return cohort.join(episodes, on).where(F.col(start).between(F.col(anchor), limit))
+    bin_ = next(name for name in ("bin", "_bin", "__bin") if name not in {*cohort.columns, *episodes.columns})
+    reached = cohort.withColumn(bin_, F.explode(F.sequence(time_bin(F.col(anchor), hours), time_bin(limit, hours))))
+    placed = episodes.withColumn(bin_, time_bin(F.col(start), hours))
+    return reached.join(placed, [on, bin_]).where(F.col(start).between(F.col(anchor), limit)).drop(bin_)
+
+
+def time_bin(moment: Column, hours: int) -> Column:
+    """The number of the stretch of ``hours`` that ``moment`` is in."""
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.timestamp_diff("SECOND", origin, moment.cast("timestamp_ntz"))
+    return F.floor(seconds / (3600 * int(hours)))

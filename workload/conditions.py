@@ -70,6 +70,61 @@ def in_value_set(r):
     return active(r, "in_set", coded)
 
 
+@query(
+    "q38_timed_conditions",
+    f"""
+    WITH {COHORT_SQL}, admitted AS (
+      SELECT o_custkey, o_orderdate + to_hours((o_orderkey % 24)::INTEGER) AS at FROM cohort
+    ), timed AS (
+      SELECT o_custkey, l_partkey, o_orderdate + to_hours((l_partkey % 24)::INTEGER) AS noted,
+        CASE WHEN l_linestatus = 'F' THEN l_shipdate + to_hours((l_suppkey % 24)::INTEGER) END AS ended
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    )
+    SELECT a.o_custkey, max(CASE WHEN p_type = 'PROMO' THEN 1 END) AS promo,
+      max(CASE WHEN p_brand BETWEEN 'Brand#10' AND 'Brand#14' THEN 1 END) AS branded
+    FROM admitted a JOIN timed t ON t.o_custkey = a.o_custkey
+    JOIN part ON p_partkey = l_partkey
+      AND (p_type = 'PROMO' OR p_brand BETWEEN 'Brand#10' AND 'Brand#14')
+    WHERE noted <= a.at - INTERVAL 2 DAY
+      AND (ended IS NULL OR ended >= a.at - INTERVAL 367 DAY)
+    GROUP BY a.o_custkey
+    """,
+)
+def timed_conditions(r):
+    """Conditions and admissions with times of day, compared as instants."""
+
+    def later(moment: str, by: str):
+        return F.col(moment).cast("timestamp_ntz") + F.expr(f"make_dt_interval(0, cast({by} % 24 AS int))")
+
+    orders = r.cohort_orders().select("o_custkey", "o_orderkey", "o_orderdate")
+    lines = r.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    conditions = lines.select(
+        "o_custkey",
+        "l_partkey",
+        later("o_orderdate", "l_partkey").alias("noted"),
+        F.when(F.col("l_linestatus") == "F", later("l_shipdate", "l_suppkey")).alias("ended"),
+    )
+    part = r.part.withColumnRenamed("p_partkey", "l_partkey")
+    coded = flags.stack_flags(
+        {
+            "promo": part.where(F.col("p_type") == "PROMO"),
+            "branded": part.where(flags.code_in(F.col("p_brand"), [], [("Brand#10", "Brand#14")])),
+        },
+        "l_partkey",
+    )
+    return flags.active_flags(
+        conditions,
+        coded,
+        r.anchors,
+        key="o_custkey",
+        code_id="l_partkey",
+        noted="noted",
+        ended="ended",
+        flags=["promo", "branded"],
+        admissions=r.cohort.select("o_custkey", later("o_orderdate", "o_orderkey").alias("admitted")).distinct(),
+    )
+
+
 @query(
     "q10_composite_episode",
     f"""
