@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardlens.functions.text import contains_any, first_token, starts_with_any
 from wardlens.functions.times import day_not_after, day_not_before
+from wardlens.operators.prefilter import reduce_by_ids
 
 
 # ---- catalogs -------------------------------------------------------------
@@ -198,7 +199,8 @@ def exposures(
     With ``patients``, the patient a rule goes by (the order's, with
     ``order_patient_in_cohort``, else the stay's) must be one of them. ``earliest`` is the
     first admission of ``stays``, which bounds the orders; ``keep`` stages the wanted orders,
-    so that their real size decides how the administrations are joined.
+    so that their real size decides how the administrations are joined, and filters them by
+    the orders' ids where those are too many to broadcast.
     """
     newest = max(as_of - timedelta(days=rule.newest_day) for rule in rules.values())
     wanted = orders.where(
@@ -228,6 +230,8 @@ def exposures(
         wanted = wanted.join(members, "order_patient", "left")
     if keep:
         wanted = keep(wanted, "wanted-orders")
+    if keep:
+        administrations = reduce_by_ids(administrations, "order_id", wanted.select("order_id"))
     given = (
         administrations.where(F.col("taken_at").isNotNull())
         .select("order_id", "taken_at", "action_id", "route_id")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlens.operators.prefilter import reduce_by_ids
+
 OPEN_END = "9999-12-31"
 
 
@@ -234,12 +236,19 @@ def positive_cultures(
 
     Goes from the orders, which a cohort has few of, to their results and on to lines,
     cultures and organisms; ``result_values`` must hold the accepted components only.
-    ``keep`` stages orders and results, so that the larger tables join by their real size.
+    ``keep`` stages orders and results, so that the larger tables join by their real size, and filters those by the staged ids
+    where these are too many to broadcast.
     """
+    staged = keep is not None
     keep = keep or (lambda df, name: df)
     orders = keep(orders.select("patient_id", "order_id").distinct(), "culture-orders")
+    if staged:
+        results = reduce_by_ids(results, "order_id", orders.select("order_id"))
     found = results.join(orders.select("order_id").distinct(), "order_id")
     found = keep(found.select("order_id", "result_id"), "culture-results")
+    if staged:
+        result_lines = reduce_by_ids(result_lines, "result_id", found.select("result_id"))
+        result_values = reduce_by_ids(result_values, "order_id", found.select("order_id"))
     grown = (
         found.join(result_lines, "result_id")
         .join(cultures, ["result_id", "line"])

@@ -31,6 +31,7 @@ from wardlens.operators.cohort import (
     keep_cohort_keys,
     select_cohort,
 )
+from wardlens.operators.prefilter import reduce_by_ids
 from wardlens.operators.score import ScoreModel, score
 from wardlens.sources.staging import Stage
 
@@ -138,9 +139,20 @@ def prior_inpatient(stays: DataFrame, tables: Tables, options: ReportOptions) ->
 
 
 def stay_features(
-    prior: DataFrame, tables: Tables, anchors: DataFrame, options: ReportOptions
+    prior: DataFrame,
+    tables: Tables,
+    anchors: DataFrame,
+    options: ReportOptions,
+    stays: DataFrame | None = None,
 ) -> list[DataFrame]:
-    """Prior stays, total length and number of stays, ICU days; each for one cohort row."""
+    """Prior stays, total length and number of stays, ICU days; each for one cohort row.
+
+    With staged ``stays``, stay lengths are filtered by their ids where those are too many to
+    broadcast.
+    """
+    lengths = tables["stay_lengths"]
+    if stays is not None:
+        lengths = reduce_by_ids(lengths, "encounter_id", stays.select("encounter_id"))
     icu = tables["icu_stays"]
     first, _ = cohort_span(options)
     icu = icu.where(from_instant(icu, "entered_at", first - timedelta(days=options.icu_reach)))
@@ -148,7 +160,7 @@ def stay_features(
         lookback.count_per_key(prior, "patient_id", "encounter_id", "prior_hosp"),
         lookback.total_and_items(
             prior,
-            tables["stay_lengths"],
+            lengths,
             key="patient_id",
             item="encounter_id",
             amount="stay_days",
@@ -627,7 +639,7 @@ def feature_rows(
         flags={"antibiotic": "prev_dot", "beta_lactam": "prev_blactam"},
     )
     features = [
-        *stay_features(prior_inpatient(stays, tables, options), tables, anchors, options),
+        *stay_features(prior_inpatient(stays, tables, options), tables, anchors, options, stays),
         condition_features(tables, kept["coded"], anchors, cohort, options),
         ventilation_feature(stays, tables, options),
         therapy,
