@@ -177,3 +177,19 @@ def test_piece_query(spark):
     rows = by_id(queries.QUERIES["op10_sentencepiece"](spark, FOLDER))
     for doc in docs:
         assert rows[doc.doc_id].ids == PIECES.encode(doc.text) and rows[doc.doc_id].round_trip
+
+
+@pytest.mark.parametrize("most", [1, 4])
+def test_starts_do_not_depend_on_the_session_s_rows_per_file(spark, tmp_path, most):
+    docs = documents(spark, [f"text number {i} " * (i % 5) for i in range(40)])
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", most)
+    try:
+        token_orc.write_token_files(docs, f"{tmp_path}/tokens")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    rows = token_orc.checked_tokens(spark, f"{tmp_path}/tokens").orderBy("start").collect()
+    start = 0
+    for row in rows:
+        assert row.start == start
+        start += row.n_tokens
+    assert len(rows) == docs.count()

@@ -159,6 +159,8 @@ def write_token_files(
             "orc.bloom.filter.columns": "doc_id",
             "orc.bloom.filter.fpp": BLOOM_FALSE,
             "compression": "zstd",
+            # Starts are summed up by file: a task's rows must not be split into several.
+            "maxRecordsPerFile": 0,
         }
     ).orc(path)
 
