@@ -13,7 +13,8 @@ more; that border is found in one narrow bucket of hashes, so a cell of any size
 
 Cases: null text has no words; documents without words have rate 1 and give one copy of
 nothing. Null source is a source of its own, the last. Rows with equal doc_id, source and
-text have equal hashes and equal copies. An empty table gives an empty result.
+text have equal hashes; where the border falls among them, as many as are missing get one
+more, no matter which. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -173,7 +174,11 @@ def cell_copies(cells: DataFrame, tilted: DataFrame, most: int) -> DataFrame:
 
 
 def hash_borders(rows: DataFrame, cells: DataFrame, keep) -> DataFrame:
-    """``cells`` with border: in a cell with extra copies, the hash of the last extra one."""
+    """``cells`` with border, edge and missing, for cells with extra copies.
+
+    Documents with hashes up to ``border`` get one more copy. Of those with hash ``edge``
+    (null unless equal rows straddle the border), only ``missing`` do.
+    """
     cell = ["unnamed", "name", "size"]
     split = cells.where("extra > 0")
     largest = split.agg(F.max("n")).first()[0] or 1
@@ -186,11 +191,38 @@ def hash_borders(rows: DataFrame, cells: DataFrame, keep) -> DataFrame:
     before = F.coalesce(F.sum("of").over(order), F.lit(0))
     chosen = counts.withColumn("nth", F.col("extra") - before).where("nth between 1 and of")
     chosen = keep(chosen.select(*cell, "bucket", "nth"), "chosen")
-    ranked = bucketed.join(chosen, [*cell, "bucket"]).withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*cell, "bucket").orderBy("place"))
+    # Equal rows have one hash: however many there are, they are one row before they are ordered.
+    places = bucketed.join(chosen, [*cell, "bucket"]).groupBy(*cell, "nth", "place").agg(
+        F.count("*").alias("here")
     )
-    borders = ranked.where("rank = nth").select(*cell, F.col("place").alias("border"))
-    return cells.join(borders, cell, "left").select(*cell, "each", "border")
+    order = Window.partitionBy(*cell).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    counted = places.withColumn("upto", F.sum("here").over(order))
+    whole = F.col("upto") == F.col("nth")
+    borders = counted.where("upto >= nth and upto - here < nth").select(
+        *cell,
+        F.when(whole, F.col("place")).otherwise(F.col("place") - 1).alias("border"),
+        F.when(~whole, F.col("place")).alias("edge"),
+        F.when(~whole, F.col("nth") - F.col("upto") + F.col("here")).alias("missing"),
+    )
+    return cells.join(borders, cell, "left").select(*cell, "each", "border", "edge", "missing")
+
+
+def first_rows(rows: DataFrame, cell: Sequence[str], missing: str, serial: str, keep) -> DataFrame:
+    """Per cell the ``serial`` of its ``missing``-th row, in the order of serials.
+
+    The high bits of a serial are the task that gave it. Rows are counted per task first, and
+    only those of the one task the wanted row is from are put in order.
+    """
+    narrow = rows.select(*cell, F.col(missing).alias("nth"), F.col(serial).alias("serial"))
+    narrow = narrow.withColumn("task", F.shiftright("serial", 33))
+    counts = narrow.groupBy(*cell, "nth", "task").agg(F.count("*").alias("of"))
+    order = Window.partitionBy(*cell).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("nth") - F.coalesce(F.sum("of").over(order), F.lit(0))
+    chosen = counts.withColumn("nth", left).where("nth between 1 and of").drop("of")
+    chosen = keep(chosen, "edge-tasks")
+    rank = F.row_number().over(Window.partitionBy(*cell).orderBy("serial"))
+    ranked = narrow.drop("nth").join(chosen, [*cell, "task"]).withColumn("rank", rank)
+    return ranked.where("rank = nth").select(*cell, F.col("serial").alias("last"))
 
 
 def mix_columns(seed: int) -> dict[str, Column]:
@@ -224,10 +256,35 @@ def plan_mix(
     return keep(hash_borders(rows, copies, keep), "plan"), targets
 
 
-def copies_of() -> Column:
-    """Copies of a document joined with its cell's plan; without words it has one."""
-    extra = F.coalesce(F.col("place") <= F.col("border"), F.lit(False)).cast("long")
-    return F.coalesce(F.col("each") + extra, F.lit(1).cast("long"))
+def with_copies(planned: DataFrame, names: dict[str, str], keep) -> DataFrame:
+    """Documents joined with their cells' plans (columns as ``names`` says), with copies.
+
+    Documents without words have one. Rows at an edge are equal to each other, so any of them
+    may get the copies missing; they alone are written down with a serial, and a table without
+    edges is not read for them.
+    """
+    cell = [names[k] for k in ("unnamed", "name", "size")]
+    each, place, border, edge, missing = (
+        F.col(names[k]) for k in ("each", "place", "border", "edge", "missing")
+    )
+    copies, serial = names["copies"], names["serial"]
+    extra = F.coalesce(place <= border, F.lit(False)).cast("long")
+    plain = planned.withColumn(copies, F.coalesce(each + extra, F.lit(1).cast("long")))
+    at_edge = F.coalesce(place == edge, F.lit(False))
+    equal = planned.where(at_edge).withColumn(serial, F.monotonically_increasing_id())
+    equal = keep(equal, "edges")
+    if equal.isEmpty():
+        return plain
+    last = keep(first_rows(equal, cell, names["missing"], serial, keep), "last-of-edges")
+    more = equal.join(last.withColumnRenamed("last", names["last"]), cell).withColumn(
+        copies, each + (F.col(serial) <= F.col(names["last"])).cast("long")
+    )
+    return plain.where(~at_edge).unionByName(more.select(*plain.columns))
+
+
+CELL = ("unnamed", "name", "size")
+PLAN = ("each", "border", "edge", "missing")
+WORKED = ("copies", "serial", "last")
 
 
 def mix_report(docs: DataFrame, *, seed: int = 7, **settings) -> DataFrame:
@@ -235,14 +292,16 @@ def mix_report(docs: DataFrame, *, seed: int = 7, **settings) -> DataFrame:
     keep = stage(docs.sparkSession).keep
     rows = keep(docs.select("doc_id", *(c.alias(k) for k, c in mix_columns(seed).items())), "rows")
     plan, targets = plan_mix(rows, keep=keep, **settings)
-    planned = rows.join(plan, ["unnamed", "name", "size"], "left").join(targets, ["unnamed", "name"])
-    return planned.select(
+    planned = rows.join(plan, list(CELL), "left")
+    names = {k: k for k in (*CELL, "place", *PLAN, *WORKED)}
+    copied = with_copies(planned, names, keep).join(targets, ["unnamed", "name"])
+    return copied.select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        (copies_of() * F.col("size")).alias("taken"),
-        copies_of().alias("copies"),
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
     )
 
 
@@ -252,16 +311,12 @@ def mix(docs: DataFrame, *, seed: int = 7, **settings) -> DataFrame:
     columns = mix_columns(seed)
     rows = keep(docs.select(*(c.alias(k) for k, c in columns.items())), "rows")
     plan, _ = plan_mix(rows, keep=keep, **settings)
-    names = {k: free_name(docs, f"mix_{k}") for k in columns}
-    plan = plan.select(
-        *(F.col(k).alias(names[k]) for k in ("unnamed", "name", "size")), "each", "border"
-    )
-    place, each, border = (free_name(docs, f"mix_{k}") for k in ("place", "each", "border"))
-    plan = plan.withColumnsRenamed({"each": each, "border": border})
+    names = {k: free_name(docs, f"mix_{k}") for k in (*columns, *PLAN, *WORKED, "times")}
+    plan = plan.select(*(F.col(k).alias(names[k]) for k in (*CELL, *PLAN)))
     wide = docs.withColumns({names[k]: c for k, c in columns.items()})
-    joined = wide.join(plan, [names[k] for k in ("unnamed", "name", "size")], "left")
-    extra = F.coalesce(F.col(place) <= F.col(border), F.lit(False)).cast("long")
-    copies = F.coalesce(F.col(each) + extra, F.lit(1).cast("long"))
-    times = free_name(docs, "mix_times")
-    repeated = joined.withColumn(times, F.explode(F.sequence(F.lit(0).cast("long"), copies)))
+    joined = wide.join(plan, [names[k] for k in CELL], "left")
+    copied = with_copies(joined, names, keep)
+    upto = F.sequence(F.lit(0).cast("long"), F.col(names["copies"]))
+    times = names["times"]
+    repeated = copied.withColumn(times, F.explode(upto))
     return repeated.where(F.col(times) > 0).select(*(F.col(f"`{c}`") for c in docs.columns))
