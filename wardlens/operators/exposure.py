@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions.text import contains_any, first_token, starts_with_any
+from wardlens.functions.text import contains_any, first_token, name_key, same_name, starts_with_any
 from wardlens.functions.times import day_not_after, day_not_before
 from wardlens.operators.prefilter import reduce_by_ids
 
@@ -20,11 +20,8 @@ from wardlens.operators.prefilter import reduce_by_ids
 
 
 def catalog_terms(catalog: DataFrame, term: Column, where: Column) -> DataFrame:
-    """Distinct upper-case ``term`` values of the catalog rows that satisfy ``where``.
-
-    Blanks behind a term do not count, as columns of fixed width have them.
-    """
-    return catalog.where(where).select(F.upper(F.rtrim(term)).alias("term")).distinct()
+    """Distinct names in ``term`` of the catalog rows that satisfy ``where``."""
+    return catalog.where(where).select(name_key(term).alias("term")).distinct()
 
 
 def match_first_token(
@@ -64,7 +61,7 @@ def family_catalog(
     A drug belongs when its first word is a short name of a family member, or when
     its untrimmed first word is also that of a family member.
     """
-    members = F.upper(F.rtrim(F.col("therapeutic_class"))) == family.upper()
+    members = same_name(F.col("therapeutic_class"), family)
     drugs = catalog.select("medication_id", "medication_name")
     by_short_name = match_first_token(
         drugs,
@@ -126,8 +123,7 @@ def drug_flags(
     name = F.col("medication_name")
     member = F.col("in_family") | F.col("class_code").isin(list(class_codes))
     antibiotic = member & ~starts_with_any(name, excluded_prefixes)
-    upper_classes = [kind.upper() for kind in pharm_classes]
-    beta_lactam = F.col("named") | F.upper("pharmaceutical_class").isin(upper_classes)
+    beta_lactam = F.col("named") | same_name(F.col("pharmaceutical_class"), *pharm_classes)
     no = F.lit(False)
     return (
         known.join(marks, "medication_id", "full_outer")
@@ -239,10 +235,8 @@ def exposures(
     )
     rows = wanted.join(given, "order_id")
 
-    titles = [title.upper() for title in order_rules.route_titles]
-    known_route = F.col("order_route").isin(list(order_rules.routes)) | F.upper("title").isin(
-        titles
-    )
+    named_route = same_name(F.col("title"), *order_rules.route_titles)
+    known_route = F.col("order_route").isin(list(order_rules.routes)) | named_route
     unknown_route = F.col("title").isNull() & F.col("order_route").isNull()
     order_day = F.to_date("ordered_at").cast("timestamp_ntz")
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from wardlens.functions.text import contains_any, first_token, starts_with_any
 from wardlens.functions.times import on_days
-from wardlens.operators import exposure
+from wardlens.operators import exposure, sliding
 from workload.registry import query
 from workload.retail import AS_OF, BOUGHT_SQL, COHORT_SQL
 
@@ -171,3 +173,58 @@ def class_or_pattern_days(r):
     return exposure.days_of_therapy(
         rows, key="o_custkey", day="day", drug="drug", flags={"given": "therapy_days"}
     )
+
+
+#: Days the sliding queries go on by, one at a time, after their first state.
+STEPS = 3
+
+
+def bought_days(r):
+    """Lines of the cohort's customers with the days of their orders."""
+    return r.bought.select(
+        "o_custkey",
+        F.to_date("o_orderdate").alias("ordered"),
+        F.to_date("l_shipdate").alias("day"),
+        first_token(F.col("p_name")).alias("drug"),
+        F.lit(True).alias("given"),
+    )
+
+
+def therapy_by_day(r, path, rows, last_day, steps=STEPS, ordered="ordered", reach=366):
+    """The state of ``last_day``, gone on from day to day; windows reach back ``reach`` days."""
+    names = {"key": "o_custkey", "drug": "drug", "ordered": ordered, "flags": ["given"]}
+
+    for day in (last_day - timedelta(days=back) for back in range(steps, -1, -1)):
+        first = None if reach is None else day - timedelta(days=reach)
+
+        def step(before, since, day=day, first=first):
+            entered = first if since is None else since + timedelta(days=1)
+            new = rows.where(sliding.within(ordered, entered, day))
+            new = sliding.therapy_state(new, day="day", **names)
+            if before is None:
+                return new
+            kept = before.where(sliding.within(ordered, first, None))
+            return sliding.merge_therapy([kept, new], **names)
+
+        state = sliding.roll(r.spark, path, day, step)
+    return state
+
+
+@query(
+    "q38_therapy_by_day",
+    f"""
+    WITH {BOUGHT_SQL}
+    SELECT o_custkey, CAST(count(DISTINCT concat(strftime(l_shipdate, '%m/%d/%y'),
+             upper(split_part(ltrim(p_name), ' ', 1)))) AS BIGINT) AS therapy_days
+    FROM bought
+    WHERE o_orderdate >= TIMESTAMP '1998-01-14' AND o_orderdate < TIMESTAMP '1999-01-16'
+    GROUP BY o_custkey
+    """,
+)
+def therapy_from_state(r):
+    """As q17, from bitmaps that go on from day to day."""
+    last_day = AS_OF.date() - timedelta(days=1)
+    state = therapy_by_day(r, f"{r.stage.folder}/therapy", bought_days(r), last_day)
+    return sliding.therapy_counts(
+        state, key="o_custkey", drug="drug", ordered="ordered", flags={"given": "therapy_days"}
+    )

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
 from wardlens.functions.times import compact_day
-from wardlens.operators import lookback
+from wardlens.operators import lookback, sliding
 from wardlens.operators.cohort import Lookup, demographics, enrich, keep_cohort_keys, select_cohort
 from workload.registry import query
-from workload.retail import AS_OF, COHORT_DAYS, COHORT_SQL, PRIOR_SQL
+from workload.retail import AS_OF, COHORT_DAYS, COHORT_SQL, PRIOR_DAYS, PRIOR_SQL
 
 
 def birth_date():
@@ -197,3 +197,108 @@ def quantities(r):
         mean_name="mean_quantity",
         copies=r.copies,
     )
+
+
+#: Days the sliding queries go on by, one at a time, after their first state.
+STEPS = 3
+
+
+def totals_by_day(r, path, daily, last_day, keys, names, steps=STEPS):
+    """Sums of the window that ends on ``last_day``, gone on from day to day.
+
+    ``daily`` are the stored partial sums; a step reads the day that enters and the one that
+    leaves.
+    """
+    span = timedelta(days=PRIOR_DAYS[1] - PRIOR_DAYS[0])
+    one = timedelta(days=1)
+    given = {"keys": keys, "names": names}
+
+    for day in (last_day - one * back for back in range(steps, -1, -1)):
+
+        def step(before, since, day=day):
+            if before is None:
+                return sliding.window_totals(daily, day="day", first=day - span, last=day, **given)
+            entering = daily.where(sliding.within("day", since + one, day))
+            leaving = daily.where(sliding.within("day", since - span, day - span - one))
+            return sliding.slide_totals(before, entering, leaving, **given)
+
+        window = sliding.roll(r.spark, path, day, step)
+    return window
+
+
+def prior_end():
+    return AS_OF.date() + timedelta(days=PRIOR_DAYS[1])
+
+
+@query(
+    "q39_totals_by_day",
+    f"""
+    WITH {COHORT_SQL}, {PRIOR_SQL}, counted AS (
+      SELECT o_custkey, count(*) AS copies FROM cohort GROUP BY o_custkey
+    ), quantities AS (
+      SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_orderkey
+    )
+    SELECT o_custkey, CAST(copies * count(o_orderkey) AS BIGINT) AS prior_orders,
+           copies * coalesce(sum(quantity), 0) AS total_quantity,
+           copies * coalesce(sum(quantity), 0) / count(o_orderkey) AS mean_quantity
+    FROM counted JOIN prior USING (o_custkey) LEFT JOIN quantities ON l_orderkey = o_orderkey
+    GROUP BY o_custkey, copies
+    """,
+)
+def totals_from_state(r):
+    """As q05 and q07, from sums that go on from day to day."""
+    quantity = r.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum("l_quantity").alias("quantity")
+    )
+    orders = r.orders.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("day"))
+    daily = sliding.day_totals(
+        orders.join(quantity, "o_orderkey", "left"),
+        keys=["o_custkey"],
+        day="day",
+        counts=["o_orderkey"],
+        sums=["quantity"],
+    )
+    daily = r.stage.keep(daily, "daily")
+    window = totals_by_day(
+        r, f"{r.stage.folder}/window", daily, prior_end(), ["o_custkey"], ["o_orderkey", "quantity"]
+    )
+    total = F.col("copies") * F.col("quantity").cast("double")
+    return window.join(r.copies, "o_custkey").select(
+        "o_custkey",
+        (F.col("copies") * F.col("o_orderkey")).alias("prior_orders"),
+        total.alias("total_quantity"),
+        (total / F.col("o_orderkey")).alias("mean_quantity"),
+    )
+
+
+@query(
+    "q40_episodes_by_day",
+    f"""
+    WITH {COHORT_SQL}, {PRIOR_SQL}
+    SELECT cohort.o_custkey, CAST(sum(abs(date_diff('day',
+             CAST(l_shipdate + to_days(CAST(l_quantity AS INTEGER)) AS DATE),
+             CAST(l_shipdate AS DATE)))) AS BIGINT) AS episode_days
+    FROM cohort
+    JOIN prior ON prior.o_custkey = cohort.o_custkey
+    JOIN lineitem ON l_orderkey = prior.o_orderkey
+    WHERE CAST(l_shipdate AS DATE) >= CAST(cohort.o_orderdate - INTERVAL 367 DAY AS DATE)
+    GROUP BY cohort.o_custkey
+    """,
+)
+def episodes_from_state(r):
+    """As q06, from episode days by starting day that go on from day to day."""
+    orders = r.orders.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("day"))
+    lines = r.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.to_date("l_shipdate").alias("start_date"),
+        F.abs(F.col("l_quantity").cast("int")).alias("days"),
+    )
+    keys = ["o_custkey", "start_date"]
+    daily = sliding.day_totals(orders.join(lines, "o_orderkey"), keys=keys, day="day", sums=["days"])
+    daily = r.stage.keep(daily, "daily")
+    window = totals_by_day(r, f"{r.stage.folder}/window", daily, prior_end(), keys, ["days"])
+    reached = window.join(r.anchors, "o_custkey").where(
+        F.col("start_date") >= F.date_sub("admit_date", 367)
+    )
+    days = F.sum(F.col("days").cast("bigint") * F.col("copies"))
+    return reached.groupBy("o_custkey").agg(days.alias("episode_days"))
