@@ -113,6 +113,28 @@ def test_shards_of_awkward_documents(spark):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_written_shards_hold_all_rows_and_columns(spark, tmp_path):
+    docs = documents(spark)
+    sharding.write_shards(docs, f"{tmp_path}/shards", shards=3)
+    found = spark.read.parquet(f"{tmp_path}/shards")
+    # The documents have a column shard of their own, so the number of the shard gives way.
+    assert set(found.columns) == {*docs.columns, "slot", "_shard"}
+    key = lambda rows: sorted(map(str, rows))
+    assert key(found.select(docs.columns).collect()) == key(docs.collect())
+    digest = sharding.shard(docs, shards=3).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    places = {(r.doc_id, r._shard, r.slot) for r in found.collect() if r.doc_id}
+    assert places == {(r.doc_id, r.shard, r.slot) for r in digest.collect()}
+
+
+def test_documents_under_one_id_are_spread(spark):
+    rows = [(None if i % 3 else 7, "s", f"text {i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    firsts = sharding.places(df, "shards").selectExpr("substring(place, 1, 1) AS d").groupBy("d").count()
+    assert max(r["count"] for r in firsts.collect()) < 100
+    counts = [r["count"] for r in sharding.shard(df).groupBy("shard").count().collect()]
+    assert counts == [75] * 8
+
+
 def test_shards_hold_the_mixture(spark):
     docs = spark.read.parquet(f"{FOLDER_2}/documents.parquet").select("doc_id", "source")
     rows = queries.QUERIES["op8_interleaved_shards"](spark, FOLDER_2).join(docs, "doc_id")

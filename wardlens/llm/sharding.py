@@ -9,8 +9,9 @@ buckets by the leading hash digits and the order of fractions into equal stretch
 within these get the numbers of rows before them added.
 
 Cases: null text has size 1 and the checksum of the empty text; null source is a source of
-its own, after the others. Rows with equal doc_id are ordered by checksum and size; equal
-rows may swap places. An empty table gives an empty result. Other columns are not read.
+its own, after the others. Rows are shuffled by the hash of doc_id, checksum and size, so that
+documents under one id (or none) are spread; rows equal in all three may swap places. An empty
+table gives an empty result. ``shard`` reads no other columns; ``write_shards`` carries them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import stage
+from wardlens.llm.common import free_name, stage
 
 #: Rows that are ranked together, about.
 TOGETHER = 50_000
@@ -43,19 +44,56 @@ def offsets(counts: DataFrame, bucket: str, *group: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(before, F.lit(0)))
 
 
+def places(docs: DataFrame, seed: str, *carried: str) -> DataFrame:
+    """What the order goes by, of every row, and the columns ``carried``."""
+    known = sizes_of_shards(docs.select("doc_id", "source", "text", *carried), F.col("text"))
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32", "size"]
+    return known.select(
+        "doc_id",
+        F.coalesce(F.col("source"), F.lit("")).alias("name"),
+        F.col("source").isNull().alias("unnamed"),
+        "size",
+        "text_crc32",
+        F.md5(F.concat_ws(":", F.lit(seed), *parts)).alias("place"),
+        *carried,
+    )
+
+
 def shard(docs: DataFrame, *, shards: int = 8, seed: str = "shards") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (null under this law)."""
     keep = stage(docs.sparkSession).keep
-    narrow = sizes_of_shards(docs, F.col("text")).select(
+    return interleave(places(docs, seed), shards, keep).select(
         "doc_id",
-        F.coalesce(F.col("source"), F.lit("")).alias("name"),
-        F.col("source").isNull().alias("unnamed"),
         "size",
         "text_crc32",
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias(
-            "place"
-        ),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def write_shards(docs: DataFrame, path: str, *, shards: int = 8, seed: str = "shards") -> None:
+    """Write all rows and columns of ``docs`` as Parquet, a folder per shard (column shard),
+    with their slots (column slot) in order in every file.
+
+    Rows are told apart by a serial that is written down with them once; slots are worked out
+    from the narrow columns and joined back by serial, a key without heavy values. The names
+    get underscores before them where ``docs`` has columns of these names.
+    """
+    keep = stage(docs.sparkSession).keep
+    serial, shard_, slot = (free_name(docs, name) for name in ("serial", "shard", "slot"))
+    wide = keep(docs.withColumn(serial, F.monotonically_increasing_id()), "documents")
+    placed = interleave(places(wide, seed, serial), shards, keep).select(
+        serial, F.col("shard").alias(shard_), F.col("slot").alias(slot)
     )
+    whole = wide.join(keep(placed, "placed"), serial).drop(serial)
+    ordered = whole.repartitionByRange(shard_, slot).sortWithinPartitions(shard_, slot)
+    ordered.write.partitionBy(shard_).parquet(path)
+
+
+def interleave(narrow: DataFrame, shards: int, keep) -> DataFrame:
+    """The rows of :func:`places` with shard and slot."""
     rows = keep(narrow, "rows")
     total = rows.count()
     digits = max(0, math.ceil(math.log(max(total, 1) / TOGETHER, 16)))
@@ -83,14 +121,8 @@ def shard(docs: DataFrame, *, shards: int = 8, seed: str = "shards") -> DataFram
     placed = ranked.join(ahead, "stretch").withColumn("position", place)
     cut = F.expr(f"position * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
-    return placed.withColumn("shard", cut).select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        F.lit("rows").alias("law"),
-        F.col("shard").cast("int").alias("shard"),
-        (F.col("position") - first).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
+    return placed.withColumn("shard", cut).withColumns(
+        {"slot": F.col("position") - first, "shard": F.col("shard").cast("int")}
     )
 
 
@@ -102,16 +134,18 @@ WITH crc_steps AS (
   FROM range(256) AS r(i)
 ), sized AS (
   SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size,
-    md5('shards:' || coalesce(doc_id::VARCHAR, '')) AS place,
     CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(4294967295::BIGINT, list_reduce(
       list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT),
       lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]),
       4294967295::BIGINT)) END AS text_crc32
   FROM documents, crc_steps
+), hashed AS (
+  SELECT *, md5('shards:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32 || ':' || size) AS place
+  FROM sized
 ), ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY source ORDER BY place, text_crc32, size) - 0.5::DOUBLE)
     / count(*) OVER (PARTITION BY source) AS fraction
-  FROM sized
+  FROM hashed
 ), placed AS (
   SELECT *, row_number() OVER (ORDER BY fraction, source IS NULL, source) - 1 AS position,
     count(*) OVER () AS total
