@@ -1,5 +1,7 @@
 """Quality statistics against brute force, learned rules, and the ordinal classifier."""
 
+import itertools
+import math
 import random
 import re
 
@@ -10,7 +12,8 @@ from llm_documents import FOLDER, LONG, TEXTS, by_id, documents, labels, random_
 from pyspark.sql import functions as F
 
 from wardlens.llm import decision_list, ordinal, queries
-from wardlens.llm.common import smallest_chances
+from wardlens.llm.common import repeats, smallest_chances
+from wardlens.sources import staging
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -167,3 +170,74 @@ def test_ordinal_sample_is_of_rated_documents(spark, monkeypatch):
     assert [len(found[2]) for found in seen] == [30, 30, 820]
     for left, right in zip(seen[0], seen[1], strict=True):
         assert np.array_equal(left, right)
+
+
+def brute_likelihood(texts, weights, cuts):
+    """(likelihood) of texts given as (features, grade, weight), word for word."""
+    total = 0.0
+    for features, grade, balance in texts:
+        score = sum(weights[p] * v for p, v in features)
+        above = [1.0, *(1 / (1 + math.exp(cut - score)) for cut in cuts), 0.0]
+        total += balance * math.log(above[grade] - above[grade + 1])
+    return total - ordinal.SHRINK / 2 * sum(w * w for w in weights)
+
+
+def test_likelihood_and_slopes_against_brute_force():
+    draw = random.Random(7)
+    for top in (1, 2, 4):
+        texts = [
+            ([(draw.randrange(9), draw.uniform(-1, 2)) for _ in range(draw.randrange(6))], i % (top + 1), draw.random())
+            for i in range(40)
+        ]
+        cells = [(i, p, v) for i, (found, _, _) in enumerate(texts) for p, v in found]
+        row, place, value = (np.array(x) for x in zip(*cells, strict=True))
+        rated = ordinal.Ratings(row, place, value, np.array([t[1] for t in texts]), np.array([t[2] for t in texts]))
+        at = [draw.uniform(-1, 1) for _ in range(9)] + sorted(draw.uniform(-2, 2) for _ in range(top))
+        total, by_weight, by_cut = rated.likelihood(np.array(at[:9]), np.array(at[9:]))
+        assert abs(total - brute_likelihood(texts, at[:9], at[9:])) < 1e-9
+        for i, slope in enumerate([*by_weight, *by_cut]):
+            more, less = list(at), list(at)
+            more[i], less[i] = at[i] + 1e-5, at[i] - 1e-5
+            step = brute_likelihood(texts, more[:9], more[9:]) - brute_likelihood(texts, less[:9], less[9:])
+            assert abs(step / 2e-5 - slope) < 1e-5
+
+
+def test_thresholds_never_meet():
+    """A grade hardly ever given, one never given, and grades that words tell apart."""
+    texts = ["good fine words here"] * 60 + ["bad poor words there"] * 60 + ["other odd words"]
+    starts, places = ordinal.hashed(pa.array(texts))
+    for middle in (1, 2):
+        grades = np.array([3] * 60 + [0] * 60 + [middle])
+        model = ordinal.fit_model(starts, places, grades, 3)
+        assert np.all(np.diff(model.thresholds) > 0) and np.isfinite(model.weights).all()
+        scores = model.scores(starts, places)
+        assert scores[0] > scores[120] > scores[60]
+        assert np.all(np.diff(model.tails(scores), axis=1) <= 0)
+        assert 0 < model.slope < 0.1
+
+
+def test_repeats():
+    for counts, size in (([3, 1, 5], 6), ([3, 1, 5], 100), ([10**18] * 30, 40), ([7], 3), ([], 5), ([1, 1, 1], 2)):
+        want = list(itertools.islice((i for i, n in enumerate(counts) for _ in range(min(n, size))), size))
+        assert repeats(np.array(counts, dtype=np.int64), size).tolist() == want
+
+
+def test_samples_write_no_pairs_of_a_repeated_id(spark, monkeypatch):
+    """A thousand labels of an id with a thousand documents: a million pairs, none written."""
+    words = "concat('text ', id % 20, ' of a dozen words that are not said twice in here') AS text"
+    docs = spark.range(2000).selectExpr("if(id < 1000, 7, id) AS doc_id", words)
+    known = spark.range(3000).selectExpr("if(id < 1000, 7, id) AS doc_id", "cast(id % 2 AS int) AS quality", "0 AS toxic")
+    written, seen = [], []
+
+    def keep(self, df, name):
+        kept = plain(self, df, name)
+        written.append(kept.count())
+        return kept
+
+    plain = staging.Stage.keep
+    monkeypatch.setattr(staging.Stage, "keep", keep)
+    monkeypatch.setattr(ordinal, "fit_model", lambda *found: seen.append(len(found[2])) or ordinal.Model(np.zeros(ordinal.PLACES), np.zeros(2)))
+    monkeypatch.setattr(decision_list, "learn", lambda values, bad, growing: seen.append(len(bad)) or [])
+    for report in (ordinal.quality_report, decision_list.quality_report):
+        report(docs, known)
+    assert seen == [ordinal.SAMPLE, decision_list.SAMPLE] and max(written) <= 4000

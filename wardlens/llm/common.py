@@ -77,6 +77,13 @@ def smallest_chances(df: DataFrame, chance: Column, size: int, *ties: str) -> Da
     return df.orderBy(least, *ties).limit(size)
 
 
+def repeats(counts: np.ndarray, size: int) -> np.ndarray:
+    """Places of rows that stand for ``counts`` equal ones each, the first ``size`` of them all."""
+    # No count is over ``size`` then, and with at most ``size`` rows no sum is too large.
+    ends = np.minimum(np.cumsum(np.minimum(counts, size)), size)
+    return np.repeat(np.arange(len(counts)), np.diff(ends, prepend=0))
+
+
 def stage(spark: SparkSession) -> Stage:
     """A new run folder in the folder of spark.checkpoint.dir."""
     return Stage(spark)

@@ -10,8 +10,8 @@ The list is fitted on at most ``SAMPLE`` labelled rows (those with the smallest
 their ids); the statistics and the decisions cover all rows.
 
 Cases: null text has no words. Labels without quality or document do not count; without
-labels the list is empty. A doc_id labelled or stored more than once counts as often. Null
-doc_ids have no label. Repeated rows are judged alike. An empty table gives an empty result.
+labels the list is empty. A doc_id labelled or stored more than once counts as often; its
+equal labels meet its documents as one row. Null doc_ids have no label. Repeated rows are judged alike. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.llm.common import by_arrow, free_name, slices, smallest_chances, stage
+from wardlens.llm.common import by_arrow, free_name, repeats, slices, smallest_chances, stage
 
 #: Most labelled rows the list is fitted on.
 SAMPLE = 20_000
@@ -242,17 +242,21 @@ def verdict(rules: list[Rule], names: dict[str, str]) -> Column:
 
 def fit(counted: DataFrame, labels: DataFrame, names: dict[str, str], sample: int = SAMPLE) -> list[Rule]:
     """Rules from the labelled rows of ``counted`` (doc_id and counts) that pass the base rules."""
-    known = labels.where("quality is not null and doc_id is not null").select("doc_id", (F.col("quality") == 0).alias("bad"))
+    known = labels.where("quality is not null and doc_id is not null")
+    # Equal labels of an id are counted, so that its documents meet two rows at most.
+    known = known.groupBy("doc_id", (F.col("quality") == 0).alias("bad")).agg(F.count("*").alias("n"))
     chance = F.xxhash64(F.lit(5), "doc_id")
     found = features(names)
     rated = (
         counted.where(~base_failed(names))
         .join(known, "doc_id")
-        .select(chance.alias("chance"), "bad", *(c.alias(k) for k, c in found.items()))
+        .select(chance.alias("chance"), "bad", "n", *(c.alias(k) for k, c in found.items()))
     )
-    rows = smallest_chances(rated, F.col("chance"), sample, "bad", *found).toPandas()
+    rated = stage(counted.sparkSession).keep(rated, "rated")
+    rows = smallest_chances(rated, F.col("chance"), sample, "bad", *found, "n").toPandas()
     if rows.empty:
         return []
+    rows = rows.iloc[repeats(rows["n"].to_numpy(), sample)]
     values = {name: rows[name].to_numpy(dtype=np.float64) for name in found}
     growing = (rows["chance"].to_numpy() // 7 % 3) != 0
     return learn(values, rows["bad"].to_numpy(dtype=bool), growing)

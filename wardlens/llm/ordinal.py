@@ -7,7 +7,11 @@ grade between others is learned from both sides, and expected grade and tail pro
 come from the same score.
 
 The model is fitted on at most ``SAMPLE`` pairs of a document and its rating (those with the
-smallest hashes of their ids, then of smallest grade and text hash) by full-batch steps; the scores cover all documents and whole texts.
+smallest hashes of their ids, then of smallest grade and text hash) by full-batch steps; the
+scores cover all documents and whole texts. Equal ratings of an id and its equal documents
+are counted before they meet, so repeated ids make no more pairs than documents times grades.
+
+The test tables hold no graded ratings; the query makes grades from quality and toxic.
 
 Cases: null text is the empty text. Ratings that are null count for nothing; a document
 rated several times counts as often. Without ratings of two grades every document gets the
@@ -27,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import by_arrow, slices, smallest_chances, stage
+from wardlens.llm.common import by_arrow, repeats, slices, smallest_chances, stage
 
 #: Most rated documents the model is fitted on.
 SAMPLE = 20_000
@@ -38,6 +42,8 @@ RATE = 20.0
 CUT_RATE = 0.1
 MOMENTUM = 0.9
 SHRINK = 1e-4
+#: Least logarithm of a gap between thresholds.
+LEAST_GAP = -10.0
 
 
 def places_of(word: str) -> tuple[int, int]:
@@ -96,10 +102,15 @@ def hashed(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """Weights by place, and the thresholds between the grades."""
+    """Weights by place, the thresholds between the grades, and what the fit left.
+
+    ``slope`` is the largest slope of the fitted mean log-likelihood at the end, by any weight
+    or threshold; it tells how far the steps have settled.
+    """
 
     weights: np.ndarray
     thresholds: np.ndarray
+    slope: float = 0.0
 
     def scores(self, starts: np.ndarray, places: np.ndarray) -> np.ndarray:
         # Every text has places of its form, so no sum is empty.
@@ -130,68 +141,113 @@ def contrast(starts: np.ndarray, places: np.ndarray, best: np.ndarray) -> np.nda
     return np.abs(ratio - np.median(ratio[common]))
 
 
+@dataclass
+class Ratings:
+    """Rated texts: their features as (row, place, value), their grades, what each row weighs."""
+
+    row: np.ndarray
+    place: np.ndarray
+    value: np.ndarray
+    grades: np.ndarray
+    balance: np.ndarray
+
+    def likelihood(self, weights: np.ndarray, cuts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """The weighed log-likelihood less the shrinkage, its slopes by weight and by threshold."""
+        size, top = len(self.grades), len(cuts)
+        rows, none = np.arange(size), np.zeros((size, 1))
+        scores = np.bincount(self.row, self.value * weights[self.place], minlength=size)
+        tails = logistic(scores[:, None] - cuts)
+        edges = np.hstack([none + 1, tails, none])
+        chance = np.maximum(edges[rows, self.grades] - edges[rows, self.grades + 1], 1e-12)
+        slopes = np.hstack([none, tails * (1 - tails), none])
+        upper = self.balance * slopes[rows, self.grades] / chance
+        lower = self.balance * slopes[rows, self.grades + 1] / chance
+        pull = (upper - lower)[self.row] * self.value
+        by_weight = np.bincount(self.place, pull, minlength=len(weights)) - SHRINK * weights
+        # A threshold is pulled up by the grade that ends at it, down by the one above.
+        by_cut = (
+            np.bincount(self.grades, lower, minlength=top + 1)[:top]
+            - np.bincount(self.grades, upper, minlength=top + 1)[1:]
+        )
+        total = float(self.balance @ np.log(chance) - SHRINK / 2 * (weights @ weights))
+        return total, by_weight, by_cut
+
+
+def thresholds(gaps: np.ndarray) -> np.ndarray:
+    """Thresholds from the first of them and the logarithms of the gaps behind it."""
+    return np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])]))
+
+
 def fit_model(starts: np.ndarray, places: np.ndarray, grades: np.ndarray, top: int) -> Model:
     """Accelerated gradient steps on the mean log-likelihood of grades 0 to ``top``.
 
-    Every grade weighs alike. Thresholds are kept in order.
+    Every grade weighs alike. The steps go over gaps between thresholds, which are positive,
+    so thresholds never meet and every grade keeps a chance. A grade without ratings leaves
+    the gap before it to shrink towards nothing.
     """
     size = len(grades)
     scale = contrast(starts, places, grades == top)
     row = np.repeat(np.arange(size), np.diff(starts))
     value = scale[places] / np.sqrt(np.maximum(np.diff(starts), 1))[row]
     counts = np.bincount(grades, minlength=top + 1)
-    balance = 1 / (counts[grades] * (counts > 0).sum())
-    rows, none = np.arange(size), np.zeros((size, 1))
+    rated = Ratings(row, places, value, grades, 1 / (counts[grades] * (counts > 0).sum()))
+
+    def slopes(weights: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, by_weight, by_cut = rated.likelihood(weights, thresholds(gaps))
+        # A gap moves its own threshold and all behind it.
+        behind = np.cumsum(by_cut[::-1])[::-1]
+        return by_weight, behind * np.concatenate([[1.0], np.exp(gaps[1:])])
+
     weights, moved = np.zeros(PLACES), np.zeros(PLACES)
-    cuts, cuts_moved = np.arange(top) - (top - 1) / 2, np.zeros(top)
+    gaps, gaps_moved = np.zeros(top), np.zeros(top)
+    gaps[0] = -(top - 1) / 2
     for _ in range(STEPS):
-        ahead, cuts_ahead = weights + MOMENTUM * moved, cuts + MOMENTUM * cuts_moved
-        scores = np.bincount(row, value * ahead[places], minlength=size)
-        tails = logistic(scores[:, None] - cuts_ahead)
-        edges = np.hstack([none + 1, tails, none])
-        chance = np.maximum(edges[rows, grades] - edges[rows, grades + 1], 1e-9)
-        slopes = np.hstack([none, tails * (1 - tails), none])
-        upper, lower = balance * slopes[rows, grades] / chance, balance * slopes[rows, grades + 1] / chance
-        gradient = np.bincount(places, (upper - lower)[row] * value, minlength=PLACES) - SHRINK * ahead
-        # A threshold is pulled up by the grade that ends at it, down by the one above.
-        pull = np.bincount(grades, lower, minlength=top + 1)[:top] - np.bincount(grades, upper, minlength=top + 1)[1:]
-        moved = MOMENTUM * moved + RATE * gradient
-        weights = weights + moved
-        cuts_moved = MOMENTUM * cuts_moved + CUT_RATE * pull
-        cuts = np.maximum.accumulate(cuts + cuts_moved)
-    return Model(weights * scale, cuts)
+        by_weight, by_gap = slopes(weights + MOMENTUM * moved, gaps + MOMENTUM * gaps_moved)
+        moved = MOMENTUM * moved + RATE * by_weight
+        gaps_moved = MOMENTUM * gaps_moved + CUT_RATE * by_gap
+        weights, gaps = weights + moved, gaps + gaps_moved
+        gaps[1:] = np.maximum(gaps[1:], LEAST_GAP)
+    left = np.concatenate(slopes(weights, gaps))
+    return Model(weights * scale, thresholds(gaps), float(np.abs(left).max()))
 
 
 def fit(docs: DataFrame, ratings: DataFrame, top: int, sample: int = SAMPLE) -> Model:
     """A model from ``ratings`` (doc_id, grade from 0 to ``top``) of ``docs``."""
     keep = stage(docs.sparkSession).keep
-    ids = keep(docs.where("doc_id is not null").select("doc_id").distinct(), "ids")
+    ids = docs.where("doc_id is not null").select("doc_id").distinct()
     rated = ratings.where("doc_id is not null and grade is not null")
-    rated = keep(rated.join(ids, "doc_id", "left_semi").select("doc_id", "grade"), "rated")
+    # Equal ratings, and equal documents further down, are counted and meet as one row each.
+    rated = rated.groupBy("doc_id", "grade").agg(F.count("*").alias("n_rated"))
+    rated = keep(rated.join(ids, "doc_id", "left_semi"), "rated")
     chance = F.xxhash64(F.lit(3), "doc_id")
     chosen = keep(smallest_chances(rated, chance, sample, "doc_id", "grade"), "chosen")
     # At most ``sample`` rows, a bound that holds for any table. Each has a document at least,
     # so the documents of no other rating can be in the sample.
     hashed_docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    pairs = keep(hashed_docs.drop("text").join(F.broadcast(chosen), "doc_id"), "pairs")
+    counted = hashed_docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    counted = counted.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_docs"))
+    pairs = counted.join(F.broadcast(chosen), "doc_id")
+    pairs = keep(pairs.withColumn("n", F.col("n_rated") * F.col("n_docs")).drop("n_rated", "n_docs"), "pairs")
     pairs = keep(smallest_chances(pairs, chance, sample, "doc_id", "grade", "text_hash"), "sample")
-    texts = pairs.groupBy("doc_id", "text_hash").agg(F.collect_list("grade").alias("grades"))
-    texts = keep(texts, "texts")
-    few = hashed_docs.join(F.broadcast(texts.select("doc_id", "text_hash")), ["doc_id", "text_hash"], "left_semi")
-    few = few.groupBy("doc_id", "text_hash").agg(F.min("text").alias("text")).join(texts, ["doc_id", "text_hash"])
-    few = few.withColumn("grade", F.explode("grades"))
+    texts = pairs.select("doc_id", "text_hash").distinct()
+    few = hashed_docs.join(F.broadcast(texts), ["doc_id", "text_hash"], "left_semi")
+    few = few.groupBy("doc_id", "text_hash").agg(F.min("text").alias("text")).join(pairs, ["doc_id", "text_hash"])
+
+    names = ["chance", "key", "grade", "text_hash", "n"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
             starts, places = hashed(texts)
             lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(places))
-            columns = [batch.column(name) for name in ("key", "text_hash", "grade")]
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=["key", "text_hash", "grade", "places"])
-
-    few = few.select(F.col("doc_id").cast("string").alias("key"), "text_hash", F.col("grade").cast("int"), "text")
-    rows = by_arrow(few, work, "key string, text_hash long, grade int, places array<int>").toArrow()
-    # In one order, so that sums are the same in every run.
-    rows = rows.sort_by([(name, "ascending") for name in ("key", "text_hash", "grade")])
+            columns = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*columns, lists], names=[*names, "places"])
+
+    place = chance.bitwiseAND(F.lit((1 << 63) - 1)).alias("chance")
+    few = few.select(place, F.col("doc_id").cast("long").alias("key"), F.col("grade").cast("int"), "text_hash", "n", "text")
+    rows = by_arrow(few, work, "chance long, key long, grade int, text_hash long, n long, places array<int>").toArrow()
+    # In the order of the choice, so that what is left out and sums are the same in every run.
+    rows = rows.sort_by([(name, "ascending") for name in names[:-1]])
+    rows = rows.take(repeats(rows.column("n").to_numpy(), sample))
     grades = rows.column("grade").to_numpy().astype(np.int64)
     if not len(grades) or len(np.unique(grades)) < 2:
         return Model(np.zeros(PLACES), np.arange(top, dtype=np.float64))
