@@ -193,3 +193,22 @@ def test_starts_do_not_depend_on_the_session_s_rows_per_file(spark, tmp_path, mo
         assert row.start == start
         start += row.n_tokens
     assert len(rows) == docs.count()
+
+
+def test_an_id_of_very_many_rows_is_spread_over_parts(spark, tmp_path):
+    ids = "case when id % 3 = 0 then null when id % 3 = 1 then 40 else id end AS doc_id"
+    docs = spark.range(600).selectExpr(ids, "concat('text ', id % 250) AS text")
+    path = f"{tmp_path}/tokens"
+    token_orc.write_token_files(docs, path, files=6)
+    written = token_orc.token_rows(spark, path)
+    for hot in ("doc_id is null", "doc_id = 40"):
+        assert written.where(hot).select("part").distinct().count() > 1
+    assert written.groupBy("part").count().agg({"count": "max"}).first()[0] < 200
+    rows = token_orc.read_token_files(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None] * 200 + sorted([40] * 200 + list(range(2, 600, 3)))
+    start = 0
+    for row in rows:
+        assert row.start == start
+        start += row.n_tokens
+    texts = [(r.doc_id or -1, tuple([*ids_of(r.text), 2])) for r in docs.collect()]
+    assert sorted((r.doc_id or -1, tuple(r.ids)) for r in rows) == sorted(texts)

@@ -1,13 +1,16 @@
 """Token-ID output: ORC files of token ids with metadata that prunes reads.
 
-Documents are dealt to files by ranges of doc_id and sorted, so every stripe and row index
+Documents are dealt to parts by ranges of doc_id and sorted, so every stripe and row index
 entry covers a short range of ids; ORC stores the ids run-length encoded, keeps minimum and
 maximum of each stripe and row group, and has a Bloom filter on doc_id. Stripes are the
-units of parallel reads. A file's documents carry the number of ids before them in the
-file; the numbers before a file come from one sum per file.
+units of parallel reads. A document carries its part's number and the number of ids before
+it in the part; the numbers before a part come from one sum per part, however many files
+the part has. Ranges go on over a hash of the text, so an id that many rows share is spread
+over parts like any others.
 
 Cases: null text has only the end id. Null doc_ids come first. Rows with equal doc_id
-follow each other in the order of their texts. An empty table gives files without rows.
+follow each other in the order of a hash of their texts; equal rows are in one part. An
+empty table gives files without rows.
 """
 
 from __future__ import annotations
@@ -19,13 +22,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlens.llm.chunks import byte_level_memory
 from wardlens.llm.common import by_arrow, slices
 
-FILE_SCHEMA = "doc_id long, before long, n_tokens long, ids array<int>"
+FILE_SCHEMA = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 #: Bytes of a stripe; rows between row index entries; false positives of Bloom filters.
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
@@ -127,66 +131,57 @@ def write_token_files(
     files: int | None = None,
 ) -> None:
     """Write doc_id, before, n_tokens and ids as ORC files in ascending doc_id order."""
-    named = docs.select("doc_id", "text")
-    ranged = (
-        named.repartitionByRange("doc_id")
-        if files is None
-        else named.repartitionByRange(files, "doc_id")
-    )
+    order = ["doc_id", "text_hash"]
+    named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    ranged = named.repartitionByRange(*order) if files is None else named.repartitionByRange(files, *order)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        before = 0
+        before, part = 0, TaskContext.get().partitionId()
         for batch, texts in slices(batches):
             places, ids = encoder.encode(texts, end)
             sizes = np.diff(places)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    pa.array(np.full(len(sizes), part, dtype=np.int32)),
                     pa.array(before + places[:-1]),
                     pa.array(sizes),
                     pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(ids)),
                 ],
-                names=["doc_id", "before", "n_tokens", "ids"],
+                names=["doc_id", "part", "before", "n_tokens", "ids"],
             )
             before += int(places[-1])
 
-    by_arrow(ranged.sortWithinPartitions("doc_id", "text"), work, FILE_SCHEMA).write.options(
+    by_arrow(ranged.sortWithinPartitions(*order, "text"), work, FILE_SCHEMA).write.options(
         **{
             "orc.stripe.size": STRIPE_BYTES,
             "orc.row.index.stride": INDEX_ROWS,
             "orc.bloom.filter.columns": "doc_id",
             "orc.bloom.filter.fpp": BLOOM_FALSE,
             "compression": "zstd",
-            # Starts are summed up by file: a task's rows must not be split into several.
-            "maxRecordsPerFile": 0,
         }
     ).orc(path)
 
 
 def token_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the files and the file each is in."""
-    return spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_path"))
+    """The rows of the files."""
+    return spark.read.schema(FILE_SCHEMA).orc(path)
 
 
-def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+def with_starts(rows: DataFrame, written: DataFrame) -> DataFrame:
     """``rows`` (of any columns of token_rows) with start, the ids of all documents before.
 
-    ``files`` are the token rows all of ``rows`` come from. One row a file is summed up:
-    files hold ranges of doc_id, and equal doc_ids share a file.
+    ``written`` are the token rows all of ``rows`` come from. One row a part is summed up;
+    parts are numbered in the order of doc_id.
     """
-    totals = files.groupBy("file").agg(
-        F.min("doc_id").alias("first"),
-        F.max(F.col("doc_id").isNull()).alias("has_null"),
-        F.sum("n_tokens").alias("tokens"),
-    )
-    order = Window.orderBy(F.col("has_null").desc(), "first", "file")
-    ahead = F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    starts = totals.select("file", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    totals = written.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
+    ahead = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("part", F.coalesce(ahead, F.lit(0)).alias("ahead"))
     start = (F.col("ahead") + F.col("before")).alias("start")
-    others = [name for name in rows.columns if name not in ("doc_id", "before", "file")]
-    return rows.join(starts, "file").select("doc_id", start, *others)
+    others = [name for name in rows.columns if name not in ("doc_id", "before", "part")]
+    return rows.join(starts, "part").select("doc_id", start, *others)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -205,7 +200,7 @@ def id_checksums(rows: DataFrame) -> DataFrame:
 
     The checksum is over the ids as little-endian unsigned 32-bit numbers.
     """
-    names = ["doc_id", "before", "n_tokens", "file"]
+    names = ["doc_id", "part", "before", "n_tokens"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,14 +213,14 @@ def id_checksums(rows: DataFrame) -> DataFrame:
                 names=[*names, "ids_crc32"],
             )
 
-    schema = "doc_id long, before long, n_tokens long, file string, ids_crc32 long"
+    schema = "doc_id long, part int, before long, n_tokens long, ids_crc32 long"
     return by_arrow(rows.select(*names, "ids"), work, schema)
 
 
 def checked_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32, all from the files.
 
-    Checksums take the place of the ids before rows meet what stands before their file.
+    Checksums take the place of the ids before rows meet what stands before their part.
     """
     rows = token_rows(spark, path)
     return with_starts(id_checksums(rows), rows)
