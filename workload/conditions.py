@@ -192,8 +192,7 @@ def listed_or_not(r):
     """,
 )
 def parents_by_name(r):
-    ordered = r.cohort_orders().join(r.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-    seen = ordered.where(on_days(ordered, "l_shipdate", AS_OF, -365)).select(
+    seen = r.ordered.where(on_days(r.ordered, "l_shipdate", AS_OF, -365)).select(
         "o_custkey", F.col("l_partkey").alias("p_partkey")
     )
     parents = comorbid.parent_codes(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardlens.operators.cohort import anchors_per_day, copies_per_key, select_cohort
 from wardlens.operators.lookback import prior_events
+from wardlens.operators.prefilter import reduce_by_ids
 from wardlens.sources.staging import Stage
 from wardlens.sources.tables import parquet_table
 
@@ -107,22 +108,21 @@ class Retail:
         """All orders of the cohort's customers."""
         return self.orders.join(self.copies, "o_custkey", "left_semi")
 
+    @cached_property
+    def ordered(self) -> DataFrame:
+        """Lines of all orders of the cohort's customers."""
+        return self.cohort_orders().join(self.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+
     @cached_property
     def bought(self) -> DataFrame:
         """Lines and parts of all orders of the cohort's customers."""
-        return (
-            self.cohort_orders()
-            .join(self.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-            .join(self.part, F.col("l_partkey") == F.col("p_partkey"))
-        )
+        return self.ordered.join(self.part, F.col("l_partkey") == F.col("p_partkey"))
 
     @cached_property
     def conditions(self) -> DataFrame:
         """Every line of the cohort's customers as a condition: noted when ordered, ended
         when shipped if the line is final, else still open."""
-        return self.lineitem.join(
-            self.cohort_orders(), F.col("l_orderkey") == F.col("o_orderkey")
-        ).select(
+        return self.ordered.select(
             "o_custkey",
             "l_partkey",
             F.to_date("o_orderdate").alias("noted"),
@@ -130,6 +130,45 @@ class Retail:
         )
 
 
+class CohortRecord(Retail):
+    """The same relations out of tables that hold the cohort's customers only.
+
+    For many features at once: orders and lines are restricted and joined one time and
+    staged, so that no feature shuffles the whole line table again. Repeated order, line or
+    part rows count as often as in the whole tables.
+    """
+
+    def __init__(self, whole: Retail):
+        super().__init__(whole.spark, whole.folder, **whole.tables)
+        # The cohort comes from all orders: rows without a customer belong to it.
+        self.whole, self.stage, self.cohort, self.copies = whole, whole.stage, whole.cohort, whole.copies
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+        return self.stage.keep(self.whole.cohort_orders().select(*columns), "cohort-orders")
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        columns = ["l_orderkey", "l_partkey", "l_quantity", "l_linestatus", "l_shipdate"]
+        ids = self.orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        lines = reduce_by_ids(self.whole.lineitem.select(*columns), "l_orderkey", ids)
+        return self.stage.keep(lines.join(ids, "l_orderkey", "left_semi"), "cohort-lines")
+
+    def cohort_orders(self) -> DataFrame:
+        return self.orders
+
+    @cached_property
+    def ordered(self) -> DataFrame:
+        columns = ["o_custkey", "o_orderdate", "l_partkey", "l_linestatus", "l_shipdate"]
+        return self.stage.keep(super().ordered.select(*columns), "ordered")
+
+    @cached_property
+    def bought(self) -> DataFrame:
+        columns = ["o_custkey", "o_orderdate", "l_shipdate", "p_name", "p_brand"]
+        return self.stage.keep(super().bought.select(*columns), "bought")
+
+
 # All lines and parts of the cohort's customers, in SQL.
 BOUGHT_SQL = f"""
 {COHORT_SQL},

@@ -13,7 +13,7 @@ from wardlens.operators.cohort import keep_cohort_keys
 from wardlens.operators.score import score, score_versions
 from workload import conditions, drugs, history
 from workload.registry import ORACLES, query
-from workload.retail import AS_OF, COHORT_SQL
+from workload.retail import AS_OF, COHORT_SQL, CohortRecord
 
 FEATURES_SQL = f"""
 WITH {COHORT_SQL}
@@ -52,6 +52,7 @@ LEFT JOIN ({ORACLES["q24_weighted_index"]}) idx USING (o_custkey)
 
 @query("q27_assemble", FEATURES_SQL)
 def features(r):
+    r = CohortRecord(r)
     copies = r.copies
     ages = r.customer.select(
         F.col("c_custkey").alias("o_custkey"),
