@@ -208,3 +208,15 @@ def test_unfinished_components_are_an_error(spark):
     chain = spark.range(1, 40).selectExpr("id AS a", "id + 1 AS b")
     with pytest.raises(RuntimeError, match="round 2"):
         simhash_trie.components(chain, stage(spark).keep, rounds=2)
+
+
+def test_kept_texts_are_neither_sorted_nor_ranked(spark):
+    texts = ["one two three four", "one two three four", "quite another text of words", None]
+    docs = documents(spark, texts, repeats=3).withColumn("place", F.monotonically_increasing_id())
+    docs = docs.unionByName(docs.where("doc_id = 2").withColumn("place", F.lit(-1).cast("long")))
+    kept = simhash_trie.one_of_each(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan and "Window" not in plan
+    assert kept.columns == docs.columns
+    # Repeated rows and rows that differ elsewhere only are kept once.
+    assert sorted(row.doc_id for row in kept.collect()) == [1, 2, 3]

@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import by_arrow, free_name, ship, slices, stage
@@ -311,23 +311,18 @@ def one_of_each(docs: DataFrame, *, words: int = 3, budget: int = 3) -> DataFram
     of equal rows one.
     """
     keep = stage(docs.sparkSession).keep
-    hashed = F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
-    rows = keep(with_fingerprints(docs.select("doc_id", "text", hashed), "doc_id", "text_hash", words=words), "fingerprints")
+    row, text_hash = free_name(docs, "kept_row"), free_name(docs, "kept_hash")
+    # Rows get numbers of their own, so that the texts meet one short column and are not sorted.
+    numbered = keep(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    hashed = F.xxhash64(F.coalesce("text", F.lit(""))).alias(text_hash)
+    slim = numbered.select("doc_id", "text", row, hashed)
+    rows = keep(with_fingerprints(slim, "doc_id", row, text_hash, words=words), "fingerprints")
     classes = near_duplicates(rows, budget=budget, keep=keep)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text_hash, row)
     # Equal rows of a fingerprint are summed up before they meet the classes.
     firsts = rows.groupBy("fp").agg(F.min(order).alias("first"))
     chosen = firsts.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    chosen = keep(chosen.select(F.coalesce("first.doc_id", F.lit(0)).alias("_id"), F.col("first.none").alias("_none"), F.col("first.text_hash").alias("_hash")), "chosen")
-    names = {k: free_name(docs, f"kept{k}") for k in ("_id", "_none", "_hash", "_rank")}
-    keyed = docs.withColumns(
-        {
-            names["_id"]: F.coalesce("doc_id", F.lit(0)),
-            names["_none"]: F.col("doc_id").isNull(),
-            names["_hash"]: F.xxhash64(F.coalesce("text", F.lit(""))),
-        }
-    )
-    on = [names[k] for k in ("_id", "_none", "_hash")]
-    kept = keyed.join(chosen.select(*(F.col(k).alias(names[k]) for k in ("_id", "_none", "_hash"))), on, "left_semi")
-    first = F.row_number().over(Window.partitionBy(*on).orderBy(on[0]))
-    return kept.withColumn(names["_rank"], first).where(F.col(names["_rank"]) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
+    chosen = keep(chosen.select(F.col(f"first.{row}").alias(row)), "chosen")
+    # Hashed are the numbers, which spread evenly; the texts stream past them.
+    kept = numbered.join(chosen.hint("shuffle_hash"), row, "left_semi")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
