@@ -212,3 +212,16 @@ def test_an_id_of_very_many_rows_is_spread_over_parts(spark, tmp_path):
         start += row.n_tokens
     texts = [(r.doc_id or -1, tuple([*ids_of(r.text), 2])) for r in docs.collect()]
     assert sorted((r.doc_id or -1, tuple(r.ids)) for r in rows) == sorted(texts)
+
+
+def test_only_words_with_unusual_ends_are_looked_at_one_by_one():
+    encoder = token_orc.LibraryEncoder("byte_bpe_50k.json")
+    looked, plain = [], encoder.memory.plain
+    encoder.memory.plain = lambda word: looked.append(word) or plain(word)
+    texts = ["one two, three!?\nfour it's 12a (five) ... x", "", "é two ß, \x85x \tone\r x\x1c y\n\nz", " one<|endoftext|>, <s>two \n", "日本語, a­b… ǅungla², six"]
+    places, ids = encoder.encode(pa.array(texts), np.array([2], "<u4").tobytes())
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for i, text in enumerate(texts):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids[places[i] : places[i + 1]].tolist() == [*want, 2]
+    assert {"one", "two,", "three!?", "it's", "(five)", "..."}.isdisjoint(looked) and "\x85x" in looked

@@ -48,13 +48,27 @@ def table_of(hashes: np.ndarray, words: pa.StringArray, values: pa.BinaryArray)
     return Table(hashes[order], words.take(pa.array(order)), values.take(pa.array(order)))
 
 
+def visible_ends(words: pa.StringArray) -> np.ndarray:
+    """True where the first and the last character are visible ones of ASCII."""
+    found = np.zeros(len(words), dtype=bool)
+    if not len(words):
+        return found
+    places = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
+    some = np.flatnonzero(np.diff(places))
+    first, last = data[places[some]], data[places[some + 1] - 1]
+    found[some] = (first > 0x20) & (first < 0x7F) & (last > 0x20) & (last < 0x7F)
+    return found
+
+
 class ChunkMemory:
     """Gives for texts the bytes of their chunks put together.
 
     ``work`` turns sorted distinct chunks into their bytes. ``plain`` tells whether a word
     between blanks can be taken by itself, ``chunk`` names the chunk of a word (at the head of
     a text or behind a blank), ``whole`` splits an odd text. With ``feeds`` a line feed
-    starts a word, too, and stays with it.
+    starts a word, too, and stays with it. ``ends`` says that a word's first and last
+    character tell that it is plain, if they are visible ones of ASCII.
     """
 
     def __init__(
@@ -65,8 +79,10 @@ class ChunkMemory:
         chunk: Callable[[str, bool], str],
         whole: Callable[[str], list[str]],
         feeds: bool,
+        ends: bool = False,
     ):
         self.work, self.plain, self.chunk, self.whole, self.feeds = work, plain, chunk, whole, feeds
+        self.ends = ends
         self.tables: list[Table] = []
 
     def join(
@@ -100,9 +116,11 @@ class ChunkMemory:
             bank.append(table.values.take(pa.array(at[hit])))
             size += int(hit.sum())
         new = np.flatnonzero(slot < 0)
-        fresh = words.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist()
+        unknown = words.take(pa.array(new))
+        fresh = unknown.to_numpy(zero_copy_only=False).tolist()
 
-        odd = np.array([not self.plain(word) for word in fresh], dtype=bool)
+        odd = ~visible_ends(unknown) if self.ends else np.ones(len(fresh), dtype=bool)
+        odd[odd] = [not self.plain(fresh[i]) for i in np.flatnonzero(odd).tolist()]
         head_words = words.take(pa.array(index[heads])).to_numpy(zero_copy_only=False).tolist()
         strange = np.zeros(len(words), dtype=bool)
         strange[new[odd]] = True
@@ -190,4 +208,4 @@ def byte_level_memory(work: Callable[[list[str]], Iterable[bytes | None]]) -> Ch
     def whole(text: str) -> list[str]:
         return BORDER.split(text) if text else []
 
-    return ChunkMemory(work, plain=plain, chunk=chunk, whole=whole, feeds=True)
+    return ChunkMemory(work, plain=plain, chunk=chunk, whole=whole, feeds=True, ends=True)

@@ -22,6 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,42 +72,44 @@ class LibraryEncoder:
 
     def work(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks; words and the marks behind them are pieces of their own."""
-        feed = np.array(self.feed, dtype="<u4").tobytes()
-        cores: dict[str, bytes] = {}
-        plan: list[tuple[bool, str, str] | None] = []
-        alone: list[str] = []
-        for chunk in chunks:
-            fed = chunk[0] == "\n"
-            bare = chunk[1:] if fed else chunk
-            core = bare.rstrip(string.punctuation)
-            if (core[1:] if core[:1] == " " else core).isalpha():
-                cores[core] = b""
-                plan.append((fed, core, bare[len(core) :]))
-            else:
-                alone.append(chunk)
-                plan.append(None)
-        self.fill(cores)
-        rest = iter(self.one_by_one(alone))
-        marks = {part[2] for part in plan if part}
-        known = dict(zip(marks, self.one_by_one(list(marks)), strict=True))
-        return [
-            next(rest) if part is None else (feed if part[0] else b"") + cores[part[1]] + known[part[2]]
-            for part in plan
-        ]
-
-    def fill(self, cores: dict[str, bytes]) -> None:
-        """Set the ids of words, with or without a blank before them: lines of one text."""
-        if not cores:
-            return
-        coded = self.lines.encode_batch_fast(["\n".join(cores)], add_special_tokens=False)
+        given = pa.array(chunks, pa.string())
+        fed = pc.starts_with(given, "\n")
+        bare = pc.if_else(fed, pc.utf8_slice_codeunits(given, 1), given)
+        core = pc.utf8_rtrim(bare, string.punctuation)
+        letters = pc.if_else(pc.starts_with(core, " "), pc.utf8_slice_codeunits(core, 1), core)
+        worded = pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False)
+        words, others = np.flatnonzero(worded), np.flatnonzero(~worded)
+        cores = core.take(pa.array(words)).dictionary_encode()
+        # Marks are of one byte each.
+        behind = pc.subtract(pc.binary_length(bare), pc.binary_length(core)).to_numpy()[words]
+        marked = np.flatnonzero(behind)
+        marks = [chunks[i][-n:] for i, n in zip(words[marked].tolist(), behind[marked].tolist(), strict=True)]
+        of = {mark: i for i, mark in enumerate(dict.fromkeys(marks), 1)}
+        known = pa.array([b"", *self.one_by_one(list(of))], pa.binary())
+        place = np.zeros(len(words), dtype=np.int64)
+        place[marked] = [of[mark] for mark in marks]
+        feed = pa.array([b"", np.array(self.feed, dtype="<u4").tobytes()], pa.binary())
+        heads = fed.to_numpy(zero_copy_only=False)[words].astype(np.int64)
+        parts = (feed.take(pa.array(heads)), self.of_words(cores.dictionary).take(cores.indices), known.take(pa.array(place)))
+        rest = pa.array(self.one_by_one([chunks[i] for i in others.tolist()]), pa.binary())
+        order = np.empty(len(chunks), dtype=np.int64)
+        order[words], order[others] = np.arange(len(words)), len(words) + np.arange(len(others))
+        coded = pa.concat_arrays([pc.binary_join_element_wise(*parts, b""), rest])
+        return coded.take(pa.array(order)).to_pylist()
+
+    def of_words(self, words: pa.StringArray) -> pa.BinaryArray:
+        """The ids of words, with or without a blank before them: lines of one text."""
+        if not len(words):
+            return pa.array([], pa.binary())
+        coded = self.lines.encode_batch_fast(["\n".join(words.to_pylist())], add_special_tokens=False)
         ids = np.array(coded[0].ids, dtype="<u4")
         stops = np.append(np.flatnonzero(ids == self.feed[0]), len(ids))
-        if len(stops) != len(cores) or len(self.feed) != 1:
+        if len(stops) != len(words) or len(self.feed) != 1:
             raise ValueError("the tokenizer joins line feeds with other text")
-        raw, start = ids.tobytes(), 0
-        for core, stop in zip(cores, (stops * 4).tolist(), strict=True):
-            cores[core] = raw[start:stop]
-            start = stop + 4
+        # Line feeds are left out, so every word's ids end where the next one's start.
+        ends = np.concatenate([[0], stops - np.arange(len(stops))]).astype(np.int32) * 4
+        raw = ids[ids != self.feed[0]].tobytes()
+        return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
 
     def one_by_one(self, chunks: list[str]) -> Iterator[bytes]:
         # Not joined: what stands at the end of a text is not split as inside it.
