@@ -22,7 +22,7 @@ FEATURES = [
 ]
 
 
-@pytest.mark.parametrize("name", ["q27_assemble", "q30_model_versions"])
+@pytest.mark.parametrize("name", ["q27_assemble", "q29_logistic", "q30_model_versions"])
 def test_no_feature_reads_the_whole_line_table_again(spark, name):
     read = QUERIES[name](spark, FOLDER).inputFiles()
     assert not [path for path in read if "lineitem.parquet" in path]
