@@ -172,6 +172,16 @@ def test_encoded_documents_come_back(spark):
     assert pieces.encode_and_check(documents(spark).limit(0)).count() == 0
 
 
+def test_pieces_are_made_and_decoded_in_one_python_task(spark):
+    coded = pieces.encode_and_check(documents(spark))
+    # Two of them in a row are two Python workers a core, which is too much for an executor.
+    assert coded._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    apart = by_id(pieces.decode(pieces.encode(documents(spark))))
+    for doc_id, row in by_id(pieces.encode_and_decode(documents(spark))).items():
+        assert (row.ids, row.decoded) == (apart[doc_id].ids, apart[doc_id].decoded)
+        assert row.decoded == PIECES.decode(row.ids)
+
+
 def test_piece_query(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     rows = by_id(queries.QUERIES["op10_sentencepiece"](spark, FOLDER))

@@ -33,6 +33,8 @@ from wardlens.llm.common import by_arrow, slices
 #: Fixed value: the sign that stands for a blank.
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*")
+#: Text encoded and decoded at once, in bytes (a longer text alone).
+CHECKED_BYTES = 2_000_000
 
 
 def _each_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -150,14 +152,9 @@ def encode(
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
         for batch, texts in slices(batches, text):
-            places, values = coder.encode(texts)
-            ids = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(values))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), ids], names=[*names, "ids"]
-            )
+            yield _with(batch, names, ids=_ids(coder, texts))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return by_arrow(docs.select(*keep, text), work, f"{fields}, ids array<int>")
+    return by_arrow(docs.select(*keep, text), work, f"{_fields(kept)}, ids array<int>")
 
 
 def decode(
@@ -173,15 +170,53 @@ def decode(
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(model)
         for batch in _few_rows(batches):
-            texts = [coder.decode(ids) for ids in _lists(batch.column("ids"))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), pa.array(texts, pa.string())],
-                names=[*names, "decoded"],
-            )
+            yield _with(batch, names, decoded=_texts(coder, batch.column("ids")))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     columns = dict.fromkeys([*keep, "ids"])
-    return by_arrow(tokens.select(*columns), work, f"{fields}, decoded string")
+    return by_arrow(tokens.select(*columns), work, f"{_fields(kept)}, decoded string")
+
+
+def encode_and_decode(
+    docs: DataFrame,
+    *,
+    model: str = "piece_bpe_32k.model",
+    text: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+) -> DataFrame:
+    """The columns ``keep``, ``ids`` and ``decoded``: decode after encode in one task.
+
+    One after the other, the two would be two Python workers a core, with a coder each, and
+    the ids would go from one to the other through the JVM.
+    """
+    kept = docs.select(*keep)
+    names = list(keep)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(model)
+        for batch, texts in slices(batches, text, CHECKED_BYTES):
+            ids = _ids(coder, texts)
+            yield _with(batch, names, ids=ids, decoded=_texts(coder, ids))
+
+    schema = f"{_fields(kept)}, ids array<int>, decoded string"
+    return by_arrow(docs.select(*keep, text), work, schema)
+
+
+def _fields(kept: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+
+
+def _with(batch: pa.RecordBatch, names: list[str], **made: pa.Array) -> pa.RecordBatch:
+    columns = [*(batch.column(name) for name in names), *made.values()]
+    return pa.RecordBatch.from_arrays(columns, names=[*names, *made])
+
+
+def _ids(coder: PieceCoder, texts: pa.StringArray) -> pa.ListArray:
+    places, values = coder.encode(texts)
+    return pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(values))
+
+
+def _texts(coder: PieceCoder, ids: pa.ListArray) -> pa.StringArray:
+    return pa.array([coder.decode(row) for row in _lists(ids)], pa.string())
 
 
 def _few_rows(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -204,8 +239,7 @@ def encode_and_check(docs: DataFrame, *, model: str = "piece_bpe_32k.model") ->
     # A blank sign in a text comes back as a blank, as from the library.
     plain = F.translate(text, MARK, " ")
     hashed = docs.select("doc_id", "text", F.sha2(plain, 256).alias("text_sha256"))
-    tokens = encode(hashed, model=model, keep=("doc_id", "text_sha256"))
-    texts = decode(tokens, model=model, keep=("doc_id", "text_sha256", "ids"))
+    texts = encode_and_decode(hashed, model=model, keep=("doc_id", "text_sha256"))
     decoded = F.sha2("decoded", 256)
     return texts.select(
         "doc_id",
