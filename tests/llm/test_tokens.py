@@ -103,6 +103,18 @@ def test_library_encoder_on_odd_texts():
             assert ids[a:b].tolist() == [*ids_of(text), 2], text
 
 
+def test_words_inside_texts_are_encoded_at_once(monkeypatch):
+    encoder = token_orc.LibraryEncoder("byte_bpe_50k.json")
+    single, work = [], encoder.memory.work
+    monkeypatch.setattr(encoder.memory, "work", lambda chunks: single.extend(chunks) or work(chunks))
+    text = "Größer, naïve\nñandú. ĠĊ Ġx 日本語?! don't (a) 12 x1 Straße--- Größer"
+    places, ids = encoder.encode(pa.array([text, f"b {text}"]), np.array([2], dtype="<u4").tobytes())
+    # Only the heads are left for the list of chunks; all other words go through Arrow.
+    assert sorted(single) == ["Größer,", "b"]
+    for given, a, b in zip([text, f"b {text}"], places, places[1:]):
+        assert ids[a:b].tolist() == [*ids_of(given), 2]
+
+
 def test_token_files(spark, tmp_path):
     path = f"{tmp_path}/tokens"
     token_orc.write_token_files(documents(spark), path, files=3)

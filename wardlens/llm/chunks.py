@@ -31,12 +31,12 @@ class Table:
     words: pa.StringArray
     values: pa.BinaryArray
 
-    def places(self, hashes: np.ndarray, words: pa.StringArray) -> np.ndarray:
-        """Where the words are, -1 for words that are not here."""
+    def places(self, hashes: np.ndarray, words: pa.StringArray, rows: np.ndarray) -> np.ndarray:
+        """Where the words in ``rows`` are, which ``hashes`` are of; -1 for words not here."""
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         same = np.flatnonzero(self.hashes[at] == hashes)
         # Equal hashes are not enough: the words themselves decide.
-        equal = pc.equal(self.words.take(pa.array(at[same])), words.take(pa.array(same)))
+        equal = pc.equal(self.words.take(pa.array(at[same])), words.take(pa.array(rows[same])))
         found = np.full(len(hashes), -1, dtype=np.int64)
         sure = same[equal.to_numpy(zero_copy_only=False)]
         found[sure] = at[sure]
@@ -68,7 +68,9 @@ class ChunkMemory:
     between blanks can be taken by itself, ``chunk`` names the chunk of a word (at the head of
     a text or behind a blank), ``whole`` splits an odd text. With ``feeds`` a line feed
     starts a word, too, and stays with it. ``ends`` says that a word's first and last
-    character tell that it is plain, if they are visible ones of ASCII.
+    character tell that it is plain, if they are visible ones of ASCII. ``many`` gives the
+    bytes of distinct plain words that are not at the head of a text, all at once; then
+    ``work`` is left with heads and odd texts.
     """
 
     def __init__(
@@ -80,9 +82,10 @@ class ChunkMemory:
         whole: Callable[[str], list[str]],
         feeds: bool,
         ends: bool = False,
+        many: Callable[[pa.StringArray], pa.BinaryArray] | None = None,
     ):
         self.work, self.plain, self.chunk, self.whole, self.feeds = work, plain, chunk, whole, feeds
-        self.ends = ends
+        self.ends, self.many = ends, many
         self.tables: list[Table] = []
 
     def join(
@@ -108,19 +111,20 @@ class ChunkMemory:
         # What is known comes first into the bank of bytes, table by table.
         slot = np.full(len(words), -1, dtype=np.int64)
         bank, size = [], 0
+        by_hash = np.argsort(hashes)
         for table in self.tables:
-            open_ = np.flatnonzero(slot < 0)
-            at = table.places(hashes[open_], words.take(pa.array(open_)))
+            open_ = by_hash[slot[by_hash] < 0]
+            at = table.places(hashes[open_], words, open_)
             hit = at >= 0
             slot[open_[hit]] = size + np.arange(hit.sum())
             bank.append(table.values.take(pa.array(at[hit])))
             size += int(hit.sum())
         new = np.flatnonzero(slot < 0)
         unknown = words.take(pa.array(new))
-        fresh = unknown.to_numpy(zero_copy_only=False).tolist()
 
-        odd = ~visible_ends(unknown) if self.ends else np.ones(len(fresh), dtype=bool)
-        odd[odd] = [not self.plain(fresh[i]) for i in np.flatnonzero(odd).tolist()]
+        odd = ~visible_ends(unknown) if self.ends else np.ones(len(new), dtype=bool)
+        unsure = unknown.take(pa.array(np.flatnonzero(odd))).to_pylist()
+        odd[odd] = [not self.plain(word) for word in unsure]
         head_words = words.take(pa.array(index[heads])).to_numpy(zero_copy_only=False).tolist()
         strange = np.zeros(len(words), dtype=bool)
         strange[new[odd]] = True
@@ -128,22 +132,37 @@ class ChunkMemory:
         in_text |= np.array([word[:1].isspace() for word in head_words], dtype=bool)
         wholes = {i: self.whole(texts[i].as_py()) for i in np.flatnonzero(in_text).tolist()}
 
-        names = [None if bad else self.chunk(word, False) for word, bad in zip(fresh, odd.tolist(), strict=True)]
-        chunks = set(names)
-        chunks.discard(None)
+        chunks = set()
         for i, word in enumerate(head_words):
             chunks.update(wholes[i] if i in wholes else (self.chunk(word, True),))
+        lacking = np.zeros(len(new), dtype=bool)
+        if self.many is None:
+            names = [
+                None if bad else self.chunk(word, False)
+                for word, bad in zip(unknown.to_pylist(), odd.tolist(), strict=True)
+            ]
+            chunks.update(names)
+            chunks.discard(None)
         order = sorted(chunks)
         found = dict(zip(order, self.work(order), strict=True))
-        values = [found.get(name) if name is not None else b"" for name in names]
+        if self.many is None:
+            values = [found.get(name) if name is not None else b"" for name in names]
+            lacking[:] = [value is None for value in values]
+            coded_new = pa.array([value or b"" for value in values], pa.binary())
+        else:
+            taken = np.flatnonzero(~odd)
+            place = np.full(len(new), len(taken), dtype=np.int64)
+            place[taken] = np.arange(len(taken))
+            given = [self.many(unknown.take(pa.array(taken))), pa.array([b""], pa.binary())]
+            coded_new = pa.concat_arrays(given).take(pa.array(place))
         slot[new] = size + np.arange(len(new))
-        bank.append(pa.array([value or b"" for value in values], pa.binary()))
+        bank.append(coded_new)
         size += len(new)
 
         lost_texts: set[int] = set()
-        if None in values:
+        if lacking.any():
             lost = np.zeros(len(words), dtype=bool)
-            lost[new] = [value is None for value in values]
+            lost[new] = lacking
             lost_texts = set(np.flatnonzero(np.add.reduceat(lost[index], heads)).tolist()) - wholes.keys()
         starts: list[bytes] = []
         for i, word in enumerate(head_words):
@@ -161,12 +180,9 @@ class ChunkMemory:
             of[places[i] + 1 : places[i + 1]] = size
         joined = pa.concat_arrays(bank).take(pa.array(of))
         ends = np.frombuffer(joined.buffers()[1], dtype=np.int32, count=len(joined) + 1).astype(np.int64)
-        good = [
-            i
-            for i, (word, name, value) in enumerate(zip(fresh, names, values, strict=True))
-            if name is not None and value is not None and len(word) <= LONGEST
-        ]
-        self.remember(hashes[new[good]], words.take(pa.array(new[good])), bank[-2].take(pa.array(good, pa.int64())))
+        short = pc.less_equal(pc.utf8_length(unknown), LONGEST).to_numpy(zero_copy_only=False)
+        good = np.flatnonzero(~odd & ~lacking & short)
+        self.remember(hashes[new[good]], unknown.take(pa.array(good)), coded_new.take(pa.array(good)))
         return ends[places], memoryview(joined.buffers()[2] or b"")
 
     def remember(self, hashes: np.ndarray, words: pa.StringArray, values: pa.BinaryArray) -> None:
@@ -190,11 +206,15 @@ class ChunkMemory:
 BORDER = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-def byte_level_memory(work: Callable[[list[str]], Iterable[bytes | None]]) -> ChunkMemory:
+def byte_level_memory(
+    work: Callable[[list[str]], Iterable[bytes | None]],
+    many: Callable[[pa.StringArray], pa.BinaryArray] | None = None,
+) -> ChunkMemory:
     """For tokenizers with the byte-level pattern.
 
     A blank or line feed between two characters that are no white space always starts a new
-    piece, also in every prefix of the text. A chunk comes with its blank or line feed.
+    piece, also in every prefix of the text. A chunk comes with its blank or line feed, but
+    ``many`` gets words without the blank before them.
     """
 
     def plain(word: str) -> bool:
@@ -208,4 +228,4 @@ def byte_level_memory(work: Callable[[list[str]], Iterable[bytes | None]]) -> Ch
     def whole(text: str) -> list[str]:
         return BORDER.split(text) if text else []
 
-    return ChunkMemory(work, plain=plain, chunk=chunk, whole=whole, feeds=True, ends=True)
+    return ChunkMemory(work, plain=plain, chunk=chunk, whole=whole, feeds=True, ends=True, many=many)

@@ -46,8 +46,8 @@ class LibraryEncoder:
     """Token ids by the tokenizers library, each distinct chunk of text encoded once.
 
     Chunks that the byte-level pattern leaves whole go to the library's model as lines of
-    one text, already in the letters that stand for bytes; the line feed between them, a
-    token of its own, tells them apart again. Other chunks go to the library one by one.
+    one text, already in the letters that stand for bytes; the lengths of the tokens in
+    bytes tell them apart again. Other chunks go to the library one by one.
     """
 
     def __init__(self, tokenizer: str):
@@ -65,14 +65,32 @@ class LibraryEncoder:
         }
         self.feed = self.library.encode("\n", add_special_tokens=False).ids
         self.lines = Tokenizer(self.library.model)
-        self.lines.pre_tokenizer = pre_tokenizers.Sequence(
-            [shown, pre_tokenizers.Split(letter[10], "isolated")]
-        )
-        self.memory = byte_level_memory(self.work)
+        self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(letter[10])
+        signs = sorted(pre_tokenizers.ByteLevel.alphabet())
+        # Bytes that are letters or signs of Latin-1 stand for themselves, the others in order
+        # for what comes from U+0100 on.
+        own = [sign for sign in signs if ord(sign) < 256]
+        rest = iter(sign for sign in signs if ord(sign) >= 256)
+        self.letters = np.array([byte if chr(byte) in own else ord(next(rest)) for byte in range(256)], dtype="<u4")
+        if any(chr(self.letters[byte]) != sign for byte, sign in letter.items()):
+            raise ValueError("the library shows bytes by other letters")
+        vocabulary = self.library.get_vocab()
+        self.length = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.length[i] = len(token)
+        self.memory = byte_level_memory(self.work, self.of_plain)
 
     def work(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks."""
+        return self.of_chunks(pa.array(chunks, pa.string())).to_pylist()
+
+    def of_plain(self, words: pa.StringArray) -> pa.BinaryArray:
+        """The ids of words behind blanks; a word with a line feed before it has no blank."""
+        blank = pa.array([" ", ""]).take(pc.starts_with(words, "\n").cast(pa.int8()))
+        return self.of_chunks(pc.binary_join_element_wise(blank, words, ""))
+
+    def of_chunks(self, given: pa.StringArray) -> pa.BinaryArray:
         """The ids of chunks; words and the marks behind them are pieces of their own."""
-        given = pa.array(chunks, pa.string())
         fed = pc.starts_with(given, "\n")
         bare = pc.if_else(fed, pc.utf8_slice_codeunits(given, 1), given)
         core = pc.utf8_rtrim(bare, string.punctuation)
@@ -83,33 +101,34 @@ class LibraryEncoder:
         # Marks are of one byte each.
         behind = pc.subtract(pc.binary_length(bare), pc.binary_length(core)).to_numpy()[words]
         marked = np.flatnonzero(behind)
-        marks = [chunks[i][-n:] for i, n in zip(words[marked].tolist(), behind[marked].tolist(), strict=True)]
-        of = {mark: i for i, mark in enumerate(dict.fromkeys(marks), 1)}
-        known = pa.array([b"", *self.one_by_one(list(of))], pa.binary())
+        marks = _tails(bare.take(pa.array(words[marked])), behind[marked]).dictionary_encode()
+        known = pa.array([b"", *self.one_by_one(marks.dictionary.to_pylist())], pa.binary())
         place = np.zeros(len(words), dtype=np.int64)
-        place[marked] = [of[mark] for mark in marks]
+        place[marked] = marks.indices.to_numpy() + 1
         feed = pa.array([b"", np.array(self.feed, dtype="<u4").tobytes()], pa.binary())
         heads = fed.to_numpy(zero_copy_only=False)[words].astype(np.int64)
         parts = (feed.take(pa.array(heads)), self.of_words(cores.dictionary).take(cores.indices), known.take(pa.array(place)))
-        rest = pa.array(self.one_by_one([chunks[i] for i in others.tolist()]), pa.binary())
-        order = np.empty(len(chunks), dtype=np.int64)
+        rest = pa.array(self.one_by_one(given.take(pa.array(others)).to_pylist()), pa.binary())
+        order = np.empty(len(given), dtype=np.int64)
         order[words], order[others] = np.arange(len(words)), len(words) + np.arange(len(others))
         coded = pa.concat_arrays([pc.binary_join_element_wise(*parts, b""), rest])
-        return coded.take(pa.array(order)).to_pylist()
+        return coded.take(pa.array(order))
 
     def of_words(self, words: pa.StringArray) -> pa.BinaryArray:
         """The ids of words, with or without a blank before them: lines of one text."""
         if not len(words):
             return pa.array([], pa.binary())
-        coded = self.lines.encode_batch_fast(["\n".join(words.to_pylist())], add_special_tokens=False)
+        raw = np.frombuffer("\n".join(words.to_pylist()).encode(), dtype=np.uint8)
+        shown = self.letters[raw].tobytes().decode("utf-32-le")
+        coded = self.lines.encode_batch_fast([shown], add_special_tokens=False)
         ids = np.array(coded[0].ids, dtype="<u4")
-        stops = np.append(np.flatnonzero(ids == self.feed[0]), len(ids))
-        if len(stops) != len(words) or len(self.feed) != 1:
+        # The line feeds are gone; a word's ids end where its bytes do.
+        reached, sought = np.cumsum(self.length[ids]), np.cumsum(pc.binary_length(words).to_numpy())
+        last = np.searchsorted(reached, sought)
+        if reached[-1] != sought[-1] or (reached[last] != sought).any():
             raise ValueError("the tokenizer joins line feeds with other text")
-        # Line feeds are left out, so every word's ids end where the next one's start.
-        ends = np.concatenate([[0], stops - np.arange(len(stops))]).astype(np.int32) * 4
-        raw = ids[ids != self.feed[0]].tobytes()
-        return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+        ends = np.concatenate([[0], (last + 1) * 4]).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(ids.tobytes())])
 
     def one_by_one(self, chunks: list[str]) -> Iterator[bytes]:
         # Not joined: what stands at the end of a text is not split as inside it.
@@ -125,6 +144,18 @@ class LibraryEncoder:
         return places // 4, ids
 
 
+def _tails(words: pa.StringArray, sizes: np.ndarray) -> pa.StringArray:
+    """The last bytes of words, so many as ``sizes`` says (whole characters)."""
+    if not len(words):
+        return pa.array([], pa.string())
+    stops = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset + 1 : words.offset + len(words) + 1]
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = np.arange(ends[-1]) + np.repeat(stops - ends, sizes)
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[at]
+    places = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(words), pa.py_buffer(places), pa.py_buffer(data.tobytes()))
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
